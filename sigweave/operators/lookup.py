@@ -83,7 +83,9 @@ def area_labels(
     """Site labels: ``area_<A>`` = "true" or "", and ``areainfo_<p>`` or ""."""
     needed = list(dict.fromkeys([*([areas_column] if areas else []), *attributes]))
     found = lookup(df, sites, on, needed or [on[0][1]], into="_site")
-    members = F.transform(F.split(F.col("_site")[areas_column], ","), F.trim)
+    members = F.transform(
+        F.split(F.col("_site")[areas_column], ","), lambda member: F.trim(member)
+    )
     if areas:
         found = found.withColumn("_areas", members)
     labels = [

@@ -6,7 +6,7 @@ import json
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,7 +74,7 @@ def parse_delimited(
     column: str = "value",
     keep: Sequence[str] = (),
     regex: bool = False,
-    observe: str | None = None,
+    observe: str | Observation | None = None,
 ) -> DataFrame:
     """Splits text lines into one text column per field.
 

@@ -222,16 +222,20 @@ def throttle(
     """Rows of each key at least ``interval_s`` seconds after the key's last emitted row.
 
     ``order`` is the time column (epoch ms) and the columns that break ties; the first row
-    of a key is always emitted. An interval of 0 emits every row. A column may give the
-    interval, if it is the same on all rows of a key.
+    of a key is always emitted. An interval of 0 emits every row. A row without a time is
+    never due. A column may give the interval, if it is the same on all rows of a key.
     """
     if isinstance(interval_s, int) and interval_s == 0:
         return df
     gap = F.lit(interval_s) if isinstance(interval_s, int) else interval_s
+    time = F.col(order[0])
     timed = df.withColumns(
-        {_TIME: F.col(order[0]).cast("long"), _INTERVAL: gap.cast("long") * 1000}
-    )
-    plan = resolve(slices, timed, keys, _TIME)
+        {
+            _TIME: F.coalesce(time.cast("long"), F.lit(0)),
+            _INTERVAL: gap.cast("long") * 1000,
+        }
+    ).filter(time.isNotNull() | (F.col(_INTERVAL) <= 0))
+    plan = resolve(slices, timed, keys, order[0])
     if not plan.hot:
         return _throttle_sorted(timed, keys, order, df.schema)
     ordinary, hot = plan.split(timed)

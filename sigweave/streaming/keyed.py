@@ -35,9 +35,11 @@ class KeyedRules(StatefulProcessor):
         steps: Sequence[Step],
         order: Sequence[str],
         shown: Sequence[Sequence[bool]],
+        columns: Sequence[str],
         ttl_ms: int | None,
     ):
         self.steps, self.order, self.shown, self.ttl_ms = steps, order, shown, ttl_ms
+        self.columns = columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.fields = [f for step in self.steps for f, _ in step.state]
@@ -47,6 +49,7 @@ class KeyedRules(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         stored = self.state.get() if self.state.exists() else [None] * len(self.fields)
         state = dict(zip(self.fields, stored))
+        labelled = Row(*self.columns)
         for row in _in_order(rows, self.order):
             seen = row.asDict()
             labels: list = []
@@ -57,7 +60,7 @@ class KeyedRules(StatefulProcessor):
                     if show:
                         seen[name] = value
                         labels.append(value)
-            yield Row(*row, *labels)
+            yield labelled(*row, *labels)
         self.state.update(tuple(state[f] for f in self.fields))
 
 
@@ -85,7 +88,7 @@ def keyed_rules(
                 schema = schema.add(name, kind)
         shown.append(flags)
     return df.groupBy(*keys).transformWithState(
-        KeyedRules(steps, order, shown, ttl_ms),
+        KeyedRules(steps, order, shown, schema.names, ttl_ms),
         schema,
         "append",
         "ProcessingTime" if ttl_ms else "None",
@@ -106,9 +109,11 @@ class Throttle(StatefulProcessor):
         before = last
         for row in _in_order(rows, self.order):
             t, gap = row[self.order[0]], row[self.gap]
-            if gap <= 0 or last is None or t >= last + gap:
+            if gap <= 0:
+                yield row
+            elif t is not None and (last is None or t >= last + gap):
                 last = t
-                yield Row(*row)
+                yield row
         if last != before:
             self.state.update((last,))
 
