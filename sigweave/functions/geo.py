@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import pi
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,8 +19,8 @@ def great_circle_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> C
     h = F.pow(F.sin(half_dphi), F.lit(2.0)) + F.cos(phi1) * F.cos(phi2) * F.pow(
         F.sin(half_dlambda), F.lit(2.0)
     )
-    # Rounding may push h a hair above 1 for opposite points; an unknown point stays null.
-    return F.asin(F.sqrt(F.when(h > 1.0, 1.0).otherwise(h))) * (2 * EARTH_RADIUS_KM)
+    # Rounding may push h a hair above 1 for opposite points, where asin is not a number.
+    return F.nanvl(F.asin(F.sqrt(h)), F.lit(pi / 2)) * (2 * EARTH_RADIUS_KM)
 
 
 def whole_km(km: Column) -> Column:

@@ -28,12 +28,6 @@ def json_to_columns(df: DataFrame, c: str, schema: StructType | str) -> DataFram
     return parsed.select(*df.columns, "_parsed.*")
 
 
-def _members(c: Column | str, names: Sequence[str]) -> list[Column]:
-    # One parse of the object for all members.
-    parsed = F.from_json(_col(c), ", ".join(f"`{n}` string" for n in names))
-    return [parsed.getField(n) for n in names]
-
-
 def json_to_delimited(
     c: Column | str, names: Sequence[str], sep: str = ",", skip_nulls: bool = False
 ) -> Column:
@@ -42,10 +36,16 @@ def json_to_delimited(
     A missing member keeps its position as an empty text; ``skip_nulls=True`` leaves it
     out, which moves the later members to the left.
     """
-    members = _members(c, names)
-    if not skip_nulls:
-        members = [F.coalesce(m, F.lit("")) for m in members]
-    return F.concat_ws(sep, *members)
+    parsed = F.from_json(_col(c), ", ".join(f"`{n}` string" for n in names))
+
+    def joined(members: Column) -> Column:
+        texts = [members.getField(n) for n in names]
+        if not skip_nulls:
+            texts = [F.coalesce(text, F.lit("")) for text in texts]
+        return F.concat_ws(sep, *texts)
+
+    # Inside a lambda the object is parsed once, not once per member.
+    return F.get(F.transform(F.array(parsed), joined), F.lit(0))
 
 
 def explode_json_maps(

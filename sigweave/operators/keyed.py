@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -63,25 +63,6 @@ def previous_value(
     return add_labels(found, df, [(name, value)])
 
 
-def track_columns(
-    lat: Column,
-    lon: Column,
-    time: Column,
-    lat_old: Column,
-    lon_old: Column,
-    time_old: Column,
-    site_old: Column,
-) -> list[tuple[str, Column]]:
-    """Distance in full km, speed in km per ms, and the previous site."""
-    distance = whole_km(great_circle_km(lat, lon, lat_old, lon_old))
-    elapsed = time - time_old
-    return [
-        ("distance", distance),
-        ("speed", F.when(elapsed != 0, distance / elapsed)),
-        ("last_lac_ci", F.coalesce(site_old, F.lit(""))),
-    ]
-
-
 def user_track(
     df: DataFrame,
     keys: Sequence[str],
@@ -100,10 +81,18 @@ def user_track(
     columns = [latitude, longitude, order[0], "_site_code"]
     found = with_previous(located, keys, order, columns, slices)
     old = F.col(PREVIOUS)
-    labels = track_columns(
-        F.col(latitude),
-        F.col(longitude),
-        F.col(order[0]),
-        *[old[c] for c in columns],
+    distance = whole_km(
+        great_circle_km(F.col(latitude), F.col(longitude), old[latitude], old[longitude])
     )
-    return add_labels(found, df, labels)
+    measured = found.select(
+        *df.columns,
+        distance.alias("_distance"),
+        (F.col(order[0]) - old[order[0]]).alias("_elapsed"),
+        old["_site_code"].alias("_site_before"),
+    )
+    labels = [
+        ("distance", F.col("_distance")),
+        ("speed", F.when(F.col("_elapsed") != 0, F.col("_distance") / F.col("_elapsed"))),
+        ("last_lac_ci", F.coalesce("_site_before", F.lit(""))),
+    ]
+    return add_labels(measured, df, labels)

@@ -25,8 +25,8 @@ def _col(c: Column | str) -> Column:
 def _scattered(keys: Sequence[Column], spread: Column) -> list[Column]:
     """Join columns of the fact side: the keys and a lane.
 
-    The lane is 0 for rows with a complete key. Other rows get a lane from the hash of the
-    row, which no dimension row has.
+    The lane is 0 for rows with a complete key, as for all dimension rows. Other rows get a
+    lane from the hash of the row.
     """
     complete = None
     for key in keys:
@@ -57,7 +57,8 @@ def lookup(
     facts = df.select("*", *[k.alias(n) for k, n in zip(joined_keys, names)])
     entries = dim.select(
         *[F.col(d).alias(n) for (_, d), n in zip(on, names)],
-        F.lit(0).alias(names[-1]),
+        # Always 0, in a form that stays a join column instead of a constant.
+        F.pmod(F.xxhash64(*[d for _, d in on]), F.lit(1)).cast("int").alias(names[-1]),
         F.struct(*columns).alias(into),
     )
     return facts.join(entries, names, "left").drop(*names)

@@ -84,15 +84,17 @@ def parse_delimited(
     """
     names = [field_name(f) for f in fields]
     parts = F.split(F.col(column), delim if regex else re.escape(delim), -1)
-    split = df.select(*keep, parts.alias("_parts"))
-    fits = F.size("_parts") == len(names)
     if observe:
-        split = split.observe(
+        df = df.observe(
             observe,
             F.count(F.lit(1)).alias("lines"),
-            F.count_if(~F.coalesce(fits, F.lit(False))).alias("rejected"),
+            F.count_if(~F.coalesce(F.size(parts) == len(names), F.lit(False))).alias(
+                "rejected"
+            ),
         )
-    return split.filter(fits).select(
+    # As a generator the split is done once, and no later filter is moved below it.
+    fitting = F.filter(F.array(parts), lambda p: F.size(p) == len(names))
+    return df.select(*keep, F.explode(fitting).alias("_parts")).select(
         *keep, *[F.col("_parts")[i].alias(name) for i, name in enumerate(names)]
     )
 
@@ -123,6 +125,33 @@ def derive(df: DataFrame, derived: Sequence[tuple[str, str]]) -> DataFrame:
     return df.select("*", *[F.expr(e).alias(name) for name, e in derived])
 
 
+def derive_and_filter(
+    df: DataFrame, derived: Sequence[tuple[str, str]], condition: str | None
+) -> DataFrame:
+    """``derive``, then ``filter_rows``.
+
+    A filter on a derived column is moved below the projection, which would compute the
+    column for the filter and again for the result. Such columns go through a generator
+    that computes them once; the others are computed for the remaining rows only.
+    """
+    words = set(re.findall(r"\w+", (condition or "").lower()))
+    tested = [(name, e) for name, e in derived if name.lower() in words]
+    if not tested:
+        return derive(filter_rows(df, condition), derived)
+    once = F.explode(F.array(F.struct(*[F.expr(e).alias(name) for name, e in tested])))
+    kept = filter_rows(
+        df.select("*", once.alias("_once")).select(
+            *df.columns, *[F.col("_once")[name].alias(name) for name, _ in tested]
+        ),
+        condition,
+    )
+    ready = {name for name, _ in tested}
+    return kept.select(
+        *df.columns,
+        *[F.col(n) if n in ready else F.expr(e).alias(n) for n, e in derived],
+    )
+
+
 def filter_rows(df: DataFrame, condition: str | Column | None) -> DataFrame:
     """Keeps rows that satisfy ``condition``; a blank one keeps all."""
     if condition is None or (isinstance(condition, str) and not condition.strip()):

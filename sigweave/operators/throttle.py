@@ -107,7 +107,11 @@ def _throttle_sorted(df: DataFrame, keys: Sequence[str], order: Sequence[str], o
 
 
 def _throttle_hot(
-    hot: DataFrame, plan: SlicePlan, order: Sequence[str], columns: Sequence[str]
+    hot: DataFrame,
+    plan: SlicePlan,
+    keys: Sequence[str],
+    order: Sequence[str],
+    columns: Sequence[str],
 ) -> DataFrame:
     """Emitted rows of hot keys, found by pointer doubling.
 
@@ -116,13 +120,13 @@ def _throttle_hot(
     known so far, so the rounds grow with the logarithm of the emissions of a key. Each
     step is a join on (key, time), over which a hot key spreads evenly.
     """
-    keys, t = list(plan.keys), _TIME
+    t = _TIME
     # Only the first row of a time can be emitted.
     times = hot.groupBy(*keys, SLICE, t).agg(
         F.min(F.struct(*order)).alias("_row"), F.first(_INTERVAL).alias("_gap")
     )
     times = cut_lineage(times)
-    pointers = _successors(times, plan)
+    pointers = _successors(times, plan, keys)
     # Times nobody points to are never reached: one pass removes most of them.
     roots = times.groupBy(*keys).agg(F.min(t).alias("_at"))
     targets = pointers.filter(F.col("_next").isNotNull()).select(
@@ -170,9 +174,8 @@ def _null_safe_join(left, right, cols, how) -> DataFrame:
     return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in cols])
 
 
-def _successors(times: DataFrame, plan: SlicePlan) -> DataFrame:
+def _successors(times: DataFrame, plan: SlicePlan, keys: Sequence[str]) -> DataFrame:
     """(key, _at, _next): the key's first time at or after ``_at`` plus the interval."""
-    keys = list(plan.keys)
     due = F.col(_TIME) + F.col("_gap")
     rows = times.select(
         *keys,
@@ -181,7 +184,7 @@ def _successors(times: DataFrame, plan: SlicePlan) -> DataFrame:
         F.lit(0).alias("_probe"),
         F.lit(None).cast("long").alias("_at"),
     )
-    with_cuts = join_small(times, plan.table, keys)
+    with_cuts = join_small(times, plan.table, plan.keys)
     probes = with_cuts.select(
         *keys,
         slice_of(due).alias(SLICE),
@@ -238,7 +241,8 @@ def throttle(
     plan = resolve(slices, timed, keys, order[0])
     if not plan.hot:
         return _throttle_sorted(timed, keys, order, df.schema)
-    ordinary, hot = plan.split(timed)
+    # Several steps read the rows, so what leads to them is computed only once.
+    ordinary, hot = plan.split(cut_lineage(timed))
     always, limited = (
         hot.filter(F.col(_INTERVAL) <= 0),
         hot.filter(F.col(_INTERVAL) > 0),
@@ -246,5 +250,5 @@ def throttle(
     return (
         _throttle_sorted(ordinary, keys, order, df.schema)
         .unionByName(always.select(*df.columns))
-        .unionByName(_throttle_hot(limited, plan, order, df.columns))
+        .unionByName(_throttle_hot(limited, plan, keys, order, df.columns))
     )

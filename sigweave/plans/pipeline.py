@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sigweave.operators.latest import latest_per_key
-from sigweave.operators.parse import cast_fields, derive, filter_rows, parse_delimited
-from sigweave.operators.slices import SlicePlan
+from sigweave.operators.parse import cast_fields, derive_and_filter, parse_delimited
+from sigweave.operators.slices import NO_SLICES, SlicePlan, plan_slices
 from sigweave.operators.throttle import throttle
-from sigweave.plans.rules import Rule, attach_rules
+from sigweave.plans.rules import Rule, RuleContext, attach_rules
 from sigweave.sinks.writers import Writer, fan_out, write_sink
 from sigweave.specs import EventSpec, InterfaceSpec
 from sigweave.streaming.keyed import throttle_stream
@@ -41,7 +41,7 @@ class Pipeline:
         rows = parse_delimited(lines, spec.fields, spec.delim, observe=self.observe)
         if spec.typed:
             rows = cast_fields(rows, spec.fields)
-        return filter_rows(derive(rows, spec.derived), spec.condition)
+        return derive_and_filter(rows, spec.derived, spec.condition)
 
     def enrich(self, rows: DataFrame, slices: SlicePlan | str | None = None) -> DataFrame:
         return attach_rules(
@@ -86,8 +86,24 @@ class Pipeline:
         return value.cast("long")
 
     def run(self, lines: DataFrame) -> DataFrame:
-        """Detected event rows of a table or stream of lines."""
-        return self.detect(self.enrich(self.parse(lines)))
+        """Detected event rows of a table or stream of lines.
+
+        On a table, hot keys are found once on the parsed rows for all rules and the
+        throttle.
+        """
+        rows = self.parse(lines)
+        if rows.isStreaming:
+            return self.detect(self.enrich(rows))
+        slices = NO_SLICES
+        if self._stateful():
+            slices = plan_slices(rows, self.interface.keys, self.interface.time)
+        return self.detect(self.enrich(rows, slices), slices)
+
+    def _stateful(self) -> bool:
+        context = RuleContext(self.dims, self.interface.keys, self.order)
+        return any(e.interval_s for e in self.events) or any(
+            rule.step(context) is not None for rule in self.rules
+        )
 
     def send(
         self, detected: DataFrame, *, now: int | None = None, write: Writer = write_sink

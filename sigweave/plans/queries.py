@@ -99,8 +99,7 @@ DERIVED = [
 
 def derive_filter(spark: SparkSession, sf_dir: str) -> Query:
     rows = t.signals(spark, sf_dir).select("event_id", "ts_ms", "event_type", "lac", "ci")
-    derived = parse.derive(rows, DERIVED)
-    return parse.filter_rows(derived, "is_sale = '1' AND lac_ci <> '0003:1'")
+    return parse.derive_and_filter(rows, DERIVED, "is_sale = '1' AND lac_ci <> '0003:1'")
 
 
 def event_select(spark: SparkSession, sf_dir: str) -> Query:
