@@ -82,24 +82,22 @@ def area_labels(
     areas_column: str = "areas",
 ) -> DataFrame:
     """Site labels: ``area_<A>`` = "true" or "", and ``areainfo_<p>`` or ""."""
-    needed = list(dict.fromkeys([*([areas_column] if areas else []), *attributes]))
-    found = lookup(df, sites, on, needed or [on[0][1]], into="_site")
-    members = F.transform(
-        F.split(F.col("_site")[areas_column], ","), lambda member: F.trim(member)
-    )
-    if areas:
-        found = found.withColumn("_areas", members)
-    labels = [
-        (
-            f"area_{a}",
-            F.when(F.array_contains("_areas", a), "true").otherwise(""),
-        )
+    # Flags are worked out once per site, not once per row.
+    members = F.transform(F.split(areas_column, ","), lambda member: F.trim(member))
+    values = [
+        (f"area_{a}", F.when(F.array_contains("_members", a), "true").otherwise(""))
         for a in areas
-    ]
-    labels += [
-        (f"areainfo_{p}", F.coalesce(F.col("_site")[p].cast("string"), F.lit("")))
-        for p in attributes
-    ]
+    ] + [(f"areainfo_{p}", F.col(p).cast("string")) for p in attributes]
+    keys = [k for _, k in on]
+    described = sites.withColumn("_members", members) if areas else sites
+    # The label of an attribute may have the name of a key column.
+    entries = described.select(
+        *[F.col(k).alias(f"_site_{k}") for k in keys],
+        *[value.alias(name) for name, value in values],
+    )
+    names = [name for name, _ in values]
+    found = lookup(df, entries, [(f, f"_site_{k}") for f, k in on], names, into="_site")
+    labels = [(name, F.coalesce(F.col("_site")[name], F.lit(""))) for name in names]
     return add_labels(found, df, labels)
 
 

@@ -146,6 +146,17 @@ CROSSING = _signals(
 FROM (SELECT event_id, CAST(k AS BIGINT) AS o, k + event_id % 40 AS n FROM signals)"""
 )
 
+SQL_FUNCTIONS = _signals(
+    f"""SELECT event_id, CASE WHEN length(h) < 4 THEN lpad(h, 4, '0') ELSE h END AS code,
+  {NOW} - k * 1000 AS before, {NOW} + k * 1000 AS after, ts_ms AS same_ms,
+  CAST(floor(asin(sqrt(pow(sin((radians(34 + event_id % 20) - radians(36.65)) / 2), 2)
+    + cos(radians(34 + event_id % 20)) * cos(radians(36.65))
+    * pow(sin((radians(115) - radians(117 + k)) / 2), 2))) * (2 * 6378.137)) AS BIGINT) AS km,
+  {_valid('calledimsi')} AS called, substr({_valid('imei', 8)}, 1, 8) AS code8,
+  strftime(make_timestamp(ts_ms * 1000), '%a %b %d 00:00:00 UTC %Y') AS printed
+FROM (SELECT *, upper(to_hex(k * 700)) AS h FROM signals)"""
+)
+
 DIMENSION = _signals(
     """SELECT event_id, CASE WHEN k % 9 > 0 THEN k END AS who, c_name, c_nationkey
 FROM signals LEFT JOIN customer ON k % 9 > 0 AND k = c_custkey"""
@@ -414,6 +425,7 @@ CHECKS = {
     "composite_key": COMPOSITE,
     "identity_clean": IDENTITY,
     "threshold_crossing": CROSSING,
+    "sql_functions": SQL_FUNCTIONS,
     "dimension_lookup": DIMENSION,
     "area_flags": AREA_FLAGS,
     "area_attributes": AREA_ATTRIBUTES,

@@ -5,18 +5,23 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sigweave.operators.latest import latest_per_key
-from sigweave.operators.parse import cast_fields, derive_and_filter, parse_delimited
+from sigweave.operators.parse import (
+    cast_fields,
+    derive_and_filter,
+    filter_rows,
+    parse_delimited,
+)
 from sigweave.operators.slices import NO_SLICES, SlicePlan, plan_slices
 from sigweave.operators.throttle import throttle
 from sigweave.plans.rules import Rule, RuleContext, attach_rules
 from sigweave.sinks.writers import Writer, fan_out, write_sink
 from sigweave.specs import EventSpec, InterfaceSpec
-from sigweave.streaming.keyed import throttle_stream
+from sigweave.streaming.keyed import STATE_LATEST, read_state, throttle_stream
 from sigweave.streaming.run import start_batches
 
 EVENT = "_event"
@@ -65,9 +70,11 @@ class Pipeline:
             )
         )
         matched = enriched.withColumn(EVENT, F.explode(hits))
-        if all(e.interval_s == 0 for e in self.events):
-            return matched
         keys = [EVENT, *self.interface.keys]
+        kept = [e.id for e in self.events if e.keep_latest]
+        throttled = any(e.interval_s for e in self.events)
+        if not throttled and not (kept and enriched.isStreaming):
+            return matched
         if enriched.isStreaming:
             return throttle_stream(
                 matched,
@@ -75,6 +82,7 @@ class Pipeline:
                 self.order,
                 self._interval(),
                 clock=self.clock,
+                keep_latest=F.col(EVENT).isin(kept) if kept else None,
                 ttl_ms=self.ttl_ms,
             )
         return throttle(matched, keys, self.order, self._interval(), slices=slices)
@@ -110,11 +118,21 @@ class Pipeline:
     ) -> None:
         fan_out(detected, self.events, self.interface.keys, now=now, write=write)
 
-    def latest(self, detected: DataFrame, event: EventSpec) -> DataFrame:
-        """Latest row per key of an event that keeps its latest rows."""
-        rows = detected.filter(F.col(EVENT) == event.id)
+    def latest(self, enriched: DataFrame, event: EventSpec) -> DataFrame:
+        """Latest row per key of a table's rows that satisfy an event's condition.
+
+        A stream keeps these rows in its state, see ``latest_of_stream``.
+        """
+        rows = filter_rows(enriched, event.condition)
         return latest_per_key(rows, self.interface.keys, self.order)
 
+    def latest_of_stream(
+        self, spark: SparkSession, checkpoint: str, event: EventSpec
+    ) -> DataFrame:
+        """Latest row per key of an event with ``keep_latest`` of a stream."""
+        rows = read_state(spark, checkpoint, STATE_LATEST)
+        return rows.filter(F.col(EVENT) == event.id).drop(EVENT)
+
     def start(
         self,
         lines: DataFrame,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sigweave import functions as sf
+from sigweave.functions.sql import register_functions
 from sigweave.operators import keyed, latest, lookup, parse, project, stay
 from sigweave.operators.throttle import throttle
 from sigweave.plans import tables as t
@@ -242,6 +243,24 @@ def threshold_crossing(spark: SparkSession, sf_dir: str) -> Query:
     )
 
 
+def sql_functions(spark: SparkSession, sf_dir: str) -> Query:
+    """The functions inside expression texts, as events and derived columns use them."""
+    rows = t.signals(spark, sf_dir)
+    register_functions(spark, NOW)
+    return rows.selectExpr(
+        "event_id",
+        "hex_code(CAST(k * 700 AS STRING)) AS code",
+        "currenttimesub(k * 1000) AS before",
+        "currenttimeadd(k * 1000) AS after",
+        "text_to_ms(ms_to_text(ts_ms, 'yyyyMMdd HH:mm:ss.SSS'), 'yyyyMMdd HH:mm:ss.SSS')"
+        " AS same_ms",
+        "floor(great_circle_km(34 + event_id % 20, 115, 36.65, 117 + k)) AS km",
+        "clean_identity(calledimsi) AS called",
+        "device_code(imei) AS code8",
+        "parse_time(ms_to_text(ts_ms, 'yyyyMMdd'), 'yyyyMMdd') AS printed",
+    )
+
+
 # Enrichment
 
 
@@ -568,6 +587,7 @@ QUERIES = {
     "composite_key": composite_key,
     "identity_clean": identity_clean,
     "threshold_crossing": threshold_crossing,
+    "sql_functions": sql_functions,
     "dimension_lookup": dimension_lookup,
     "area_flags": area_flags,
     "area_attributes": area_attributes,

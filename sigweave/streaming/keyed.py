@@ -19,6 +19,7 @@ from sigweave.streaming.steps import Step
 
 STATE_RULES = "rules"
 STATE_LAST_EMIT = "last_emit"
+STATE_LATEST = "latest"
 
 
 def _in_order(rows: Iterator[Row], order: Sequence[str]) -> list[Row]:
@@ -96,26 +97,50 @@ def keyed_rules(
 
 
 class Throttle(StatefulProcessor):
-    """Keeps a key's last emission time and lets due rows through."""
+    """Keeps a key's last emission time and lets due rows through.
 
-    def __init__(self, order: Sequence[str], gap: str, ttl_ms: int | None):
-        self.order, self.gap, self.ttl_ms = order, gap, ttl_ms
+    Where the ``keep`` column is true it also keeps the key's latest row, due or not.
+    """
+
+    def __init__(
+        self,
+        order: Sequence[str],
+        clock: str,
+        gap: str,
+        keep: str | None,
+        schema: T.StructType,
+        ttl_ms: int | None,
+    ):
+        self.order, self.clock, self.gap, self.keep = order, clock, gap, keep
+        self.schema, self.ttl_ms = schema, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState(STATE_LAST_EMIT, "last long", self.ttl_ms)
+        self.sent = handle.getValueState(STATE_LAST_EMIT, "last long", self.ttl_ms)
+        if self.keep:
+            self.newest = handle.getValueState(STATE_LATEST, self.schema, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        last = self.state.get()[0] if self.state.exists() else None
+        last = self.sent.get()[0] if self.sent.exists() else None
         before = last
-        for row in _in_order(rows, self.order):
-            t, gap = row[self.order[0]], row[self.gap]
+        ordered = _in_order(rows, self.order)
+        for row in ordered:
+            t, gap = row[self.clock], row[self.gap]
             if gap <= 0:
                 yield row
             elif t is not None and (last is None or t >= last + gap):
                 last = t
                 yield row
         if last != before:
-            self.state.update((last,))
+            self.sent.update((last,))
+        if self.keep and ordered[-1][self.keep]:
+            self._keep_newest(ordered[-1])
+
+    def _keep_newest(self, row: Row) -> None:
+        if self.newest.exists():
+            stored = Row(*self.schema.names)(*self.newest.get())
+            if _in_order([stored, row], self.order)[-1] is stored:
+                return
+        self.newest.update(tuple(row[c] for c in self.schema.names))
 
 
 def throttle_stream(
@@ -125,25 +150,31 @@ def throttle_stream(
     interval_s: int | Column,
     *,
     clock: str = "event",
+    keep_latest: Column | None = None,
     ttl_ms: int | None = None,
 ) -> DataFrame:
     """Stream form of the throttle.
 
     ``clock="event"`` measures the interval on the rows' own time, which gives the batch
     result for rows arriving in time order; ``"processing"`` measures it on the time of
-    the micro-batch.
+    the micro-batch. Where ``keep_latest`` is true, the state keeps the latest row of the
+    key; ``read_state`` shows it as ``STATE_LATEST``.
     """
-    if isinstance(interval_s, int) and interval_s == 0:
+    if isinstance(interval_s, int) and interval_s == 0 and keep_latest is None:
         return df
     if clock not in ("event", "processing"):
         raise ValueError(f"unknown clock {clock!r}")
     gap = F.lit(interval_s) if isinstance(interval_s, int) else interval_s
     timed = df.withColumn("_gap", gap.cast("long") * 1000)
+    measured, keep = order[0], None
     if clock == "processing":
-        timed = timed.withColumn("_clock", F.unix_millis(F.current_timestamp()))
-        order = ["_clock", *order]
+        measured = "_clock"
+        timed = timed.withColumn(measured, F.unix_millis(F.current_timestamp()))
+    if keep_latest is not None:
+        keep = "_keep"
+        timed = timed.withColumn(keep, keep_latest)
     emitted = timed.groupBy(*keys).transformWithState(
-        Throttle(list(order), "_gap", ttl_ms),
+        Throttle(list(order), measured, "_gap", keep, df.schema, ttl_ms),
         timed.schema,
         "append",
         "ProcessingTime" if ttl_ms else "None",
@@ -154,11 +185,16 @@ def throttle_stream(
 def read_state(
     spark: SparkSession, checkpoint: str, variable: str, operator_id: int = 0
 ) -> DataFrame:
-    """State of a stream as a table: the key columns and the state fields."""
+    """State of a stream as a table: the key columns and the state fields.
+
+    In a chain of stateful operators the last one has number 0.
+    """
     raw = (
         spark.read.format("statestore")
         .option("operatorId", operator_id)
         .option("stateVarName", variable)
         .load(checkpoint)
     )
-    return raw.select("key.*", "value.*")
+    value = raw.schema["value"].dataType.names
+    keys = [k for k in raw.schema["key"].dataType.names if k not in value]
+    return raw.select(*[f"key.{k}" for k in keys], "value.*")
