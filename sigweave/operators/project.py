@@ -18,15 +18,10 @@ def output_columns(
     ext: Sequence[tuple[str, str]] = (),
 ) -> list[tuple[str, str]]:
     """Ordered ``(expression, name)`` pairs: the selection, missing keys, then ``ext``."""
-    chosen: list[tuple[str, str]] = []
-    for item in select:
-        pair = (item, item) if isinstance(item, str) else item
-        if pair not in chosen:
-            chosen.append(pair)
-    names = {name for _, name in chosen}
-    chosen += [(k, k) for k in keys if k not in names]
-    chosen += [pair for pair in ext if pair not in chosen]
-    return chosen
+    pairs = [(item, item) if isinstance(item, str) else item for item in select]
+    names = {name for _, name in pairs}
+    pairs += [(k, k) for k in keys if k not in names]
+    return list(dict.fromkeys([*pairs, *ext]))
 
 
 def project_event(
