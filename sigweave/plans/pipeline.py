@@ -142,7 +142,13 @@ class Pipeline:
         now: int | None = None,
         write: Writer = write_sink,
     ) -> StreamingQuery:
-        """Runs the pipeline on a stream of lines, one fan-out per micro-batch."""
+        """Runs the pipeline on a stream of lines, one fan-out per micro-batch.
+
+        Without ``interval_s`` it ends when all present lines are done; state that expires
+        needs a stream that keeps running.
+        """
+        if self.ttl_ms and interval_s is None:
+            raise ValueError("ttl_ms needs interval_s")
 
         def handle(batch: DataFrame, batch_id: int) -> None:
             self.send(batch, now=now, write=write)
