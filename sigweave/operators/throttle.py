@@ -199,16 +199,14 @@ def _successors(times: DataFrame, plan: SlicePlan, keys: Sequence[str]) -> DataF
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     is_row = F.col("_probe") == 0
-    inside = (
-        rows.unionByName(probes)
-        .withColumn("_inside", F.min(F.when(is_row, F.col("_point"))).over(back))
-        .filter(~is_row)
-    )
+    both = rows.unionByName(probes)
+    row_point = F.when(is_row, F.col("_point"))
+    inside = both.withColumn("_inside", F.min(row_point).over(back)).filter(~is_row)
     later = Window.partitionBy(*keys).orderBy(F.col(SLICE).desc()).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    firsts = rows.groupBy(*keys, SLICE).agg(F.min("_point").alias("_first"))
-    # Slices without rows do not occur as the cuts are made from the rows themselves.
+    # A probe may fall into a slice without rows, so those count as well.
+    firsts = both.groupBy(*keys, SLICE).agg(F.min(row_point).alias("_first"))
     carried = firsts.select(*keys, SLICE, F.min("_first").over(later).alias("_after"))
     joined = join_small(inside, carried, [*keys, SLICE])
     return joined.select(*keys, "_at", F.coalesce("_inside", "_after").alias("_next"))
