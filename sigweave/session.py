@@ -40,19 +40,14 @@ def prepare(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` when the session names one.
 
-    Only a session without that setting (a test on one machine) gets a temporary folder,
-    which is then also used for reliable checkpoints.
+    Only a session without that setting (a test on one machine) gets a temporary folder.
+    Reliable checkpoints go there too.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
     context = spark.sparkContext
-    current = context._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get().rstrip("/")
-    root = tempfile.mkdtemp(prefix="sigweave-")
-    context.setCheckpointDir(root)
-    return context._jsc.sc().getCheckpointDir().get().rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="sigweave-"))
+    return (named or context.getCheckpointDir()).rstrip("/")
 
 
 def run_dir(spark: SparkSession, name: str) -> str:

@@ -1,15 +1,17 @@
 """Keyed rules and the throttle as stateful stream operators (K1-K4, K7).
 
 All keyed rules of a chain share one state entry per key, so a chain needs one shuffle and
-one state read and write per key and micro-batch. A micro-batch's rows of a key are sorted
-in memory; their number is bounded by the rate limit of the source
-(``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``).
+one state read and write per key and micro-batch. The rate limit of the source bounds a
+micro-batch; the rows of a key are sorted in memory, or on disk if there are many.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain, islice
 
+from pyspark.serializers import CPickleSerializer
+from pyspark.shuffle import ExternalSorter
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,15 +19,28 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sigweave.streaming.steps import Step
 
+# Rows of one key and micro-batch that are sorted without the disk, and the memory allowed
+# to the sort beyond that.
+SORT_IN_MEMORY = 50_000
+SORT_MEMORY_MB = 256
+
 STATE_RULES = "rules"
 STATE_LAST_EMIT = "last_emit"
 STATE_LATEST = "latest"
 
 
-def _in_order(rows: Iterator[Row], order: Sequence[str]) -> list[Row]:
-    return sorted(
-        rows, key=lambda r: tuple((r[c] is not None, r[c]) for c in order)
-    )
+def _in_order(rows: Iterable[Row], order: Sequence[str]) -> Iterator[Row]:
+    """Rows in ascending order, nulls first, holding a limited number in memory."""
+
+    def place(row: Row) -> tuple:
+        return tuple((row[c] is not None, row[c]) for c in order)
+
+    rows = iter(rows)
+    head = list(islice(rows, SORT_IN_MEMORY))
+    if len(head) < SORT_IN_MEMORY:
+        return iter(sorted(head, key=place))
+    sorter = ExternalSorter(SORT_MEMORY_MB, CPickleSerializer())
+    return sorter.sorted(chain(head, rows), key=place)
 
 
 class KeyedRules(StatefulProcessor):
@@ -122,8 +137,8 @@ class Throttle(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         last = self.sent.get()[0] if self.sent.exists() else None
         before = last
-        ordered = _in_order(rows, self.order)
-        for row in ordered:
+        row = None
+        for row in _in_order(rows, self.order):
             t, gap = row[self.clock], row[self.gap]
             if gap <= 0:
                 yield row
@@ -132,13 +147,13 @@ class Throttle(StatefulProcessor):
                 yield row
         if last != before:
             self.sent.update((last,))
-        if self.keep and ordered[-1][self.keep]:
-            self._keep_newest(ordered[-1])
+        if self.keep and row is not None and row[self.keep]:
+            self._keep_newest(row)
 
     def _keep_newest(self, row: Row) -> None:
         if self.newest.exists():
             stored = Row(*self.schema.names)(*self.newest.get())
-            if _in_order([stored, row], self.order)[-1] is stored:
+            if list(_in_order([stored, row], self.order))[-1] is stored:
                 return
         self.newest.update(tuple(row[c] for c in self.schema.names))
 

@@ -158,6 +158,10 @@ class _Recorder:
         self.calls["format"] = name
         return self
 
+    def option(self, name, value):
+        self.calls[name] = value
+        return self
+
     def options(self, **options):
         self.calls["options"] = options
         return self

@@ -144,6 +144,19 @@ def test_throttle_equals_batch_over_a_restart(spark, rows, table, seconds):
     )
 
 
+def test_many_rows_of_a_key_are_sorted_on_disk(rows, monkeypatch):
+    from pyspark.sql import Row
+
+    from sigweave.streaming import keyed as stream_keyed
+
+    monkeypatch.setattr(stream_keyed, "SORT_IN_MEMORY", 50)
+    make = Row("t", "id")
+    shuffled = [make(None if r[2] % 9 == 0 else r[1], r[2]) for r in rows]
+    random.Random(1).shuffle(shuffled)
+    found = list(stream_keyed._in_order(iter(shuffled), ORDER))
+    assert found == sorted(shuffled, key=lambda r: (r.t is not None, r.t or 0, r.id))
+
+
 def test_throttle_edges(spark):
     data = [("a", t, i) for i, t in enumerate([0, 999, 1000, 1999, 2000, 2000, 3500])]
     df = spark.createDataFrame(data, "who string, t long, id long")
