@@ -121,8 +121,15 @@ def cast_fields(
 
 
 def derive(df: DataFrame, derived: Sequence[tuple[str, str]]) -> DataFrame:
-    """Adds ``(name, expression)`` columns; every expression sees the base columns only."""
-    return df.select("*", *[F.expr(e).alias(name) for name, e in derived])
+    """Adds ``(name, expression)`` columns; every expression sees the base columns only.
+
+    A derived column with the name of a base column takes its place.
+    """
+    texts = dict(derived)
+    return df.select(
+        *[F.expr(texts.pop(c)).alias(c) if c in texts else F.col(c) for c in df.columns],
+        *[F.expr(e).alias(name) for name, e in texts.items()],
+    )
 
 
 def derive_and_filter(
@@ -136,6 +143,8 @@ def derive_and_filter(
     """
     words = set(re.findall(r"\w+", (condition or "").lower()))
     tested = [(name, e) for name, e in derived if name.lower() in words]
+    if any(name in df.columns for name, _ in derived):
+        return filter_rows(derive(df, derived), condition)
     if not tested:
         return derive(filter_rows(df, condition), derived)
     once = F.explode(F.array(F.struct(*[F.expr(e).alias(name) for name, e in tested])))

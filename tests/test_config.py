@@ -1,0 +1,161 @@
+import json
+
+import pytest
+
+from sigweave.plans import config
+from sigweave.plans.pipeline import Pipeline
+from sigweave.plans.rules import AreaRule, PreviousRule
+from sigweave.specs import SinkSpec, SourceSpec
+from tests.conftest import rows_of
+
+
+def _props(**values):
+    return [{"pname": k, "pvalue": v} for k, v in values.items()]
+
+
+KAFKA = {
+    "type": "kafka",
+    "properties": json.dumps(
+        [{"pname": "metadata.broker.list", "pvalue": "h:1"}]
+    ),
+}
+INTERFACE = {
+    "properties": json.dumps(
+        {
+            "props": _props(
+                topic="a,b", uniqKeys="imsi:imei", delim="|", filter_expr="upper_ci <> 'X'"
+            ),
+            "fields": [
+                {"pname": n, "ptype": "String", "pvalue": ""}
+                for n in ("time", "lac", "ci", "imsi", "imei")
+            ],
+            "userFields": [{"pname": "upper_ci", "pvalue": "upper(ci)"}],
+        }
+    )
+}
+LABELS = [
+    {
+        "id": "2",
+        "class_name": "Last",
+        "p_label_id": "1",
+        "properties": json.dumps({"props": [{}], "labelItems": []}),
+    },
+    {
+        "id": "1",
+        "class_name": "Site",
+        "p_label_id": "",
+        "properties": json.dumps(
+            {"props": [], "labelItems": [{"pname": "x", "pvalue": "area_A"}]}
+        ),
+    },
+    {"id": "3", "class_name": "Site", "status": 0},
+]
+MAKERS = {
+    "Site": lambda name, props, items, parents: AreaRule(
+        name, "sites", [("lac", "lac")], [i.removeprefix("area_") for i in items], depends_on=parents
+    ),
+    "Last": lambda name, props, items, parents: PreviousRule(name, depends_on=parents),
+}
+EVENT = {
+    "id": "e1",
+    "select_expr": "imsi, concat(lac, ':', ci) as site, last_imei",
+    "filter_expr": "area_A = 'true'",
+    "properties": json.dumps(
+        {
+            "props": _props(ext_fields="'1' as kind", needcache="1"),
+            "output_dis": [
+                {"diid": "9", "interval": "60", "delim": "#"},
+                {"diid": "8", "interval": "30", "delim": ","},
+            ],
+        }
+    ),
+}
+OUTPUTS = {
+    "9": (KAFKA, {"properties": json.dumps({"props": _props(topic="out")})}),
+    "8": (
+        {"type": "jdbc", "properties": json.dumps(_props(jdbcurl="jdbc:x", user="u"))},
+        {"properties": json.dumps({"props": _props(tablename="t")})},
+    ),
+}
+
+
+def test_lists():
+    assert config.comma_list("a, f(b, 'x,y') as c,, d['k,l']") == [
+        "a",
+        "f(b, 'x,y') as c",
+        "d['k,l']",
+    ]
+    assert config.comma_list(None) == []
+    assert config.named("cast(a as int) AS b") == ("cast(a as int)", "b")
+    assert config.named("a") == ("a", "a")
+
+
+def test_specs():
+    assert config.source_spec(KAFKA, INTERFACE) == SourceSpec(
+        "kafka", topics=["a", "b"], brokers="h:1"
+    )
+    group = {
+        "properties": json.dumps(
+            {
+                "props": [
+                    *_props(topic="a", direct_kafka_api_flag="false"),
+                    {"pname": "group.id", "pvalue": "g"},
+                    {"pname": "num.consumer.fetchers", "pvalue": "3"},
+                ]
+            }
+        )
+    }
+    assert config.source_spec(KAFKA, group) == SourceSpec(
+        "kafka", topics=["a"], brokers="h:1", group="g", min_partitions=3
+    )
+    hdfs = {
+        "type": "hdfs",
+        "properties": json.dumps([{"pname": "fs.defaultFS", "pvalue": "hdfs://n"}]),
+    }
+    path = {"properties": json.dumps({"props": _props(path="in")})}
+    assert config.source_spec(hdfs, path) == SourceSpec("text", path="hdfs://n/in")
+    with pytest.raises(ValueError):
+        config.source_spec({"type": "x", "properties": "[]"}, path)
+    event = config.event_spec(EVENT, OUTPUTS)
+    assert (event.interval_s, event.keep_latest) == (30, True)
+    assert event.sinks == (
+        SinkSpec("kafka", topic="out", brokers="h:1", delim="#"),
+        SinkSpec("jdbc", url="jdbc:x", table="t", options={"user": "u"}),
+    )
+    with pytest.raises(ValueError):
+        config.rule_chain([{"id": "1", "class_name": "?"}], MAKERS)
+
+
+def test_configured_pipeline(spark):
+    flow = Pipeline(
+        config.interface_spec(INTERFACE),
+        config.rule_chain(LABELS, MAKERS),
+        [config.event_spec(EVENT, OUTPUTS)],
+        {"sites": spark.createDataFrame([("1", "A,B")], "lac string, areas string")},
+    )
+    assert [r.name for r in flow.rules] == ["1", "2"]
+    lines = spark.createDataFrame(
+        [
+            ("20240101 00:00:00.000|1|c|u|m",),
+            ("20240101 00:00:29.999|1|c|u|m",),
+            ("20240101 00:00:30.000|1|d|u|m",),
+            ("20240101 00:00:40.000|1|x|u|m",),
+            ("20240101 00:00:50.000|2|c|u|m",),
+            ("20240101 00:00:55.000|1|c|u",),
+            ("20240101 00:00:05.000|1|c|u|n",),
+        ],
+        "value string",
+    )
+    from sigweave.sinks.writers import event_frame
+
+    detected = flow.run(lines)
+    event = flow.events[0]
+    frame = event_frame(detected, event, event.sinks[0], flow.interface.keys, now=0)
+    stamp = "19700101 00:00:00.000"
+    assert rows_of(frame, "key", "value", "topic") == [
+        ("u,m", f"u#1:c##1#{stamp}", "out"),
+        ("u,m", f"u#1:d#m#1#{stamp}", "out"),
+        ("u,n", f"u#1:c##1#{stamp}", "out"),
+    ]
+    table = event_frame(detected, event, event.sinks[1], flow.interface.keys)
+    assert table.columns == ["imsi", "site", "last_imei", "imei", "kind"]

@@ -103,6 +103,13 @@ def test_derived_columns_and_filter(spark):
         assert same.collect() == found.collect()
 
 
+def test_derived_column_replaces_a_base_column(spark):
+    df = spark.createDataFrame([("a", "1"), ("b", "2")], "s string, n string")
+    found = parse.derive_and_filter(df, [("s", "upper(s)"), ("m", "concat(s, n)")], "s = 'B'")
+    assert found.columns == ["s", "n", "m"]
+    assert [tuple(r) for r in found.collect()] == [("B", "2", "b2")]
+
+
 def test_filter_on_a_derived_column_computes_it_once(spark):
     df = spark.createDataFrame([("20240101", "x")], "t string, s string")
     found = parse.derive_and_filter(
