@@ -14,7 +14,7 @@ all rows. Most inputs have no hot key and keep the plain window plan.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from math import ceil
 
@@ -95,17 +95,22 @@ def plan_slices(
     *,
     rows_per_slice: int = ROWS_PER_SLICE,
     max_slices: int = MAX_SLICES,
+    sampled: Callable[[Callable[[DataFrame], DataFrame]], DataFrame] | None = None,
 ) -> SlicePlan:
     """Finds hot keys and cuts them into slices of about equal row counts.
 
-    ``time`` is a column of epoch milliseconds.
+    ``time`` is a column of epoch milliseconds. ``sampled`` builds a sample of ``df`` with
+    the sampling function it is given; use it where an earlier sample saves work, such as
+    parsing.
     """
     keys = tuple(keys)
     spark = df.sparkSession
     fraction = min(1.0, SAMPLES_PER_SLICE / rows_per_slice)
-    sample = df.select(*keys)
-    if fraction < 1.0:
-        sample = sample.sample(fraction, _SEED)
+
+    def thin(rows: DataFrame) -> DataFrame:
+        return rows.sample(fraction, _SEED) if fraction < 1.0 else rows
+
+    sample = sampled(thin).select(*keys) if sampled else thin(df.select(*keys))
     seen = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_seen"))
     total, largest = seen.agg(F.sum("_seen"), F.max("_seen")).first()
     limit = max(rows_per_slice, ceil((total or 0) / fraction / max_slices))

@@ -42,8 +42,11 @@ class Pipeline:
         return [self.interface.time, *self.interface.order]
 
     def parse(self, lines: DataFrame) -> DataFrame:
+        return self._parse(lines, self.observe)
+
+    def _parse(self, lines: DataFrame, observe: str | None = None) -> DataFrame:
         spec = self.interface
-        rows = parse_delimited(lines, spec.fields, spec.delim, observe=self.observe)
+        rows = parse_delimited(lines, spec.fields, spec.delim, observe=observe)
         if spec.typed:
             rows = cast_fields(rows, spec.fields)
         return derive_and_filter(rows, spec.derived, spec.condition)
@@ -104,7 +107,12 @@ class Pipeline:
             return self.detect(self.enrich(rows))
         slices = NO_SLICES
         if self._stateful():
-            slices = plan_slices(rows, self.interface.keys, self.interface.time)
+            slices = plan_slices(
+                self._parse(lines),
+                self.interface.keys,
+                self.interface.time,
+                sampled=lambda thin: self._parse(thin(lines)),
+            )
         return self.detect(self.enrich(rows, slices), slices)
 
     def _stateful(self) -> bool:
