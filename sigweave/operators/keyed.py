@@ -27,7 +27,7 @@ def with_previous(
     ``order`` is the time column (epoch ms) and the columns that break ties. The struct is
     null on the first row of a key.
     """
-    plan = resolve(slices, df, keys, order[0])
+    plan = resolve(slices, df, keys, order)
     packed = F.struct(*columns)
     if not plan.hot:
         window = Window.partitionBy(*keys).orderBy(*order)

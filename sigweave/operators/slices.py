@@ -1,15 +1,15 @@
-"""Time slices of hot keys.
+"""Slices of hot keys.
 
 Rules with state follow one key through time. A window per key would put a key that owns a
-third of the data into one task, so such keys are cut into consecutive time slices that
-are worked on in parallel; a small summary per slice then carries the state from slice to
-slice. Where a key is cut never changes a result, only the balance of the work.
+third of the data into one task, so such keys are cut into consecutive slices of their
+order that are worked on in parallel; a small summary per slice then carries the state from
+slice to slice. Where a key is cut never changes a result, only the balance of the work.
 
 A key is hot if it holds more than ``rows_per_slice`` rows and more than 1/``MAX_SLICES``
-of all rows, so the number of hot keys and the cut table have a fixed bound whatever the
-size of the data. Candidates come from a thin sample of the key column, since counting all
-keys would shuffle about as much as the rule itself; only candidates are then counted over
-all rows. Most inputs have no hot key and keep the plain window plan.
+of all rows, so the number of hot keys and of cuts have a fixed bound whatever the size of
+the data. Hot keys and cuts come from thin samples of the key and order columns, since
+counting all keys would shuffle about as much as the rule itself. Most inputs have no hot
+key and keep the plain window plan.
 """
 
 from __future__ import annotations
@@ -25,13 +25,14 @@ from pyspark.sql.window import Window
 
 ROWS_PER_SLICE = 4_000_000
 MAX_SLICES = 16_384
-# Time bins per slice in the histogram that places the cuts.
-BINS_PER_SLICE = 64
-# Expected sample rows of a key that just reaches the size of a slice.
+# Expected sample rows of a key that just reaches the size of a slice: to find hot keys,
+# and to place the cuts.
 SAMPLES_PER_SLICE = 1000
+POINTS_PER_SLICE = 100
 _SEED = 20_240_101
 
 SLICE = "_slice"
+NO_SLICES = "none"
 
 
 @dataclass(frozen=True)
@@ -39,7 +40,7 @@ class SlicePlan:
     """Cut table of the hot keys of one input; ``table`` is None if there are none."""
 
     keys: tuple[str, ...]
-    time: str
+    order: tuple[str, ...]
     table: DataFrame | None = None
 
     @property
@@ -51,7 +52,8 @@ class SlicePlan:
         if self.table is None:
             return df.withColumn(SLICE, F.lit(None).cast("int"))
         joined = join_small(df, self.table, self.keys)
-        return joined.select(*df.columns, slice_of(F.col(self.time)).alias(SLICE))
+        place = slice_of(F.struct(*self.order))
+        return joined.select(*df.columns, place.alias(SLICE))
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(rows of ordinary keys, rows of hot keys)."""
@@ -62,11 +64,8 @@ class SlicePlan:
         )
 
 
-NO_SLICES = "none"
-
-
 def join_small(df: DataFrame, small: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Left join with a broadcast of a table bounded by ``MAX_SLICES`` rows; nulls match."""
+    """Left join with a broadcast of a table bounded by ``MAX_SLICES``; nulls match."""
     renamed = small.select(
         *[F.col(c).alias(f"_j_{c}") if c in cols else F.col(c) for c in small.columns]
     )
@@ -79,19 +78,27 @@ def join_small(df: DataFrame, small: DataFrame, cols: Sequence[str]) -> DataFram
     )
 
 
-def slice_of(t: Column) -> Column:
-    """Slice of a time for a row joined with the cut table."""
-    last = F.size("_cut_slices") - 1
-    bin_no = F.floor((t - F.col("_cut_start")) / F.col("_cut_width")).cast("int")
-    # A missing time sorts before all others, so it belongs to the first slice.
-    inside = F.greatest(F.lit(0), F.least(F.coalesce(bin_no, F.lit(0)), last))
-    return F.get("_cut_slices", inside)
+def slice_of(place: Column) -> Column:
+    """Number of cuts at or before a place in the order, for a row joined with its cuts.
+
+    A binary search: ``_powers`` holds the falling powers of two up to the number of cuts.
+    """
+    return F.when(
+        F.col("_cuts").isNotNull(),
+        F.aggregate(
+            "_powers",
+            F.lit(0),
+            lambda found, step: F.when(
+                F.get("_cuts", found + step - 1) <= place, found + step
+            ).otherwise(found),
+        ),
+    )
 
 
 def plan_slices(
     df: DataFrame,
     keys: Sequence[str],
-    time: str,
+    order: Sequence[str],
     *,
     rows_per_slice: int = ROWS_PER_SLICE,
     max_slices: int = MAX_SLICES,
@@ -99,103 +106,75 @@ def plan_slices(
 ) -> SlicePlan:
     """Finds hot keys and cuts them into slices of about equal row counts.
 
-    ``time`` is a column of epoch milliseconds. ``sampled`` builds a sample of ``df`` with
-    the sampling function it is given; use it where an earlier sample saves work, such as
-    parsing.
+    ``order`` is the column of epoch milliseconds and those that break ties. ``sampled``
+    builds a sample of ``df`` with the sampling function it is given; use it where an
+    earlier sample saves work, such as parsing.
     """
-    keys = tuple(keys)
+    keys, order = tuple(keys), tuple(order)
     spark = df.sparkSession
-    fraction = min(1.0, SAMPLES_PER_SLICE / rows_per_slice)
 
-    def thin(rows: DataFrame) -> DataFrame:
-        return rows.sample(fraction, _SEED) if fraction < 1.0 else rows
+    def sample(fraction: float) -> DataFrame:
+        def thin(rows: DataFrame) -> DataFrame:
+            return rows.sample(fraction, _SEED) if fraction < 1.0 else rows
+
+        columns = list(dict.fromkeys([*keys, *order]))
+        if sampled is not None:
+            return sampled(thin).select(*columns)
+        return thin(df.select(*columns))
 
-    sample = sampled(thin).select(*keys) if sampled else thin(df.select(*keys))
-    seen = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_seen"))
+    fraction = min(1.0, SAMPLES_PER_SLICE / rows_per_slice)
+    seen = sample(fraction).groupBy(*keys).agg(F.count(F.lit(1)).alias("_seen"))
     total, largest = seen.agg(F.sum("_seen"), F.max("_seen")).first()
     limit = max(rows_per_slice, ceil((total or 0) / fraction / max_slices))
-    # Half the expected sample of a key at the limit: no hot key is missed by chance.
-    suspicious = limit * fraction / 2
-    if largest is None or largest < suspicious:
-        return SlicePlan(keys, time)
-    # At most 2 * max_slices keys can reach this.
-    suspects = seen.filter(F.col("_seen") >= suspicious)
-    suspects = spark.createDataFrame(suspects.collect(), suspects.schema)
-    counts = (
-        join_small(df.select(*keys, time), suspects, keys)
-        .filter(F.col("_seen").isNotNull())
-        .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min(time).alias("_t0"),
-            F.max(time).alias("_t1"),
-        )
+    if largest is None or largest <= limit * fraction:
+        return SlicePlan(keys, order)
+    # At most max_slices keys can reach this.
+    hot = seen.filter(F.col("_seen") > limit * fraction)
+    hot = spark.createDataFrame(hot.collect(), hot.schema)
+
+    # Every so many sample rows of a hot key there is a cut: at most max_slices in total.
+    fraction = min(1.0, POINTS_PER_SLICE / limit)
+    every = max(1, round(limit * fraction))
+    points = join_small(sample(fraction), hot, keys).filter(F.col("_seen").isNotNull())
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    cuts = (
+        points.withColumn("_number", number)
+        .filter(F.col("_number") % every == 0)
+        .select(F.struct(*keys).alias("_key"), F.struct(*order).alias("_cut"), "_number")
     )
-
-    width = F.ceil((F.col("_t1") - F.col("_t0") + 1) / F.col("_bins")).cast("long")
-    hot = (
-        counts.filter((F.col("_n") > limit) & (F.col("_t1") > F.col("_t0")))
-        .withColumn(
-            "_bins", (F.ceil(F.col("_n") / F.lit(limit)) * BINS_PER_SLICE).cast("long")
-        )
-        .select(*keys, F.col("_t0").alias("_cut_start"), width.alias("_cut_width"))
-    )
-    hot_schema = hot.schema
-    hot_rows = hot.collect()
-    if not hot_rows:
-        return SlicePlan(keys, time)
-    hot = spark.createDataFrame(hot_rows, hot_schema)
-    bins = (
-        join_small(df.select(*keys, time), hot, keys)
-        .filter(F.col("_cut_start").isNotNull() & F.col(time).isNotNull())
-        .withColumn(
-            "_bin",
-            F.floor((F.col(time) - F.col("_cut_start")) / F.col("_cut_width")).cast("int"),
-        )
-        .groupBy(*keys, "_cut_start", "_cut_width", "_bin")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    # One row per filled bin of a hot key: at most BINS_PER_SLICE * MAX_SLICES in total.
-    before = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    numbered = bins.withColumn(
-        "_s",
-        F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / F.lit(limit)).cast("int"),
-    )
-    first_bins = numbered.groupBy(*keys, "_cut_start", "_cut_width", "_s").agg(
-        F.min("_bin").alias("_from"), F.max("_bin").alias("_to")
-    )
-    cuts: dict[tuple, tuple] = {}
-    for row in first_bins.collect():
-        key = tuple(row[k] for k in keys)
-        cuts.setdefault(key, (row["_cut_start"], row["_cut_width"], []))[2].append(
-            (row["_from"], row["_to"])
-        )
-    rows = []
-    for key, (start, step, ranges) in cuts.items():
-        ranges.sort()
-        slices: list[int] = []
-        for number, (_, end) in enumerate(ranges):
-            slices.extend([number] * (end + 1 - len(slices)))
-        rows.append((*key, start, step, slices))
+    places: dict[tuple, list] = {}
+    for row in sorted(cuts.collect(), key=lambda r: r["_number"]):
+        places.setdefault(tuple(row["_key"]), []).append(row["_cut"])
+    if not places:
+        return SlicePlan(keys, order)
+    rows = [
+        (*key, found, [1 << i for i in reversed(range(len(found).bit_length()))])
+        for key, found in places.items()
+    ]
     schema = T.StructType(
-        [*hot_schema.fields, T.StructField("_cut_slices", T.ArrayType(T.IntegerType()))]
+        [
+            *cuts.schema["_key"].dataType.fields,
+            T.StructField("_cuts", T.ArrayType(cuts.schema["_cut"].dataType)),
+            T.StructField("_powers", T.ArrayType(T.IntegerType())),
+        ]
     )
-    return SlicePlan(keys, time, spark.createDataFrame(rows, schema))
+    return SlicePlan(keys, order, spark.createDataFrame(rows, schema))
 
 
 def resolve(
-    slices: SlicePlan | str | None, df: DataFrame, keys: Sequence[str], time: str
+    slices: SlicePlan | str | None,
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
 ) -> SlicePlan:
     """The plan to use: a given one, none on request, else one made for ``df``.
 
     A plan of some of the keys serves for all of them, as it cuts every key that is hot.
     """
     if isinstance(slices, SlicePlan):
-        if not set(slices.keys) <= set(keys) or slices.time != time:
-            raise ValueError("the slice plan was made for other keys or another time")
+        if not set(slices.keys) <= set(keys) or slices.order != tuple(order):
+            raise ValueError("the slice plan was made for other keys or another order")
         return slices
     if slices == NO_SLICES:
-        return SlicePlan(tuple(keys), time)
-    return plan_slices(df, keys, time)
+        return SlicePlan(tuple(keys), tuple(order))
+    return plan_slices(df, keys, order)

@@ -38,7 +38,7 @@ def location_stay(
     and again after more than ``timeout_ms`` without one. ``limits`` are in ms.
     """
     time = F.col(order[0])
-    plan = resolve(slices, df, keys, order[0])
+    plan = resolve(slices, df, keys, order)
     here = {a: F.col(f"area_{a}") == "true" for a in areas}
     names = {a: str(i) for i, a in enumerate(areas)}
     base = plan.tag(df) if plan.hot else df

@@ -122,8 +122,10 @@ def _throttle_hot(
     """
     t = _TIME
     # Only the first row of a time can be emitted.
-    times = hot.groupBy(*keys, SLICE, t).agg(
-        F.min(F.struct(*order)).alias("_row"), F.first(_INTERVAL).alias("_gap")
+    times = hot.groupBy(*keys, t).agg(
+        F.min(F.struct(*order)).alias("_row"),
+        F.min(SLICE).alias(SLICE),
+        F.first(_INTERVAL).alias("_gap"),
     )
     times = cut_lineage(times)
     pointers = _successors(times, plan, keys)
@@ -185,9 +187,17 @@ def _successors(times: DataFrame, plan: SlicePlan, keys: Sequence[str]) -> DataF
         F.lit(None).cast("long").alias("_at"),
     )
     with_cuts = join_small(times, plan.table, plan.keys)
+    # A probe stands before all rows of its time.
+    kinds = times.schema["_row"].dataType
+    place = F.struct(
+        *[
+            (due if i == 0 else F.lit(None)).cast(field.dataType).alias(field.name)
+            for i, field in enumerate(kinds.fields)
+        ]
+    )
     probes = with_cuts.select(
         *keys,
-        slice_of(due).alias(SLICE),
+        slice_of(place).alias(SLICE),
         due.alias("_point"),
         F.lit(1).alias("_probe"),
         F.col(_TIME).alias("_at"),
@@ -236,7 +246,7 @@ def throttle(
             _INTERVAL: gap.cast("long") * 1000,
         }
     ).filter(time.isNotNull() | (F.col(_INTERVAL) <= 0))
-    plan = resolve(slices, timed, keys, order[0])
+    plan = resolve(slices, timed, keys, order)
     if not plan.hot:
         return _throttle_sorted(timed, keys, order, df.schema)
     # Several steps read the rows, so what leads to them is computed only once.

@@ -110,7 +110,7 @@ class Pipeline:
             slices = plan_slices(
                 self._parse(lines),
                 self.interface.keys,
-                self.interface.time,
+                self.order,
                 sampled=lambda thin: self._parse(thin(lines)),
             )
         return self.detect(self.enrich(rows, slices), slices)

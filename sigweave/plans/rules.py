@@ -250,7 +250,7 @@ def attach_rules(
     if df.isStreaming:
         return _attach_to_stream(df, chain, context, ttl_ms)
     if slices is None and any(rule.step(context) is not None for rule in chain):
-        slices = plan_slices(df, keys, order[0])
+        slices = plan_slices(df, keys, order)
     context = RuleContext(dims, keys, order, slices or NO_SLICES)
     for rule in chain:
         df = rule.attach(df, context)

@@ -73,7 +73,7 @@ def test_neighbouring_keyed_rules_share_one_state(spark, sf_dir):
 def test_pipeline_with_cut_keys(spark, sf_dir):
     flow = q._flow(spark, sf_dir)
     rows = flow.parse(q._flow_lines(spark, sf_dir))
-    plan = plan_slices(rows, q.KEYS, "ts_ms", rows_per_slice=10)
+    plan = plan_slices(rows, q.KEYS, q.ORDER, rows_per_slice=10)
     assert plan.hot
     cut = flow.detect(flow.enrich(rows, plan), plan)
     whole = flow.run(q._flow_lines(spark, sf_dir))

@@ -23,8 +23,12 @@ def rows(spark):
         who = rng.choice(["hot", f"u{rng.randrange(40)}", f"u{rng.randrange(40)}"])
         if rng.random() < 0.2:
             who = None
+        if rng.random() < 0.1:
+            who = "same"
         burst = rng.choice([0, 0, 50_000, 400_000])
         t = burst + rng.randrange(rng.choice([300, 20_000, 300_000]))
+        if who == "same":
+            t = 77
         data.append(
             (
                 who,
@@ -46,7 +50,7 @@ def rows(spark):
 
 @pytest.fixture(scope="module")
 def plan(rows):
-    found = plan_slices(rows, KEYS, "t", rows_per_slice=100)
+    found = plan_slices(rows, KEYS, ORDER, rows_per_slice=100)
     assert found.hot
     return found
 
@@ -54,28 +58,48 @@ def plan(rows):
 def test_slices_follow_time_and_are_balanced(rows, plan):
     tagged = plan.tag(rows)
     hot = tagged.filter(F.col(SLICE).isNotNull())
-    assert {r.who for r in hot.select("who").distinct().collect()} == {"hot", None}
+    assert {r.who for r in hot.select("who").distinct().collect()} == {"hot", "same", None}
     spans = (
         hot.groupBy("who", SLICE)
-        .agg(F.min("t").alias("lo"), F.max("t").alias("hi"), F.count("*").alias("n"))
+        .agg(
+            F.min(F.struct("t", "id")).alias("lo"),
+            F.max(F.struct("t", "id")).alias("hi"),
+            F.count("*").alias("n"),
+        )
         .orderBy("who", SLICE)
         .collect()
     )
-    assert len(spans) > 6
+    assert len(spans) > 15
     for before, after in zip(spans, spans[1:]):
         if before.who == after.who:
-            assert before.hi < after.lo
-    assert max(s.n for s in spans) < 400
+            assert tuple(before.hi) < tuple(after.lo)
+    assert max(s.n for s in spans) <= 100
     assert tagged.count() == rows.count()
 
 
+def test_sampled_cuts_are_nearly_even(spark):
+    df = spark.range(0, 40_000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("who"),
+        # All of a burst, then a long tail.
+        F.when(F.col("id") < 39_000, F.col("id") % 50).otherwise(F.col("id") * 1000).alias("t"),
+        "id",
+    )
+    plan = plan_slices(df, KEYS, ORDER, rows_per_slice=2_000)
+    counts = {
+        r[SLICE]: r["count"]
+        for r in plan.tag(df).filter("who = 'hot'").groupBy(SLICE).count().collect()
+    }
+    assert 5 <= len(counts) <= 9
+    assert max(counts.values()) < 3_500
+
+
 def test_no_hot_key_keeps_the_plain_plan(rows):
-    assert not plan_slices(rows, KEYS, "t", rows_per_slice=100_000).hot
-    assert not plan_slices(rows.limit(0), KEYS, "t", rows_per_slice=1).hot
+    assert not plan_slices(rows, KEYS, ORDER, rows_per_slice=100_000).hot
+    assert not plan_slices(rows.limit(0), KEYS, ORDER, rows_per_slice=1).hot
 
 
 def test_hot_keys_are_bounded_by_the_number_of_slices(rows):
-    plan = plan_slices(rows, KEYS, "t", rows_per_slice=1, max_slices=10)
+    plan = plan_slices(rows, KEYS, ORDER, rows_per_slice=1, max_slices=10)
     assert plan.table.count() <= 10
 
 
