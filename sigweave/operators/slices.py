@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 ROWS_PER_SLICE = 4_000_000
-MAX_SLICES = 16_384
+MAX_SLICES = 65_536
 # Expected sample rows of a key that just reaches the size of a slice: to find hot keys,
 # and to place the cuts.
 SAMPLES_PER_SLICE = 1000

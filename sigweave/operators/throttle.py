@@ -4,8 +4,8 @@ A row is emitted if at least ``interval`` has passed since the key's last emitte
 Each emission depends on the one before, which no built-in expression states. Ordinary
 keys are therefore decided by a vectorised pass over Arrow batches of rows that Spark has
 shuffled by key and sorted by time; the pass holds one batch and one key's last emission,
-never a whole group. Keys too large for one task are decided by joins on all executors,
-see ``_throttle_hot``.
+never a whole group. Keys too large for one task are decided slice by slice on all
+executors, see ``_throttle_hot``.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from sigweave.operators.slices import SLICE, SlicePlan, join_small, resolve, slice_of
@@ -24,6 +25,7 @@ from sigweave.session import cut_lineage
 _TIME = "_throttle_time"
 _INTERVAL = "_throttle_interval"
 _NUMBER = "_throttle_number"
+_DUE = "_throttle_due"
 
 
 def emitted(
@@ -106,63 +108,94 @@ def _throttle_sorted(df: DataFrame, keys: Sequence[str], order: Sequence[str], o
     return ordered.mapInArrow(_emit_sorted(out.names), out)
 
 
+def _slice_exits(table: pa.Table) -> pa.Table:
+    """For every time of one slice: when the next emission is due after the slice, if the
+    row of that time is the first one emitted in it."""
+    table = table.sort_by(_TIME)
+    times = table.column(_TIME).to_numpy()
+    gaps = table.column(_INTERVAL).to_numpy()
+    ends = np.searchsorted(times, times + gaps, side="left")
+    here = np.arange(len(times))
+    # Following all chains at once, twice as far each time, up to their last emission.
+    last = np.where(ends < len(times), ends, here)
+    while True:
+        further = last[last]
+        if np.array_equal(further, last):
+            break
+        last = further
+    return table.append_column(_DUE, pa.array(times[last] + gaps[last], pa.int64()))
+
+
 def _throttle_hot(
     hot: DataFrame,
     plan: SlicePlan,
     keys: Sequence[str],
     order: Sequence[str],
-    columns: Sequence[str],
+    out,
 ) -> DataFrame:
-    """Emitted rows of hot keys, found by pointer doubling.
+    """Emitted rows of hot keys.
 
-    Every distinct time of a key points to the key's first time at least one interval
-    later. Starting from the first time, round r adds the 2^r-th successors of all times
-    known so far, so the rounds grow with the logarithm of the emissions of a key. Each
-    step is a join on (key, time), over which a hot key spreads evenly.
+    Each slice is worked through for every row that may be its first emission, which tells
+    when the key is due again after the slice. Most of these chains run together, so few
+    distinct due times and entry rows are left. The entries really taken are found from
+    the key's first row by pointer doubling: round r adds the 2^r-th successors of the
+    entries known so far. A slice is entered once at most, so the entries may be broadcast
+    for the last step, which emits each slice from its entry on.
     """
-    t = _TIME
+    keys = list(keys)
     # Only the first row of a time can be emitted.
-    times = hot.groupBy(*keys, t).agg(
-        F.min(F.struct(*order)).alias("_row"),
-        F.min(SLICE).alias(SLICE),
-        F.first(_INTERVAL).alias("_gap"),
+    times = hot.groupBy(*keys, _TIME).agg(
+        F.min(SLICE).alias(SLICE), F.first(_INTERVAL).alias(_INTERVAL)
     )
-    times = cut_lineage(times)
-    pointers = _successors(times, plan, keys)
-    # Times nobody points to are never reached: one pass removes most of them.
-    roots = times.groupBy(*keys).agg(F.min(t).alias("_at"))
-    targets = pointers.filter(F.col("_next").isNotNull()).select(
-        *keys, F.col("_next").alias("_at")
+    schema = T.StructType([*times.schema.fields, T.StructField(_DUE, T.LongType())])
+    exits = cut_lineage(times.groupBy(*keys, SLICE).applyInArrow(_slice_exits, schema))
+    roots = exits.groupBy(*keys).agg(F.min(_TIME).alias("_at"))
+    successors = cut_lineage(_successors(exits, plan, keys, order, hot))
+    entries = (
+        successors.filter(F.col("_next").isNotNull())
+        .select(*keys, F.col("_next").alias("_at"))
+        .unionByName(roots)
+        .distinct()
+    )
+    homes = cut_lineage(
+        _null_safe_join(
+            entries,
+            exits.select(*keys, SLICE, F.col(_TIME).alias("_at"), _DUE),
+            [*keys, "_at"],
+            "inner",
+        )
     )
-    candidates = targets.unionByName(roots).distinct()
     pointers = cut_lineage(
-        _null_safe_join(pointers, candidates, [*keys, "_at"], "left_semi")
+        _null_safe_join(homes, successors, [*keys, _DUE], "inner")
+        .filter(F.col("_next").isNotNull())
+        .select(*keys, "_at", "_next")
     )
     reached = cut_lineage(roots)
     known = reached.count()
     while True:
         hops = _null_safe_join(reached, pointers, [*keys, "_at"], "inner")
-        added = hops.filter(F.col("_next").isNotNull()).select(
-            *keys, F.col("_next").alias("_at")
-        )
+        added = hops.select(*keys, F.col("_next").alias("_at"))
         reached = cut_lineage(reached.unionByName(added).distinct())
         found = reached.count()
         if found == known:
             break
         known = found
-        far = pointers.select(
-            *keys, F.col("_at").alias("_from"), F.col("_next").alias("_at")
-        ).filter(F.col("_at").isNotNull())
+        near = pointers.select(*keys, F.col("_at").alias("_from"), F.col("_next").alias("_at"))
         pointers = cut_lineage(
-            _null_safe_join(far, pointers, [*keys, "_at"], "inner").select(
+            _null_safe_join(near, pointers, [*keys, "_at"], "inner").select(
                 *keys, F.col("_from").alias("_at"), "_next"
             )
         )
-    chosen = _null_safe_join(
-        times.withColumnRenamed(t, "_at"), reached, [*keys, "_at"], "left_semi"
-    ).select(*keys, F.col("_row").alias("_chosen"))
-    marked = hot.withColumn("_chosen", F.struct(*order))
-    return _null_safe_join(marked, chosen, [*keys, "_chosen"], "left_semi").select(*columns)
+    taken = _null_safe_join(homes, reached, [*keys, "_at"], "left_semi").select(
+        *keys, SLICE, F.col("_at").alias("_entry")
+    )
+    entered = join_small(hot, taken, [*keys, SLICE])
+    return _throttle_sorted(
+        entered.filter(F.col(_TIME) >= F.col("_entry")).drop("_entry"),
+        [*keys, SLICE],
+        order,
+        out,
+    )
 
 
 def _null_safe_join(left, right, cols, how) -> DataFrame:
@@ -176,31 +209,33 @@ def _null_safe_join(left, right, cols, how) -> DataFrame:
     return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in cols])
 
 
-def _successors(times: DataFrame, plan: SlicePlan, keys: Sequence[str]) -> DataFrame:
-    """(key, _at, _next): the key's first time at or after ``_at`` plus the interval."""
-    due = F.col(_TIME) + F.col("_gap")
-    rows = times.select(
+def _successors(
+    exits: DataFrame,
+    plan: SlicePlan,
+    keys: Sequence[str],
+    order: Sequence[str],
+    hot: DataFrame,
+) -> DataFrame:
+    """(key, due, _next): the key's first time at or after each due time."""
+    rows = exits.select(
         *keys,
         SLICE,
         F.col(_TIME).alias("_point"),
         F.lit(0).alias("_probe"),
-        F.lit(None).cast("long").alias("_at"),
     )
-    with_cuts = join_small(times, plan.table, plan.keys)
+    due_times = join_small(exits.select(*keys, _DUE).distinct(), plan.table, plan.keys)
     # A probe stands before all rows of its time.
-    kinds = times.schema["_row"].dataType
     place = F.struct(
         *[
-            (due if i == 0 else F.lit(None)).cast(field.dataType).alias(field.name)
-            for i, field in enumerate(kinds.fields)
+            (F.col(_DUE) if i == 0 else F.lit(None)).cast(hot.schema[c].dataType).alias(c)
+            for i, c in enumerate(order)
         ]
     )
-    probes = with_cuts.select(
+    probes = due_times.select(
         *keys,
         slice_of(place).alias(SLICE),
-        due.alias("_point"),
+        F.col(_DUE).alias("_point"),
         F.lit(1).alias("_probe"),
-        F.col(_TIME).alias("_at"),
     )
     # Walking back in time, the latest row seen is the first one at or after a probe.
     back = (
@@ -219,7 +254,9 @@ def _successors(times: DataFrame, plan: SlicePlan, keys: Sequence[str]) -> DataF
     firsts = both.groupBy(*keys, SLICE).agg(F.min(row_point).alias("_first"))
     carried = firsts.select(*keys, SLICE, F.min("_first").over(later).alias("_after"))
     joined = join_small(inside, carried, [*keys, SLICE])
-    return joined.select(*keys, "_at", F.coalesce("_inside", "_after").alias("_next"))
+    return joined.select(
+        *keys, F.col("_point").alias(_DUE), F.coalesce("_inside", "_after").alias("_next")
+    )
 
 
 def throttle(
@@ -258,5 +295,5 @@ def throttle(
     return (
         _throttle_sorted(ordinary, keys, order, df.schema)
         .unionByName(always.select(*df.columns))
-        .unionByName(_throttle_hot(limited, plan, keys, order, df.columns))
+        .unionByName(_throttle_hot(limited, plan, keys, order, df.schema))
     )
