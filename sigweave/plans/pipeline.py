@@ -29,6 +29,13 @@ EVENT = "_event"
 
 @dataclass(frozen=True)
 class Pipeline:
+    """Input layout, rules, events and dimension tables of one pipeline.
+
+    ``observe`` names the counts of the stages: ``<name>`` has the lines read and
+    rejected, ``<name>_rows`` the rows left after the filter, ``<name>_events`` the event
+    rows after the throttle.
+    """
+
     interface: InterfaceSpec
     rules: Sequence[Rule] = ()
     events: Sequence[EventSpec] = ()
@@ -102,9 +109,9 @@ class Pipeline:
         On a table, hot keys are found once on the parsed rows for all rules and the
         throttle.
         """
-        rows = self.parse(lines)
+        rows = self._counted(self.parse(lines), "rows")
         if rows.isStreaming:
-            return self.detect(self.enrich(rows))
+            return self._counted(self.detect(self.enrich(rows)), "events")
         slices = NO_SLICES
         if self._stateful():
             slices = plan_slices(
@@ -113,7 +120,12 @@ class Pipeline:
                 self.order,
                 sampled=lambda thin: self._parse(thin(lines)),
             )
-        return self.detect(self.enrich(rows, slices), slices)
+        return self._counted(self.detect(self.enrich(rows, slices), slices), "events")
+
+    def _counted(self, df: DataFrame, stage: str) -> DataFrame:
+        if not self.observe:
+            return df
+        return df.observe(f"{self.observe}_{stage}", F.count(F.lit(1)).alias(stage))
 
     def _stateful(self) -> bool:
         context = RuleContext(self.dims, self.interface.keys, self.order)

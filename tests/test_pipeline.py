@@ -1,5 +1,7 @@
 """Rule order, pipelines, sources and sinks."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,6 +23,8 @@ from sigweave.sinks import all_columns_message, jdbc_options, key_partition, key
 from sigweave.sinks.writers import kafka_sink_options, write_sink
 from sigweave.sources import kafka_options, read_dimension, read_lines
 from sigweave.specs import EventSpec, InterfaceSpec, SinkSpec, SourceSpec
+from sigweave.streaming.monitor import StageMonitor
+from sigweave.streaming.run import run_to_table
 from tests.conftest import rows_of
 
 
@@ -117,6 +121,34 @@ def test_streamed_pipeline_sends_to_all_sinks(spark, sf_dir):
     assert rows_of(newest, *by_batch.columns) == rows_of(by_batch)
 
 
+def test_stages_are_counted(spark, sf_dir):
+    source = run_dir(spark, "lines")
+    lines = q._flow_lines(spark, sf_dir)
+    lines.coalesce(1).write.text(source)
+    flow = Pipeline(**{**q._flow(spark, sf_dir).__dict__, "observe": "flow"})
+    monitor = StageMonitor()
+    spark.streams.addListener(monitor)
+    try:
+        stream = read_lines(spark, SourceSpec("text", path=source))
+        found = run_to_table(flow.run(stream), run_dir(spark, "c"), run_dir(spark, "o"))
+        for _ in range(100):
+            if any(b["rows"] for b in monitor.batches):
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(monitor)
+    seen = {}
+    for batch in monitor.batches:
+        if batch["rows"]:
+            for counts in batch["observed"].values():
+                seen.update(counts)
+    assert seen["lines"] == lines.count()
+    assert seen["rejected"] == lines.filter("size(split(value, ',')) <> 6").count() > 0
+    assert seen["rows"] == flow.parse(lines).count()
+    assert seen["events"] == found.count()
+    assert found.count() == flow.run(lines).count()
+
+
 def test_events_without_interval_need_no_state(spark):
     interface = InterfaceSpec(["who", "t"], ["who"], "t")
     flow = Pipeline(interface, events=[EventSpec("all", "", ["who"]), EventSpec("b", "who = 'b'", ["t"])])
