@@ -3,9 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry_points
-
-QUERIES = entry_points.queries()
-CHECKS = entry_points.oracle_sql()
+from sigweave.plans.checks import CHECKS
+from sigweave.plans.queries import QUERIES
 
 
 def _sorted(rows, columns):
@@ -28,5 +27,10 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     assert ours[1]
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(CHECKS) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).columns == ["key", "value", "topic"]
