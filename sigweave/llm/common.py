@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sigweave.session import run_dir
 
 # A task handles its texts in slices of about this many bytes, however long a batch is.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
+# Rows of a batch that goes to Python; texts are long, so fewer than Spark's default.
+BATCH_ROWS = 1000
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -25,6 +27,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def texts_of(docs: DataFrame, *more: Column) -> DataFrame:
+    """doc_id, text and ``more`` of ``docs``, handed to Python in batches of bounded memory."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *more)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut so that ``column`` holds at most about ``SLICE_BYTES`` in each."""
     for batch in batches:

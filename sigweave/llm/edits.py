@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigweave.llm.common import slices
+from sigweave.llm.common import slices, texts_of
 from sigweave.llm.tokens import WordEncoder, encoder, split_words, vocabulary_path
 
 LEAF_CHARS = 256
@@ -163,9 +163,7 @@ def recount(docs: DataFrame, path: str | None = None) -> DataFrame:
                  "leaf_chars", "leaf_tokens"],
             )
 
-    source = docs.select(
-        F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("edits").cast(EDITS)
-    )
+    source = texts_of(docs, F.col("edits").cast(EDITS).alias("edits"))
     return source.mapInArrow(
         run,
         "doc_id long, tokens_before long, tokens_after long, chars_after long,"

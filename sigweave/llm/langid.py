@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigweave.llm.common import slices
+from sigweave.llm.common import slices, texts_of
 
 BUCKETS = 1 << 15
 DIM = 16
@@ -207,7 +207,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 ["doc_id", "lang_pred", "score", "rejected"],
             )
 
-    source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    source = texts_of(docs)
     return source.mapInArrow(run, "doc_id long, lang_pred string, score double, rejected boolean")
 
 

@@ -1,9 +1,9 @@
 """Packing in the order of a space-filling curve.
 
 A document is a hashed word-count vector of length one, projected to a few dimensions by
-random signs that a word's hash gives. The Hilbert key of the quantised point orders the
-documents, so neighbours on the curve use the same words. Ranges of that order hold about
-equally many bytes; each range is one stream of ids cut every ``length`` ids, and its rest is
+random weights that a word's hash gives. The Hilbert key of the quantised point orders the
+documents, so neighbours on the curve use the same words. The ids are sorted by ranges of
+that order; each range is one stream of ids cut every ``length`` ids, and its rest is
 cut at powers of two, which need no padding.
 """
 
@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigweave.llm.common import slices
+from sigweave.llm.common import slices, stored, texts_of
 from sigweave.llm.tokens import encoder, split_words, vocabulary_path
 
 LENGTH = 2048
@@ -27,7 +27,7 @@ DIMS = 4
 BITS = 10
 # A key's lower bits spread equal points, so that copies can fall into several ranges.
 SPREAD = 22
-RANGE_BYTES = 24 << 20
+RANGE_BYTES = 16 << 20
 _HALF = 1 << 15
 
 
@@ -92,24 +92,6 @@ def _ids_of(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False)
 
 
-def _ranges(source: DataFrame) -> list[int]:
-    """Key bounds of ranges of about ``RANGE_BYTES`` of text, from all documents."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            key = _key(_ids_of(batch), curve_keys(*split_words(batch.column("text"))))
-            yield pa.RecordBatch.from_arrays([pa.array(key)], ["key"])
-
-    size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = int(size // RANGE_BYTES) + 1
-    if parts == 1:
-        return []
-    places = [k / parts for k in range(1, parts)]
-    keys = source.mapInArrow(run, "key long")
-    found = keys.agg(F.percentile_approx("key", places, max(10_000, 20 * parts))).first()[0]
-    return sorted(set(found or []))
-
-
 def pack(
     docs: DataFrame,
     path: str | None = None,
@@ -126,11 +108,10 @@ def pack(
     empty table has no pieces.
     """
     path = path or vocabulary_path()
-    source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    bounds = _ranges(source)
+    source = texts_of(docs)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, edges = encoder(path), np.array(bounds, dtype=np.int64)
+        encode = encoder(path)
         for batch in slices(batches, "text"):
             words = split_words(batch.column("text"))
             key = _key(_ids_of(batch), curve_keys(*words))
@@ -140,7 +121,6 @@ def pack(
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    pa.array(np.searchsorted(edges, key)),
                     pa.array(key),
                     pa.array([size] * batch.num_rows, pa.int32()),
                     pa.array(
@@ -148,32 +128,37 @@ def pack(
                         pa.binary(),
                     ),
                 ],
-                ["doc_id", "range", "key", "width", "ids"],
+                ["doc_id", "key", "width", "ids"],
             )
 
-    rows = source.mapInArrow(keyed, "doc_id long, range long, key long, width int, ids binary")
-    parts = len(bounds) + 1
+    # Encoded once: the sampling of the ranges and the sort both read the stored ids.
+    rows = stored(
+        source.mapInArrow(keyed, "doc_id long, key long, width int, ids binary"), "packing"
+    )
+    size = rows.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = _Packer(length, with_ids)
+        from pyspark import TaskContext
+
+        packer = _Packer(TaskContext.get().partitionId(), length, with_ids)
         for batch in slices(batches, "ids"):
-            columns = [batch.column(c).to_pylist() for c in ("range", "doc_id", "width", "ids")]
-            for place, doc, width, raw in zip(*columns, strict=True):
-                packer.add(place, doc, np.frombuffer(raw, dtype=f"<u{width}").astype("<u4"))
+            columns = [batch.column(c).to_pylist() for c in ("doc_id", "width", "ids")]
+            for doc, width, raw in zip(*columns, strict=True):
+                packer.add(doc, np.frombuffer(raw, dtype=f"<u{width}").astype("<u4"))
             yield from packer.done()
         packer.close()
         yield from packer.done()
 
     # Equal keys are copies with equal hash bits: their order is that of doc_id.
     return (
-        rows.repartition(max(parts, 1), "range")
-        .sortWithinPartitions("range", "key", "doc_id", "ids")
+        rows.repartitionByRange(int(size // RANGE_BYTES) + 1, "key")
+        .sortWithinPartitions("key", "doc_id", "ids")
         .mapInArrow(cut, _Packer.SCHEMA)
     )
 
 
 class _Packer:
-    """Cuts the streams of a partition's ranges; holds the pieces of one sequence at most."""
+    """Cuts the stream of one range; holds the pieces of one sequence at most."""
 
     SCHEMA = (
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,"
@@ -182,17 +167,13 @@ class _Packer:
     _TYPES = [pa.int64()] * 7 + [pa.list_(pa.int32())]
     _NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
 
-    def __init__(self, length: int, with_ids: bool):
-        self._length, self._with_ids = length, with_ids
-        self._range: int | None = None
+    def __init__(self, place: int, length: int, with_ids: bool):
+        self._range, self._length, self._with_ids = place, length, with_ids
         self._open: list[tuple] = []
         self._fill = self._number = 0
         self._out: list[tuple] = []
 
-    def add(self, place: int, doc: int | None, ids: np.ndarray) -> None:
-        if place != self._range:
-            self.close()
-            self._range, self._number = place, 0
+    def add(self, doc: int | None, ids: np.ndarray) -> None:
         start = 0
         while start < len(ids):
             n = min(len(ids) - start, self._length - self._fill)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sigweave.llm.common import slices
+from sigweave.llm.common import slices, texts_of
 from sigweave.llm.tokens import encoder, vocabulary_path
 
 END_ID = 2
@@ -171,7 +171,7 @@ def write(docs: DataFrame, out: str, path: str | None = None, end_id: int = END_
         if docs:
             yield emit()
 
-    source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn(
+    source = texts_of(docs).withColumn(
         "h", F.xxhash64("text")
     )
     (

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sigweave.llm.common import components, slices, stored
+from sigweave.llm.common import components, slices, stored, texts_of
 
 SEED = 42
 # Bit groups (first bit, width); pairs of them name the buckets.
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
                 ["doc_id", "fp"],
             )
 
-    source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    source = texts_of(docs)
     return source.mapInArrow(run, "doc_id long, fp long")
 
 

@@ -16,8 +16,11 @@ import pyarrow.compute as pc
 
 VOCABULARY = "word_bpe_49k.json"
 # A worker forgets its words beyond these numbers of words and ids.
-MOST_WORDS = 400_000
+MOST_WORDS = 600_000
 MOST_IDS = 4_000_000
+# New words that the library gets at once; its own records of a text are large.
+ENCODE_WORDS = 8192
+MARK = "|"
 _SPACES = re.compile(r"[ \t\n\r\x0b\x0c]+")
 _ENCODERS: dict[str, WordEncoder] = {}
 
@@ -52,14 +55,30 @@ class WordEncoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self._tokenizer.get_vocab_size() <= 1 << 16 else 4
+        # A mark that is one token by itself parts words that are encoded together.
+        alone = self._tokenizer.encode(MARK, add_special_tokens=False).ids
+        self._mark = alone[0] if len(alone) == 1 else None
+        self._slot: dict[str, int] = {}
+        self._lengths = self._firsts = self._met = self._pool = np.zeros(0, dtype=np.int64)
         self._forget()
 
     def _forget(self) -> None:
-        self._slot: dict[str, int] = {}
+        """Drop the words that were met once only, or all if most were met again."""
+        met = np.flatnonzero(self._met[: len(self._slot)]) if self._slot else []
+        kept = len(met) <= MOST_WORDS // 2 and self._lengths[met].sum() <= MOST_IDS // 2
+        words, old = list(self._slot) if kept else [], self._slot
+        self._slot = {}
+        lengths, firsts, pool = self._lengths, self._firsts, self._pool
         self._lengths = np.zeros(1024, dtype=np.int64)
         self._firsts = np.zeros(1024, dtype=np.int64)
+        self._met = np.zeros(1024, dtype=bool)
         self._pool = np.zeros(4096, dtype=np.uint32)
         self._used = 0
+        if kept and old:
+            self._slot.update((words[i], n) for n, i in enumerate(met.tolist()))
+            n = lengths[met]
+            before = np.cumsum(n) - n
+            self._add(n, pool[np.repeat(firsts[met] - before, n) + np.arange(n.sum())])
 
     def _add(self, lengths: np.ndarray, ids: np.ndarray) -> None:
         """Append to the arrays, which double when they are full."""
@@ -68,6 +87,7 @@ class WordEncoder:
         while words > len(self._lengths):
             self._lengths = np.concatenate([self._lengths, np.zeros_like(self._lengths)])
             self._firsts = np.concatenate([self._firsts, np.zeros_like(self._firsts)])
+            self._met = np.concatenate([self._met, np.zeros_like(self._met)])
         while self._used + len(ids) > len(self._pool):
             self._pool = np.concatenate([self._pool, np.zeros_like(self._pool)])
         self._lengths[at:words] = lengths
@@ -78,18 +98,42 @@ class WordEncoder:
     def _slots(self, distinct: list[str]) -> np.ndarray:
         if len(self._slot) > MOST_WORDS or self._used > MOST_IDS:
             self._forget()
-        new = list(dict.fromkeys(w for w in distinct if w not in self._slot))
-        if new:
-            found = [
-                e.ids for e in self._tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            ]
-            first = len(self._slot)
-            self._slot.update(zip(new, range(first, first + len(new)), strict=True))
-            lengths = np.fromiter((len(i) for i in found), dtype=np.int64, count=len(found))
-            ids = np.fromiter((i for w in found for i in w), dtype=np.uint32, count=lengths.sum())
-            self._add(lengths, ids)
         slot = self._slot
-        return np.fromiter((slot[w] for w in distinct), dtype=np.int64, count=len(distinct))
+        found = np.fromiter((slot.get(w, -1) for w in distinct), dtype=np.int64, count=len(distinct))
+        self._met[found[found >= 0]] = True
+        missing = np.flatnonzero(found < 0).tolist()
+        if missing:
+            new = list(dict.fromkeys(distinct[i] for i in missing))
+            for start in range(0, len(new), ENCODE_WORDS):
+                part = new[start : start + ENCODE_WORDS]
+                plain = [w for w in part if MARK not in w] if self._mark is not None else []
+                odd = [w for w in part if MARK in w] if plain else part
+                for words, (lengths, ids) in (
+                    (plain, self._together(plain)),
+                    (odd, self._apart(odd)),
+                ):
+                    slot.update(zip(words, range(len(slot), len(slot) + len(words)), strict=True))
+                    self._add(lengths, ids)
+            found[missing] = [slot[distinct[i]] for i in missing]
+        return found
+
+    def _apart(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and ids of words, each encoded by itself."""
+        found = [e.ids for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        lengths = np.fromiter((len(i) for i in found), dtype=np.int64, count=len(found))
+        return lengths, np.array([i for w in found for i in w], dtype=np.uint32)
+
+    def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words without the mark, many to a text with the mark between them."""
+        if not words:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint32)
+        lines = [f" {MARK} ".join([*words[i : i + 64], ""]) for i in range(0, len(words), 64)]
+        found = self._tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in found])
+        marks = np.flatnonzero(ids == self._mark)
+        if len(marks) != len(words):
+            return self._apart(words)
+        return np.diff(np.concatenate([[-1], marks])) - 1, np.delete(ids, marks)
 
     def counts(self, distinct: list[str]) -> np.ndarray:
         """Number of ids of each word."""

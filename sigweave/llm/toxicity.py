@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigweave.llm.common import slices, stored
+from sigweave.llm.common import slices, stored, texts_of
 
 SLOTS = 1 << 18
 STEM = 4
@@ -127,7 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Tox
     chosen = marked.filter(f"pmod(xxhash64(doc_id, 9), 1000000) < {share * 1_000_000:.0f}")
     # At most about train_rows small rows, whatever the tables hold.
     texts = stored(
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+        texts_of(docs)
         .join(F.broadcast(chosen), "doc_id")
         .select("doc_id", "toxic", "text", F.xxhash64("text").alias("h")),
         "toxic-train",
@@ -267,7 +267,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
                 ["doc_id", "score", "passages"],
             )
 
-    source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    source = texts_of(docs)
     return source.mapInArrow(
         run, "doc_id long, score double, passages array<struct<start:long,end:long,score:double>>"
     )
