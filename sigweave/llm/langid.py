@@ -119,21 +119,25 @@ def fit(docs: DataFrame, rows: int = TRAIN_ROWS, seed: int = 7) -> LanguageModel
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("lang"),
-                    pa.array([i for i, _ in out], pa.list_(pa.int32())),
-                    pa.array([w for _, w in out], pa.list_(pa.float32())),
+                    pa.array([i.astype("<i4").tobytes() for i, _ in out], pa.binary()),
+                    pa.array([w.astype("<f4").tobytes() for _, w in out], pa.binary()),
                 ],
                 ["lang", "idx", "w"],
             )
 
-    kinds = "lang string, idx array<int>, w array<float>"
-    texts = {}
-    for lang, idx, w in drawn.mapInArrow(run, kinds).collect():
-        if idx:
-            row = np.array(idx, dtype=np.int64), np.array(w, dtype=np.float32)
-            texts[lang, row[0].tobytes(), row[1].tobytes()] = row
+    kinds = "lang string, idx binary, w binary"
+    # Packed numbers: a list of Python objects would take ten times the memory.
+    texts = {
+        (r.lang, bytes(r.idx), bytes(r.w)): None
+        for r in drawn.mapInArrow(run, kinds).toLocalIterator()
+        if r.idx
+    }
     keys = sorted(texts)
     languages = sorted({k[0] for k in keys})
-    data = [(*texts[k], languages.index(k[0])) for k in keys]
+    data = [
+        (np.frombuffer(idx, dtype="<i4"), np.frombuffer(w, dtype="<f4"), languages.index(lang))
+        for lang, idx, w in keys
+    ]
     return train(data, languages, seed)
 
 
