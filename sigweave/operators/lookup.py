@@ -3,7 +3,8 @@
 No broadcast is forced: Spark broadcasts a dimension when its measured size is below
 ``spark.sql.autoBroadcastJoinThreshold`` (at planning, or at run time under AQE) and
 otherwise shuffles both sides, where AQE splits the partitions of hot keys. Rows without a
-usable key would all meet in one partition, so they get scattered keys that match nothing.
+usable key meet in one partition and are split in the same way. The join columns are the keys
+alone, so a later window or join on the same key needs no further exchange.
 """
 
 from __future__ import annotations
@@ -15,28 +16,11 @@ from pyspark.sql import functions as F
 
 from sigweave.functions.codes import clean_identity, device_code
 
-SCATTER = 4096
-
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _scattered(keys: Sequence[Column], spread: Column) -> list[Column]:
-    """Join columns of the fact side: the keys and a lane.
-
-    The lane is 0 for rows with a complete key, as for all dimension rows. Other rows get a
-    lane from the hash of the row.
-    """
-    complete = None
-    for key in keys:
-        complete = key.isNotNull() if complete is None else complete & key.isNotNull()
-    lane = F.when(complete, F.lit(0)).otherwise(
-        F.lit(1) + F.pmod(spread, F.lit(SCATTER)).cast("int")
-    )
-    return [*keys, lane]
-
-
 def lookup(
     df: DataFrame,
     dim: DataFrame,
@@ -48,17 +32,14 @@ def lookup(
     """Left look-up: adds struct ``into`` with ``columns`` of ``dim``; null if not found.
 
     ``on`` pairs a fact expression with a dimension column. The dimension must hold one
-    row per key. Facts with a null key part are kept and find nothing.
+    row per key. Facts with a null key part are kept and find nothing; like any hot key they
+    are split by adaptive execution, which may split the left side of a left join.
     """
     keys = [_col(fact) for fact, _ in on]
-    hashable = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
-    joined_keys = _scattered(keys, F.xxhash64(*hashable))
-    names = [f"_k{i}" for i in range(len(joined_keys))]
-    facts = df.select("*", *[k.alias(n) for k, n in zip(joined_keys, names)])
+    names = [f"_k{i}" for i in range(len(keys))]
+    facts = df.select("*", *[k.alias(n) for k, n in zip(keys, names)])
     entries = dim.select(
         *[F.col(d).alias(n) for (_, d), n in zip(on, names)],
-        # Always 0, in a form that stays a join column instead of a constant.
-        F.pmod(F.xxhash64(*[d for _, d in on]), F.lit(1)).cast("int").alias(names[-1]),
         F.struct(*columns).alias(into),
     )
     return facts.join(entries, names, "left").drop(*names)

@@ -141,7 +141,8 @@ def derive_and_filter(
     column for the filter and again for the result. Such columns go through a generator
     that computes them once; the others are computed for the remaining rows only.
     """
-    words = set(re.findall(r"\w+", (condition or "").lower()))
+    text = (condition or "").lower()
+    words = {*re.findall(r"\w+", text), *re.findall(r"`([^`]+)`", text)}
     tested = [(name, e) for name, e in derived if name.lower() in words]
     if any(name in df.columns for name, _ in derived):
         return filter_rows(derive(df, derived), condition)

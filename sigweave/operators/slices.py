@@ -51,7 +51,7 @@ class SlicePlan:
         """Adds the slice number; null for keys that are not cut."""
         if self.table is None:
             return df.withColumn(SLICE, F.lit(None).cast("int"))
-        joined = join_small(df, self.table, self.keys)
+        joined = join_small(df, self.table, self.keys, bounded=True)
         place = slice_of(F.struct(*self.order))
         return joined.select(*df.columns, place.alias(SLICE))
 
@@ -64,8 +64,14 @@ class SlicePlan:
         )
 
 
-def join_small(df: DataFrame, small: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Left join with a broadcast of a table bounded by ``MAX_SLICES``; nulls match."""
+def join_small(
+    df: DataFrame, small: DataFrame, cols: Sequence[str], *, bounded: bool = False
+) -> DataFrame:
+    """Left join on ``cols`` where nulls match.
+
+    ``bounded`` says that ``MAX_SLICES`` bounds the table, so that it may be broadcast. Other
+    tables may grow with further keys; adaptive execution broadcasts them if they are small.
+    """
     renamed = small.select(
         *[F.col(c).alias(f"_j_{c}") if c in cols else F.col(c) for c in small.columns]
     )
@@ -73,7 +79,7 @@ def join_small(df: DataFrame, small: DataFrame, cols: Sequence[str]) -> DataFram
     for c in cols:
         equal = df[c].eqNullSafe(renamed[f"_j_{c}"])
         condition = equal if condition is None else condition & equal
-    return df.join(F.broadcast(renamed), condition, "left").drop(
+    return df.join(F.broadcast(renamed) if bounded else renamed, condition, "left").drop(
         *[f"_j_{c}" for c in cols]
     )
 
@@ -135,7 +141,7 @@ def plan_slices(
     # Every so many sample rows of a hot key there is a cut: at most max_slices in total.
     fraction = min(1.0, POINTS_PER_SLICE / limit)
     every = max(1, round(limit * fraction))
-    points = join_small(sample(fraction), hot, keys).filter(F.col("_seen").isNotNull())
+    points = join_small(sample(fraction), hot, keys, bounded=True).filter(F.col("_seen").isNotNull())
     number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     cuts = (
         points.withColumn("_number", number)

@@ -223,7 +223,9 @@ def _successors(
         F.col(_TIME).alias("_point"),
         F.lit(0).alias("_probe"),
     )
-    due_times = join_small(exits.select(*keys, _DUE).distinct(), plan.table, plan.keys)
+    due_times = join_small(
+        exits.select(*keys, _DUE).distinct(), plan.table, plan.keys, bounded=True
+    )
     # A probe stands before all rows of its time.
     place = F.struct(
         *[

@@ -318,8 +318,7 @@ def _throttle_ctes(source: str, seconds: int) -> list[str]:
 
 THROTTLE = _with(
     _S,
-    "wanted AS (SELECT event_id, ts_ms, imsi, event_type FROM signals"
-    " WHERE event_type <> 'error')",
+    "wanted AS (SELECT event_id, ts_ms, imsi, event_type FROM signals)",
     *_throttle_ctes("wanted", DAY_S),
     body="SELECT * FROM kept",
     recursive=True,

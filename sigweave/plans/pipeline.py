@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sigweave.functions.sql import register_functions
 from sigweave.operators.latest import latest_per_key
 from sigweave.operators.parse import (
     cast_fields,
@@ -95,6 +96,10 @@ class Pipeline:
                 keep_latest=F.col(EVENT).isin(kept) if kept else None,
                 ttl_ms=self.ttl_ms,
             )
+        if self.clock == "processing":
+            # All rows of a table are handled at one time: the first of a key passes.
+            timed = matched.withColumn("_clock", F.unix_millis(F.current_timestamp()))
+            return throttle(timed, keys, ["_clock", *self.order], self._interval()).drop("_clock")
         return throttle(matched, keys, self.order, self._interval(), slices=slices)
 
     def _interval(self) -> Column:
@@ -109,6 +114,7 @@ class Pipeline:
         On a table, hot keys are found once on the parsed rows for all rules and the
         throttle.
         """
+        register_functions(lines.sparkSession)
         rows = self._counted(self.parse(lines), "rows")
         if rows.isStreaming:
             return self._counted(self.detect(self.enrich(rows)), "events")

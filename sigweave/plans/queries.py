@@ -247,7 +247,7 @@ def sql_functions(spark: SparkSession, sf_dir: str) -> Query:
     """The functions inside expression texts, as events and derived columns use them."""
     rows = t.signals(spark, sf_dir)
     register_functions(spark, NOW)
-    return rows.selectExpr(
+    found = rows.selectExpr(
         "event_id",
         "hex_code(CAST(k * 700 AS STRING)) AS code",
         "currenttimesub(k * 1000) AS before",
@@ -259,6 +259,9 @@ def sql_functions(spark: SparkSession, sf_dir: str) -> Query:
         "device_code(imei) AS code8",
         "parse_time(ms_to_text(ts_ms, 'yyyyMMdd'), 'yyyyMMdd') AS printed",
     )
+    # The fixed clock holds for this query only.
+    register_functions(spark)
+    return found
 
 
 # Enrichment
@@ -335,9 +338,7 @@ def location_stay(spark: SparkSession, sf_dir: str) -> Query:
 
 
 def _throttle_rows(rows: DataFrame) -> DataFrame:
-    return rows.select("event_id", "ts_ms", "imsi", "event_type").filter(
-        "event_type <> 'error'"
-    )
+    return rows.select("event_id", "ts_ms", "imsi", "event_type")
 
 
 def event_throttle(spark: SparkSession, sf_dir: str) -> Query:

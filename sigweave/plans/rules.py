@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from typing import Protocol
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sigweave.operators import keyed, lookup, stay
 from sigweave.operators.slices import NO_SLICES, SlicePlan, plan_slices
@@ -98,6 +99,10 @@ class TerminalRule(BaseRule):
         )
 
 
+# Columns that a rule makes for its step on streams.
+_MADE = "_text_"
+
+
 @dataclass(frozen=True)
 class PreviousRule(BaseRule):
     column: str = "imei"
@@ -113,8 +118,12 @@ class PreviousRule(BaseRule):
             slices=context.slices,
         )
 
+    def prepare(self, df, context):
+        # As text by Spark's rules, so that streams and tables agree.
+        return df.withColumn(f"{_MADE}{self.label}", F.col(self.column).cast("string"))
+
     def step(self, context):
-        return PreviousStep(self.column, self.label)
+        return PreviousStep(f"{_MADE}{self.label}", self.label)
 
 
 @dataclass(frozen=True)
@@ -263,13 +272,17 @@ def _attach_to_stream(df, chain, context, ttl_ms) -> DataFrame:
         step = rule.step(context)
         if step is None:
             if waiting:
-                df = keyed_rules(df, context.keys, context.order, waiting, ttl_ms=ttl_ms)
+                df = _keyed(df, waiting, context, ttl_ms)
                 waiting = []
             df = rule.attach(df, context)
         else:
             # Stateless look-ups of a keyed rule need no state, so they may go first.
             df = rule.prepare(df, context)
             waiting.append(step)
-    if waiting:
-        df = keyed_rules(df, context.keys, context.order, waiting, ttl_ms=ttl_ms)
-    return df
+    return _keyed(df, waiting, context, ttl_ms) if waiting else df
+
+
+def _keyed(df, steps, context, ttl_ms) -> DataFrame:
+    """One stateful operator for ``steps``, without the columns made for them."""
+    labelled = keyed_rules(df, context.keys, context.order, steps, ttl_ms=ttl_ms)
+    return labelled.drop(*[c for c in df.columns if c.startswith(_MADE)])

@@ -16,7 +16,7 @@ _SIGNAL = [
     ("event_type", "event_type"),
     ("value", "value"),
     ("k", "k"),
-    ("lac", "lpad(CAST(event_id % 25 AS STRING), 4, '0')"),
+    ("lac", "lpad(CAST(event_id % 26 AS STRING), 4, '0')"),
     ("ci", "CAST(k % 4 AS STRING)"),
     ("imsi", _PAD.format("user_id")),
     (
@@ -112,7 +112,7 @@ def signal_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation").filter("n_nationkey < 24")
+    nation = table(spark, sf_dir, "nation")
     return nation.selectExpr(*_exprs(_SITE))
 
 
@@ -146,7 +146,7 @@ SIGNALS_SQL = (
     + " AS callingimei FROM (SELECT *, epoch_us(ts) // 1000 AS ts_ms,"
     " CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events))"
 )
-SITES_SQL = f"sites AS (SELECT {_select(_SITE)} FROM nation WHERE n_nationkey < 24)"
+SITES_SQL = f"sites AS (SELECT {_select(_SITE)} FROM nation)"
 USERS_SQL = f"users AS (SELECT {_select(_USER)} FROM customer)"
 TERMINALS_SQL = f"terminals AS (SELECT {_select(_TERM)} FROM part)"
 

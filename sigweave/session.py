@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -40,12 +41,14 @@ def prepare(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` when the session names one.
 
-    Only a session without that setting (a test on one machine) gets a temporary folder.
-    Reliable checkpoints go there too.
+    Without that setting a session on one machine (a test) gets a temporary folder; a cluster
+    must name one, since its machines share no local folder. Reliable checkpoints go there too.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not context.getCheckpointDir():
+        if not named and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="sigweave-"))
     return (named or context.getCheckpointDir()).rstrip("/")
 

@@ -72,6 +72,8 @@ def fan_out(
     """
     sinks = [(event, sink) for event in events for sink in event.sinks]
     if not sinks:
+        # A stateful stream fails if nobody reads its batch.
+        rows.write.format("noop").mode("overwrite").save()
         return
     if len(sinks) > 1:
         rows.persist(StorageLevel.MEMORY_AND_DISK)

@@ -10,11 +10,6 @@ from pyspark.sql import functions as F
 from sigweave.specs import SourceSpec
 
 
-# Upper bounds of a micro-batch unless the source's options say otherwise.
-MAX_OFFSETS = "20000000"
-MAX_FILES = "1000"
-
-
 def kafka_options(spec: SourceSpec) -> dict[str, str]:
     """Options of Spark's Kafka source for ``spec``."""
     if not spec.topics or not spec.brokers:
@@ -28,6 +23,11 @@ def kafka_options(spec: SourceSpec) -> dict[str, str]:
     if spec.min_partitions:
         options["minPartitions"] = str(spec.min_partitions)
     if spec.offsets:
+        # Only the named partitions are read: Spark wants a place for each one it reads.
+        if set(spec.offsets) != set(spec.topics):
+            raise ValueError("offsets must name partitions of every topic and of no other")
+        del options["subscribe"]
+        options["assign"] = json.dumps({t: sorted(parts) for t, parts in spec.offsets.items()})
         # Used on the first start only; later starts go on from the checkpoint.
         options["startingOffsets"] = json.dumps(
             {t: {str(p): o for p, o in parts.items()} for t, parts in spec.offsets.items()}
@@ -42,14 +42,10 @@ def read_lines(spark: SparkSession, spec: SourceSpec, *, streaming: bool = True)
     if spec.kind == "kafka":
         if spec.payload not in ("key", "value"):
             raise ValueError(f"unknown payload {spec.payload!r}")
-        if streaming:
-            reader = reader.option("maxOffsetsPerTrigger", MAX_OFFSETS)
         raw = reader.format("kafka").options(**kafka_options(spec)).load()
         return raw.select(F.col(spec.payload).cast("string").alias("value"))
     if spec.kind == "text":
         if not spec.path:
             raise ValueError("a text source needs a path")
-        if streaming:
-            reader = reader.option("maxFilesPerTrigger", MAX_FILES)
         return reader.options(**spec.options).text(spec.path).select("value")
     raise ValueError(f"source kind {spec.kind!r} is not supported")

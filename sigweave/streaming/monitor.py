@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql.streaming import StreamingQueryListener
 
 
 class StageMonitor(StreamingQueryListener):
-    """Keeps observed counts and stage durations of the most recent micro-batches."""
+    """Hands observed counts and stage durations of every micro-batch to ``handle``.
+
+    Without one the records gather in ``batches``; a stream that never ends should give one.
+    """
 
-    def __init__(self, keep: int = 1000):
-        self.keep = keep
+    def __init__(self, handle: Callable[[dict], None] | None = None):
         self.batches: list[dict] = []
+        self.handle = handle or self.batches.append
         self.failures: list[str] = []
 
     def onQueryStarted(self, event) -> None:
@@ -18,7 +23,7 @@ class StageMonitor(StreamingQueryListener):
 
     def onQueryProgress(self, event) -> None:
         progress = event.progress
-        self.batches.append(
+        self.handle(
             {
                 "batch": progress.batchId,
                 "rows": progress.numInputRows,
@@ -28,7 +33,6 @@ class StageMonitor(StreamingQueryListener):
                 },
             }
         )
-        del self.batches[: -self.keep]
 
     def onQueryIdle(self, event) -> None:
         pass

@@ -65,13 +65,15 @@ class TrackStep:
         lat, lon, t = row[self.latitude], row[self.longitude], row[self.time]
         parts = [row[c] for c in self.site]
         site = None if None in parts else "".join(parts)
+        before = state["track_site"]
+        if t is None:
+            return None, None, "" if before is None else before
         distance = speed = None
         if state["track_time"] is not None:
             distance = _whole_km(lat, lon, state["track_latitude"], state["track_longitude"])
             elapsed = t - state["track_time"]
             if elapsed and distance is not None:
                 speed = distance / elapsed
-        before = state["track_site"]
         state.update(
             track_latitude=lat, track_longitude=lon, track_time=t, track_site=site
         )
@@ -130,8 +132,9 @@ class StayStep:
     def apply(self, row, state):
         label = dict.fromkeys(self.areas, NO_LIMIT)
         here = [a for a in self.areas if row[f"area_{a}"] == "true"]
-        if here:
-            t = row[self.time]
+        t = row[self.time]
+        # A row without a time changes nothing.
+        if here and t is not None:
             lasts = [state[f"stay_last_{a}"] for a in self.areas]
             latest = max((x for x in lasts if x is not None), default=0)
             if t - latest > self.timeout_ms:

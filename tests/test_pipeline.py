@@ -5,6 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from sigweave.operators.parse import derive_and_filter
 from sigweave.operators.slices import plan_slices
 from sigweave.plans import queries as q
 from sigweave.plans import tables as t
@@ -14,6 +15,7 @@ from sigweave.plans.rules import (
     BaseRule,
     FunctionRule,
     PreviousRule,
+    StayRule,
     attach_rules,
     ordered_rules,
     register_rule,
@@ -165,19 +167,23 @@ def test_kafka_source_options():
         brokers="h:1",
         group="g",
         min_partitions=6,
-        offsets={"a": {0: 5, 1: 7}},
+        offsets={"a": {1: 7, 0: 5}, "b": {2: 1}},
         options={"maxOffsetsPerTrigger": "10"},
     )
     assert kafka_options(spec) == {
         "kafka.bootstrap.servers": "h:1",
-        "subscribe": "a,b",
+        "assign": '{"a": [0, 1], "b": [2]}',
         "kafka.group.id": "g",
         "minPartitions": "6",
-        "startingOffsets": '{"a": {"0": 5, "1": 7}}',
+        "startingOffsets": '{"a": {"1": 7, "0": 5}, "b": {"2": 1}}',
         "maxOffsetsPerTrigger": "10",
     }
     with pytest.raises(ValueError):
         kafka_options(SourceSpec("kafka", topics=["a"]))
+    with pytest.raises(ValueError):
+        kafka_options(
+            SourceSpec("kafka", topics=["a", "b"], brokers="h:1", offsets={"a": {0: 1}})
+        )
 
 
 class _Recorder:
@@ -296,3 +302,62 @@ def test_messages_without_key_are_spread(spark):
     )
     found = key_partition(df, 8)
     assert found.select("partition").distinct().count() == 8
+
+
+def _flow(**more):
+    return Pipeline(
+        InterfaceSpec(
+            fields=["who", "t", "flag"],
+            keys=["who"],
+            time="ms",
+            derived=[("ms", "try_cast(t AS BIGINT)"), ("on", "flag = 'y'")],
+        ),
+        **more,
+    )
+
+
+def _text_stream(spark, lines):
+    path = run_dir(spark, "lines")
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    return spark.readStream.text(path)
+
+
+def test_bad_time_and_no_sink_do_not_stop_a_stream(spark):
+    flow = _flow(
+        rules=[FunctionRule("near", lambda d: d.withColumn("area_A", F.lit("true"))),
+               StayRule("stay", areas=["A"], limits=[5], depends_on=["near"])],
+        events=[EventSpec("all", None, [], keep_latest=True)],
+    )
+    checkpoint = run_dir(spark, "checkpoint")
+    query = flow.start(_text_stream(spark, ["a,1,y", "a,bad,y", "a,9,n"]), checkpoint)
+    query.awaitTermination()
+    assert query.exception() is None
+    latest = flow.latest_of_stream(spark, checkpoint, flow.events[0])
+    assert rows_of(latest, "who", "ms", "stay_A") == [("a", 9, "5")]
+
+
+def test_processing_clock_on_a_table(spark):
+    event = EventSpec("all", None, [], interval_s=10)
+    lines = spark.createDataFrame([("a,1,y",), ("a,99000,y",), ("b,2,n",)], "value string")
+    assert rows_of(_flow(events=[event]).run(lines), "who", "ms") == [("a", 1), ("a", 99000), ("b", 2)]
+    found = _flow(events=[event], clock="processing").run(lines)
+    assert rows_of(found, "who", "ms") == [("a", 1), ("b", 2)]
+
+
+def test_previous_value_of_a_boolean_is_the_same_on_streams(spark):
+    flow = _flow(rules=[PreviousRule("last", column="on", label="was")], events=[EventSpec("all", None, [])])
+    lines = ["a,1,y", "a,2,n", "a,3,y"]
+    table = spark.createDataFrame([(x,) for x in lines], "value string")
+    expected = flow.run(table)
+    found = run_to_table(
+        flow.run(_text_stream(spark, lines)), run_dir(spark, "checkpoint"), run_dir(spark, "out")
+    )
+    assert found.columns == expected.columns
+    assert rows_of(found) == rows_of(expected)
+    assert rows_of(found, "was") == [("",), ("false",), ("true",)]
+
+
+def test_quoted_names_in_a_filter(spark):
+    rows = spark.createDataFrame([(1,), (5,)], "x int")
+    found = derive_and_filter(rows, [("my-col", "x + 1"), ("y", "x")], "`my-col` > 3")
+    assert rows_of(found) == [(5, 6, 5)]
