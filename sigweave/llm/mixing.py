@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 BLOCK_DOCS = 16
@@ -108,11 +108,10 @@ def mixed(
     keyed = keyed.withColumn("mix_bins", F.create_map(*shares)[F.col("mix_source")]).withColumn(
         "mix_bin", F.expr("shiftright(shiftrightunsigned(mix_order, 32) * mix_bins, 32)")
     )
-    in_bins = Window.partitionBy("mix_source").orderBy("mix_bin").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    before = keyed.groupBy("mix_source", "mix_bin").agg(F.count("*").alias("n")).select(
-        "mix_source", "mix_bin", F.coalesce(F.sum("n").over(in_bins), F.lit(0)).alias("mix_before")
+    before = _before(
+        keyed.groupBy("mix_source", "mix_bin").agg(
+            F.first("mix_bins").alias("mix_bins"), F.count("*").alias("n")
+        )
     )
     order = Window.partitionBy("mix_source", "mix_bin").orderBy(
         F.expr("shiftrightunsigned(mix_order, 1)"), "mix_order", "doc_id"
@@ -149,6 +148,38 @@ def mixed(
     return _finished(placed, F.col("mix_block"), F.col("mix_slot"), position)
 
 
+def _before(bins: DataFrame) -> DataFrame:
+    """mix_source, mix_bin and mix_before, the documents of the source in earlier bins.
+
+    Bins form groups of the square root of their number, and sums run over the groups of a
+    source and over the bins of a group: no window holds all bins of a hot source.
+    """
+    bins = bins.withColumn(
+        "mix_group", F.expr("mix_bin DIV CAST(ceil(sqrt(mix_bins)) AS BIGINT)")
+    )
+
+    def earlier(*part: str) -> WindowSpec:
+        return Window.partitionBy(*part[:-1]).orderBy(part[-1]).rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+
+    groups = (
+        bins.groupBy("mix_source", "mix_group")
+        .agg(F.sum("n").alias("n"))
+        .select(
+            "mix_source",
+            "mix_group",
+            F.coalesce(F.sum("n").over(earlier("mix_source", "mix_group")), F.lit(0)).alias("first"),
+        )
+    )
+    inside = F.coalesce(F.sum("n").over(earlier("mix_source", "mix_group", "mix_bin")), F.lit(0))
+    return (
+        bins.withColumn("inside", inside)
+        .join(groups, ["mix_source", "mix_group"])
+        .select("mix_source", "mix_bin", (F.col("first") + F.col("inside")).alias("mix_before"))
+    )
+
+
 def _finished(rows: DataFrame, block: Column, slot: Column, position: Column) -> DataFrame:
     rows = rows.withColumns({"block": block, "slot": slot, "position": position.cast("long")})
     rows = rows.withColumn(

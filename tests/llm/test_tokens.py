@@ -198,7 +198,9 @@ def test_schedule_keeps_each_source_within_a_block(weights):
             assert abs(sum(s < t for s in slots[name]) - w * t / total) < 1
 
 
-def test_mixing(spark):
+@pytest.mark.parametrize("bin_docs", [128, 3])
+def test_mixing(spark, monkeypatch, bin_docs):
+    monkeypatch.setattr(mixing, "BIN_DOCS", bin_docs)
     rng = random.Random(6)
     rows = [(i, "t", rng.choice(["big"] * 6 + ["b", "c", None, "other"])) for i in range(900)]
     rows += [(None, "t", "big"), rows[0], rows[0]]
