@@ -126,10 +126,11 @@ def fit(docs: DataFrame, rows: int = TRAIN_ROWS, seed: int = 7) -> LanguageModel
             )
 
     kinds = "lang string, idx binary, w binary"
-    # Packed numbers: a list of Python objects would take ten times the memory.
+    # Packed numbers: a list of Python objects would take ten times the memory. Copies are
+    # merged before the driver sees them, since a group of copies has no bound.
     texts = {
         (r.lang, bytes(r.idx), bytes(r.w)): None
-        for r in drawn.mapInArrow(run, kinds).toLocalIterator()
+        for r in drawn.mapInArrow(run, kinds).distinct().toLocalIterator()
         if r.idx
     }
     keys = sorted(texts)
