@@ -125,16 +125,18 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Tox
     )
     share = min(1.0, train_rows / max(1, marked.count()))
     chosen = marked.filter(f"pmod(xxhash64(doc_id, 9), 1000000) < {share * 1_000_000:.0f}")
-    # At most about train_rows small rows, whatever the tables hold.
+    # At most about train_rows rows of two numbers, since each doc_id is there once.
     texts = stored(
         texts_of(docs)
         .join(F.broadcast(chosen), "doc_id")
         .select("doc_id", "toxic", "text", F.xxhash64("text").alias("h")),
         "toxic-train",
     )
-    first = texts.groupBy("h").agg(F.min("doc_id").alias("doc_id"))
-    train = texts.join(F.broadcast(first), ["h", "doc_id"]).withColumn(
-        "hold", F.expr("pmod(h, 3) = 0")
+    # One row per text, whichever documents repeat it and however often.
+    train = (
+        texts.groupBy("h")
+        .agg(F.min(F.struct("doc_id", "toxic", "text")).alias("row"))
+        .select("row.*", F.expr("pmod(h, 3) = 0").alias("hold"))
     )
     model = _odds(train.filter("NOT hold"))
     return _calibrated(train.filter("hold"), model)

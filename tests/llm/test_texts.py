@@ -149,6 +149,17 @@ def test_toxicity_of_odd_texts(spark):
     assert toxicity.score(_docs(spark, []), model).count() == 0
 
 
+def test_repeated_rows_teach_once(spark):
+    rows, marks = _toxic_rows(300, 9)
+    labels = spark.createDataFrame(marks, LABELS)
+    once = toxicity.fit(_docs(spark, rows), labels)
+    often = toxicity.fit(_docs(spark, rows + rows[:40] * 5), labels)
+    assert np.array_equal(once.word_odds, often.word_odds) and once.weights == often.weights
+    rows = _language_rows(120, 10)
+    once, often = (langid.fit(_docs(spark, r)) for r in (rows, rows + rows[:9] * 6))
+    assert np.array_equal(once.logits, often.logits)
+
+
 def test_toxicity_without_labels(spark):
     rows, _ = _toxic_rows(20, 6)
     model = toxicity.fit(_docs(spark, rows), spark.createDataFrame([], LABELS))
