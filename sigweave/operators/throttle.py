@@ -288,8 +288,10 @@ def throttle(
     plan = resolve(slices, timed, keys, order)
     if not plan.hot:
         return _throttle_sorted(timed, keys, order, df.schema)
-    # Several steps read the rows, so what leads to them is computed only once.
-    ordinary, hot = plan.split(cut_lineage(timed))
+    ordinary, hot = plan.split(timed)
+    # Several steps read the hot rows, so what leads to them is computed only once; the
+    # others are read once and need no copy.
+    hot = cut_lineage(hot)
     always, limited = (
         hot.filter(F.col(_INTERVAL) <= 0),
         hot.filter(F.col(_INTERVAL) > 0),
