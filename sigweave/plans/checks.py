@@ -385,20 +385,28 @@ CHAIN = _with(
 )
 
 _FLOW_NAMES = [f["pname"] for f in FLOW_FIELDS]
+_STAMPED = "strftime(make_timestamp(ts_ms * 1000), '%Y%m%d %H:%M:%S.%g')"
+
+
+def _flow_ctes(time: str = _STAMPED) -> list[str]:
+    return [
+        _S.replace("signals AS", "base AS", 1),
+        f"signals AS (SELECT *, {time} AS time FROM base)",
+        t.SITES_SQL,
+        t.lines_sql(_FLOW_NAMES),
+        "parts AS (SELECT string_split(value, ',') AS p FROM lines)",
+        "rows AS (SELECT CAST(p[1] AS BIGINT) AS event_id, p[2] AS time, p[3] AS lac,"
+        " p[4] AS ci, p[5] AS imsi, p[6] AS event_type,"
+        " epoch_ms(try_strptime(p[2], '%Y%m%d %H:%M:%S.%g')) AS ts_ms"
+        " FROM parts WHERE len(p) = 6 AND p[6] <> '')",
+        "placed AS (SELECT rows.*, list_transform(string_split(areas, ','), lambda x: trim(x))"
+        " AS members FROM rows LEFT JOIN sites USING (lac))",
+        f"flagged AS (SELECT *, {_areas(['R1', 'R2'])} FROM placed)",
+    ]
+
+
 FLOW = _with(
-    _S.replace("signals AS", "base AS", 1),
-    "signals AS (SELECT *, strftime(make_timestamp(ts_ms * 1000), '%Y%m%d %H:%M:%S.%g') AS time"
-    " FROM base)",
-    t.SITES_SQL,
-    t.lines_sql(_FLOW_NAMES),
-    "parts AS (SELECT string_split(value, ',') AS p FROM lines)",
-    "rows AS (SELECT CAST(p[1] AS BIGINT) AS event_id, p[2] AS time, p[3] AS lac, p[4] AS ci,"
-    " p[5] AS imsi, p[6] AS event_type,"
-    " epoch_ms(strptime(p[2], '%Y%m%d %H:%M:%S.%g')) AS ts_ms"
-    " FROM parts WHERE len(p) = 6 AND p[6] <> '')",
-    "placed AS (SELECT rows.*, list_transform(string_split(areas, ','), lambda x: trim(x))"
-    " AS members FROM rows LEFT JOIN sites USING (lac))",
-    f"flagged AS (SELECT *, {_areas(['R1', 'R2'])} FROM placed)",
+    *_flow_ctes(),
     *_stay_ctes("flagged", ["R1", "R2"]),
     "wanted AS (SELECT * FROM stays WHERE stay_R1 <> '0' OR stay_R2 <> '0')",
     *_throttle_ctes("wanted", 3 * DAY_S),
@@ -408,6 +416,21 @@ FLOW = _with(
     recursive=True,
 )
 
+BAD_TIME = _with(
+    *_flow_ctes(f"CASE WHEN event_id % 13 = 0 THEN 'no time' ELSE {_STAMPED} END"),
+    "timed AS (SELECT * FROM flagged WHERE ts_ms IS NOT NULL)",
+    *_stay_ctes("timed", ["R1", "R2"]),
+    body="""SELECT event_id, time, stay_R1, stay_R2 FROM stays
+UNION ALL SELECT event_id, time, '0', '0' FROM flagged WHERE ts_ms IS NULL""",
+)
+
+LATEST_KEPT = _with(
+    *_flow_ctes(),
+    "sales AS (SELECT *, row_number() OVER (PARTITION BY imsi ORDER BY ts_ms DESC, event_id DESC)"
+    " AS n FROM rows WHERE event_type = 'purchase')",
+    body="SELECT imsi, event_id, time, ts_ms FROM sales WHERE n = 1",
+)
+
 CHECKS = {
     "parse_delimited": PARSE,
     "parse_counts": PARSE_COUNTS,
@@ -449,4 +472,6 @@ CHECKS = {
     "rule_chain_stream": CHAIN,
     "enriched_events": FLOW,
     "enriched_events_stream": FLOW,
+    "bad_time_stream": BAD_TIME,
+    "latest_without_sink": LATEST_KEPT,
 }

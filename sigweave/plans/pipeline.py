@@ -54,7 +54,9 @@ class Pipeline:
 
     def _parse(self, lines: DataFrame, observe: str | None = None) -> DataFrame:
         spec = self.interface
-        rows = parse_delimited(lines, spec.fields, spec.delim, observe=observe)
+        rows = parse_delimited(
+            lines, spec.fields, spec.delim, regex=spec.regex, observe=observe
+        )
         if spec.typed:
             rows = cast_fields(rows, spec.fields)
         return derive_and_filter(rows, spec.derived, spec.condition)
@@ -140,9 +142,15 @@ class Pipeline:
         )
 
     def send(
-        self, detected: DataFrame, *, now: int | None = None, write: Writer = write_sink
+        self,
+        detected: DataFrame,
+        *,
+        now: int | None = None,
+        write: Writer = write_sink,
+        batch_id: int | None = None,
     ) -> None:
-        fan_out(detected, self.events, self.interface.keys, now=now, write=write)
+        keys = self.interface.keys
+        fan_out(detected, self.events, keys, now=now, write=write, batch_id=batch_id)
 
     def latest(self, enriched: DataFrame, event: EventSpec) -> DataFrame:
         """Latest row per key of a table's rows that satisfy an event's condition.
@@ -177,6 +185,6 @@ class Pipeline:
             raise ValueError("ttl_ms needs interval_s")
 
         def handle(batch: DataFrame, batch_id: int) -> None:
-            self.send(batch, now=now, write=write)
+            self.send(batch, now=now, write=write, batch_id=batch_id)
 
         return start_batches(self.run(lines), checkpoint, handle, interval_s)

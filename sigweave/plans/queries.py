@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -345,10 +348,41 @@ def event_throttle(spark: SparkSession, sf_dir: str) -> Query:
     return throttle(_throttle_rows(t.signals(spark, sf_dir)), KEYS, ORDER, DAY_S)
 
 
+def _on_signals(
+    spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], DataFrame]
+) -> tuple[DataFrame, str]:
+    """Rows and checkpoint of ``build`` on a stream of signals.
+
+    The signals arrive in several batches in order of time. The stream ends after each and
+    goes on from its checkpoint, so its state has to outlive both.
+    """
+    folder, checkpoint, out = (run_dir(spark, n) for n in ("arrivals", "checkpoint", "rows"))
+    for part in t.arrivals(spark, sf_dir):
+        part.write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(part.schema).parquet(folder)
+        found = run_to_table(build(t.as_signals(stream)), checkpoint, out)
+    return found, checkpoint
+
+
+def _on_lines(
+    spark: SparkSession,
+    sf_dir: str,
+    lines_of: Callable[[DataFrame], DataFrame],
+    run: Callable[[DataFrame], Query],
+) -> Query:
+    """What the last call of ``run`` gives, one call for every batch of lines that arrives."""
+    folder = run_dir(spark, "lines")
+    for part in t.arrivals(spark, sf_dir):
+        lines_of(t.as_signals(part)).write.mode("append").text(folder)
+        found = run(read_lines(spark, SourceSpec("text", path=folder)))
+    return found
+
+
 def event_throttle_stream(spark: SparkSession, sf_dir: str) -> Query:
-    stream = _throttle_rows(t.signal_stream(spark, sf_dir))
-    kept = throttle_stream(stream, KEYS, ORDER, DAY_S)
-    return run_to_table(kept, run_dir(spark, "checkpoint"), run_dir(spark, "throttle"))
+    def build(rows: DataFrame) -> DataFrame:
+        return throttle_stream(_throttle_rows(rows), KEYS, ORDER, DAY_S)
+
+    return _on_signals(spark, sf_dir, build)[0]
 
 
 def dedup_latest(spark: SparkSession, sf_dir: str) -> Query:
@@ -370,11 +404,11 @@ def latest_event_row(spark: SparkSession, sf_dir: str) -> Query:
 
 
 def state_snapshot(spark: SparkSession, sf_dir: str) -> Query:
-    stream = t.signal_stream(spark, sf_dir).select("event_id", "ts_ms", "imsi", "imei")
-    labelled = keyed_rules(stream, KEYS, ORDER, [PreviousStep("imei")])
-    checkpoint = run_dir(spark, "checkpoint")
-    run_to_table(labelled, checkpoint, run_dir(spark, "previous"))
-    return read_state(spark, checkpoint, STATE_RULES)
+    def build(rows: DataFrame) -> DataFrame:
+        chosen = rows.select("event_id", "ts_ms", "imsi", "imei")
+        return keyed_rules(chosen, KEYS, ORDER, [PreviousStep("imei")])
+
+    return read_state(spark, _on_signals(spark, sf_dir, build)[1], STATE_RULES)
 
 
 def greatest_payload(spark: SparkSession, sf_dir: str) -> Query:
@@ -452,11 +486,12 @@ def fan_out_sinks(spark: SparkSession, sf_dir: str) -> Query:
 
 
 def text_stream_ingest(spark: SparkSession, sf_dir: str) -> Query:
-    folder = run_dir(spark, "lines")
-    t.lines_of(t.signals(spark, sf_dir)).write.text(folder)
-    lines = read_lines(spark, SourceSpec("text", path=folder))
-    rows = parse.parse_delimited(lines, LINE_FIELDS)
-    return run_to_table(rows, run_dir(spark, "checkpoint"), run_dir(spark, "parsed"))
+    checkpoint, out = run_dir(spark, "checkpoint"), run_dir(spark, "parsed")
+
+    def run(lines: DataFrame) -> Query:
+        return run_to_table(parse.parse_delimited(lines, LINE_FIELDS), checkpoint, out)
+
+    return _on_lines(spark, sf_dir, t.lines_of, run)
 
 
 CHAIN = [
@@ -490,10 +525,12 @@ def rule_chain(spark: SparkSession, sf_dir: str) -> Query:
 
 
 def rule_chain_stream(spark: SparkSession, sf_dir: str) -> Query:
-    rows = _chain_input(t.signal_stream(spark, sf_dir))
     dims = {"sites": t.sites(spark, sf_dir)}
-    labelled = attach_rules(rows, CHAIN, dims, KEYS, ORDER).select(*CHAIN_OUTPUT)
-    return run_to_table(labelled, run_dir(spark, "checkpoint"), run_dir(spark, "chain"))
+
+    def build(rows: DataFrame) -> DataFrame:
+        return attach_rules(_chain_input(rows), CHAIN, dims, KEYS, ORDER).select(*CHAIN_OUTPUT)
+
+    return _on_signals(spark, sf_dir, build)[0]
 
 
 FLOW_FIELDS = [
@@ -542,11 +579,9 @@ def _flow(spark: SparkSession, sf_dir: str) -> Pipeline:
     )
 
 
-def _flow_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = t.signals(spark, sf_dir).withColumn(
-        "time", sf.ms_to_text("ts_ms", sf.MESSAGE_TIME_FORMAT)
-    )
-    return t.lines_of(rows, [f["pname"] for f in FLOW_FIELDS])
+def _flow_lines(rows: DataFrame) -> DataFrame:
+    timed = rows.withColumn("time", sf.ms_to_text("ts_ms", sf.MESSAGE_TIME_FORMAT))
+    return t.lines_of(timed, [f["pname"] for f in FLOW_FIELDS])
 
 
 def _flow_messages(detected: DataFrame) -> DataFrame:
@@ -560,16 +595,50 @@ def _flow_messages(detected: DataFrame) -> DataFrame:
 def enriched_events(spark: SparkSession, sf_dir: str) -> Query:
     """Lines to messages: parse, area and stay labels, event, throttle, message."""
     flow = _flow(spark, sf_dir)
-    return _flow_messages(flow.run(_flow_lines(spark, sf_dir)))
+    return _flow_messages(flow.run(_flow_lines(t.signals(spark, sf_dir))))
 
 
 def enriched_events_stream(spark: SparkSession, sf_dir: str) -> Query:
-    folder = run_dir(spark, "lines")
-    _flow_lines(spark, sf_dir).write.text(folder)
     flow = _flow(spark, sf_dir)
-    lines = read_lines(spark, SourceSpec("text", path=folder))
-    messages = _flow_messages(flow.run(lines))
-    return run_to_table(messages, run_dir(spark, "checkpoint"), run_dir(spark, "messages"))
+    checkpoint, out = run_dir(spark, "checkpoint"), run_dir(spark, "messages")
+
+    def run(lines: DataFrame) -> Query:
+        return run_to_table(_flow_messages(flow.run(lines)), checkpoint, out)
+
+    return _on_lines(spark, sf_dir, _flow_lines, run)
+
+
+def bad_time_stream(spark: SparkSession, sf_dir: str) -> Query:
+    """Stay labels of a stream in which some records have a time that cannot be read."""
+    base = _flow(spark, sf_dir)
+    flow = replace(base, interface=replace(base.interface, condition="event_type <> ''"))
+    checkpoint, out = run_dir(spark, "checkpoint"), run_dir(spark, "stays")
+
+    def lines_of(rows: DataFrame) -> DataFrame:
+        stamp = sf.ms_to_text("ts_ms", sf.MESSAGE_TIME_FORMAT)
+        time = F.when(F.col("event_id") % 13 == 0, "no time").otherwise(stamp)
+        return t.lines_of(rows.withColumn("time", time), [f["pname"] for f in FLOW_FIELDS])
+
+    def run(lines: DataFrame) -> Query:
+        labelled = flow.enrich(flow.parse(lines))
+        chosen = labelled.select("event_id", "time", "stay_R1", "stay_R2")
+        return run_to_table(chosen, checkpoint, out)
+
+    return _on_lines(spark, sf_dir, lines_of, run)
+
+
+def latest_without_sink(spark: SparkSession, sf_dir: str) -> Query:
+    """Latest rows that a started pipeline keeps for an event that sends nothing."""
+    event = EventSpec("sale", "event_type = 'purchase'", ["event_id"], keep_latest=True)
+    flow = replace(_flow(spark, sf_dir), rules=(), events=[event])
+    checkpoint = run_dir(spark, "checkpoint")
+
+    def run(lines: DataFrame) -> Query:
+        flow.start(lines, checkpoint).awaitTermination()
+        kept = flow.latest_of_stream(spark, checkpoint, event)
+        return kept.select("imsi", "event_id", "time", "ts_ms")
+
+    return _on_lines(spark, sf_dir, _flow_lines, run)
 
 
 QUERIES = {
@@ -613,4 +682,6 @@ QUERIES = {
     "rule_chain_stream": rule_chain_stream,
     "enriched_events": enriched_events,
     "enriched_events_stream": enriched_events_stream,
+    "bad_time_stream": bad_time_stream,
+    "latest_without_sink": latest_without_sink,
 }

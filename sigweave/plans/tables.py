@@ -104,11 +104,15 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_signals(table(spark, sf_dir, "events"))
 
 
-def signal_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
-    # As a pattern the path may be a single file, which a stream refuses as a folder.
-    path = f"{sf_dir}/events.parque[t]"
-    return as_signals(spark.readStream.schema(schema).parquet(path))
+def arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """All events in three stretches of time of about equal size, as a stream gets them."""
+    events = table(spark, sf_dir, "events")
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    cuts = events.agg(F.percentile_approx(ms, [1 / 3, 2 / 3])).first()[0]
+    if not cuts:
+        return [events]
+    place = F.when(ms <= cuts[0], 0).when(ms <= cuts[1], 1).otherwise(2)
+    return [events.filter(place == i) for i in range(3)]
 
 
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sigweave.operators.project import output_columns, project_event
 from sigweave.sinks.messages import key_partition, keyed_message
@@ -27,17 +29,32 @@ def kafka_sink_options(spec: SinkSpec) -> dict[str, str]:
 
 
 def write_sink(df: DataFrame, spec: SinkSpec) -> None:
-    """Appends a batch to a sink."""
+    """Writes a batch to a sink, by default after what is there."""
     if spec.kind == "kafka":
         df.write.format("kafka").options(**kafka_sink_options(spec)).save()
     elif spec.kind == "jdbc":
-        df.write.format("jdbc").options(**jdbc_options(spec)).mode("append").save()
+        df.write.format("jdbc").options(**jdbc_options(spec)).mode(spec.mode).save()
     elif spec.kind == "parquet":
-        df.write.options(**spec.options).mode("append").parquet(spec.path)
+        df.write.options(**spec.options).mode(spec.mode).parquet(spec.path)
     else:
         raise ValueError(f"sink kind {spec.kind!r} is not supported")
 
 
+def of_batch(
+    df: DataFrame, spec: SinkSpec, batch_id: int, output: int
+) -> tuple[DataFrame, SinkSpec]:
+    """Rows and sink of a micro-batch's ``output``-th write, see ``SinkSpec.by_batch``."""
+    if not spec.by_batch:
+        return df, spec
+    if spec.kind == "parquet":
+        # Outputs that share a path must not replace each other.
+        path = f"{spec.path}/batch_id={batch_id}/output={output}"
+        return df, replace(spec, path=path, mode="overwrite")
+    if spec.kind == "jdbc":
+        return df.withColumn("batch_id", F.lit(batch_id).cast("long")), spec
+    return df, spec
+
+
 def event_frame(
     rows: DataFrame,
     event: EventSpec,
@@ -65,6 +82,7 @@ def fan_out(
     event_column: str = "_event",
     now: int | None = None,
     write: Writer = write_sink,
+    batch_id: int | None = None,
 ) -> None:
     """Writes detected rows of many events to all sinks of each event.
 
@@ -78,9 +96,12 @@ def fan_out(
     if len(sinks) > 1:
         rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for event, sink in sinks:
+        for output, (event, sink) in enumerate(sinks):
             chosen = rows.filter(rows[event_column] == event.id)
-            write(event_frame(chosen, event, sink, keys, now), sink)
+            frame = event_frame(chosen, event, sink, keys, now)
+            if batch_id is not None:
+                frame, sink = of_batch(frame, sink, batch_id, output)
+            write(frame, sink)
     finally:
         if len(sinks) > 1:
             rows.unpersist()

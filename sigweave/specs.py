@@ -31,7 +31,9 @@ class SinkSpec:
     """Where an event's messages go.
 
     ``kind`` is ``kafka`` (``topic``, ``brokers``), ``jdbc`` (``url``, ``table``) or
-    ``parquet`` (``path``).
+    ``parquet`` (``path``). A stream that repeats a micro-batch after a failure sends it
+    again. With ``by_batch`` the rows carry ``batch_id``: in a parquet sink the repeated batch
+    replaces its first try, in a table the column tells them apart. Kafka gets them twice.
     """
 
     kind: str
@@ -43,6 +45,8 @@ class SinkSpec:
     delim: str = ","
     partitions: int | None = None
     options: Mapping[str, str] = field(default_factory=dict)
+    by_batch: bool = False
+    mode: str = "append"
 
 
 @dataclass(frozen=True)
@@ -63,7 +67,8 @@ class InterfaceSpec:
     """Input record: fields, key, time, derived columns and row filter.
 
     ``time`` and ``order`` name columns; the time is in epoch ms after ``derived``, and
-    ``order`` breaks ties between rows of the same time.
+    ``order`` breaks ties between rows of the same time. ``regex`` says that ``delim`` is a
+    regular expression.
     """
 
     fields: Sequence[str | Mapping[str, str]]
@@ -71,6 +76,7 @@ class InterfaceSpec:
     time: str
     order: Sequence[str] = ()
     delim: str = ","
+    regex: bool = False
     derived: Sequence[tuple[str, str]] = ()
     condition: str | None = None
     typed: bool = False

@@ -2,6 +2,7 @@ import json
 
 import pytest
 
+from sigweave.functions.sql import register_functions
 from sigweave.plans import config
 from sigweave.plans.pipeline import Pipeline
 from sigweave.plans.rules import AreaRule, PreviousRule
@@ -159,3 +160,70 @@ def test_configured_pipeline(spark):
     ]
     table = event_frame(detected, event, event.sinks[1], flow.interface.keys)
     assert table.columns == ["imsi", "site", "last_imei", "imei", "kind"]
+
+
+def test_names_of_functions():
+    assert config.meant("Conv(lac) = 'conv(1)'") == "hex_code(lac) = 'conv(1)'"
+    assert config.meant("unix_timestamp( ) > from_unixtime(t, 'yyyy')") == (
+        "CAST(now_ms() AS STRING) > parse_time(t, 'yyyy')"
+    )
+    assert config.meant("unix_timestamp(t), `conv(`, myconv(x)") == (
+        "unix_timestamp(t), `conv(`, myconv(x)"
+    )
+    assert config.meant(None) is None and config.meant("") == ""
+
+
+def _label(number, kind, parent="", items=(), **props):
+    properties = {"props": _props(**props), "labelItems": [{"pname": "x", "pvalue": i} for i in items]}
+    return {
+        "id": number,
+        "class_name": f"any.package.{kind}",
+        "p_label_id": parent,
+        "properties": json.dumps(properties),
+    }
+
+
+def test_rules_of_a_configuration(spark):
+    stay = {"stay.limits": "20000, 5000", "stay.matchMax": "false"}
+    interface = json.loads(INTERFACE["properties"])
+    interface["props"] = _props(uniqKeys="imsi", delim="[|]+", filter_expr="Conv(ci) = '000A'")
+    interface["fields"] += [
+        {"pname": n, "ptype": "String", "pvalue": ""}
+        for n in ("callingimsi", "calledimsi", "callingimei", "calledimei")
+    ]
+    flow = Pipeline(
+        config.interface_spec({"properties": json.dumps(interface)}),
+        config.rule_chain(
+            [
+                _label("1", "LocationStayRule", "2", ["stay_A"], **stay),
+                _label("2", "SiteRule", items=["area_A", "areainfo_city"]),
+                _label("3", "UserBaseInfoRule", user_info_cols="age"),
+                _label("4", "TermRule", term_info_cols="brand"),
+                _label("5", "ExtLastimeiRule"),
+                _label("6", "LabelTrack"),
+            ]
+        ),
+        [],
+        {
+            "sites": spark.createDataFrame(
+                [("1", "10", "A,B", "x", 117.0, 36.0)],
+                "lac string, ci string, areas string, city string, geo_longitude double,"
+                " geo_latitude double",
+            ),
+            "users": spark.createDataFrame([("u", "30"), ("v", "31")], "imsi string, age string"),
+            "terminals": spark.createDataFrame([("12345678", "b")], "code string, brand string"),
+        },
+    )
+    assert [r.name for r in flow.rules] == ["2", "1", "3", "4", "5", "6"]
+    register_functions(spark)
+    imei = "123456780000000"
+    lines = [
+        f"20240101 00:00:{s}.000|1||{ci}|u|{imei}|u|v|{imei}|y"
+        for s, ci in (("00", 10), ("30", 10), ("40", 11))
+    ]
+    found = flow.enrich(flow.parse(spark.createDataFrame([(x,) for x in lines], "value string")))
+    labels = ["areainfo_city", "area_A", "stay_A", "age", "called_age", "brand", "last_imei"]
+    assert rows_of(found, *labels) == [
+        ("x", "true", "0", "30", "31", "b", ""),
+        ("x", "true", "5000", "30", "31", "b", imei),
+    ]

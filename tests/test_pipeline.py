@@ -22,7 +22,7 @@ from sigweave.plans.rules import (
 )
 from sigweave.session import run_dir
 from sigweave.sinks import all_columns_message, jdbc_options, key_partition, keyed_message
-from sigweave.sinks.writers import kafka_sink_options, write_sink
+from sigweave.sinks.writers import kafka_sink_options, of_batch, write_sink
 from sigweave.sources import kafka_options, read_dimension, read_lines
 from sigweave.specs import EventSpec, InterfaceSpec, SinkSpec, SourceSpec
 from sigweave.streaming.monitor import StageMonitor
@@ -69,7 +69,9 @@ def test_user_rules(spark):
 
 
 def test_neighbouring_keyed_rules_share_one_state(spark, sf_dir):
-    rows = q._chain_input(t.signal_stream(spark, sf_dir))
+    schema = t.table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    rows = q._chain_input(t.as_signals(stream))
     dims = {"sites": t.sites(spark, sf_dir)}
     labelled = attach_rules(rows, q.CHAIN, dims, q.KEYS, q.ORDER)
     plan = labelled._jdf.queryExecution().logical().toString()
@@ -78,11 +80,11 @@ def test_neighbouring_keyed_rules_share_one_state(spark, sf_dir):
 
 def test_pipeline_with_cut_keys(spark, sf_dir):
     flow = q._flow(spark, sf_dir)
-    rows = flow.parse(q._flow_lines(spark, sf_dir))
+    rows = flow.parse(q._flow_lines(t.signals(spark, sf_dir)))
     plan = plan_slices(rows, q.KEYS, q.ORDER, rows_per_slice=10)
     assert plan.hot
     cut = flow.detect(flow.enrich(rows, plan), plan)
-    whole = flow.run(q._flow_lines(spark, sf_dir))
+    whole = flow.run(q._flow_lines(t.signals(spark, sf_dir)))
     assert rows_of(cut, *whole.columns) == rows_of(whole)
 
 
@@ -93,7 +95,7 @@ def test_one_shuffle_for_stay_and_throttle(spark, sf_dir):
 
 def test_streamed_pipeline_sends_to_all_sinks(spark, sf_dir):
     source = run_dir(spark, "lines")
-    lines = q._flow_lines(spark, sf_dir)
+    lines = q._flow_lines(t.signals(spark, sf_dir))
     lines.coalesce(1).write.text(source)
     out = run_dir(spark, "sinks")
     flow = q._flow(spark, sf_dir)
@@ -125,7 +127,7 @@ def test_streamed_pipeline_sends_to_all_sinks(spark, sf_dir):
 
 def test_stages_are_counted(spark, sf_dir):
     source = run_dir(spark, "lines")
-    lines = q._flow_lines(spark, sf_dir)
+    lines = q._flow_lines(t.signals(spark, sf_dir))
     lines.coalesce(1).write.text(source)
     flow = Pipeline(**{**q._flow(spark, sf_dir).__dict__, "observe": "flow"})
     monitor = StageMonitor()
@@ -361,3 +363,18 @@ def test_quoted_names_in_a_filter(spark):
     rows = spark.createDataFrame([(1,), (5,)], "x int")
     found = derive_and_filter(rows, [("my-col", "x + 1"), ("y", "x")], "`my-col` > 3")
     assert rows_of(found) == [(5, 6, 5)]
+
+
+def test_a_repeated_batch_replaces_its_first_try(spark):
+    path = run_dir(spark, "sink")
+    sink = SinkSpec("parquet", path=path, by_batch=True)
+    flow = _flow(events=[EventSpec(i, None, ["who"], sinks=(sink,)) for i in ("e", "f")])
+    rows = flow.run(spark.createDataFrame([("a,1,y",), ("b,2,n",)], "value string"))
+    for batch_id in (0, 1, 1):
+        flow.send(rows, batch_id=batch_id)
+    found = spark.read.parquet(path)
+    assert rows_of(found.groupBy("batch_id", "output").count()) == [
+        (0, 0, 2), (0, 1, 2), (1, 0, 2), (1, 1, 2)
+    ]
+    frame, _ = of_batch(spark.range(1), SinkSpec("jdbc", by_batch=True), 7, 0)
+    assert rows_of(frame, "batch_id") == [(7,)]
