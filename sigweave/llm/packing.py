@@ -4,7 +4,8 @@ A document is a hashed word-count vector of length one, projected to a few dimen
 random weights that a word's hash gives. The Hilbert key of the quantised point orders the
 documents, so neighbours on the curve use the same words. The ids are sorted by ranges of
 that order; each range is one stream of ids cut every ``length`` ids, and its rest is
-cut at powers of two, which need no padding.
+cut at powers of two, which need no padding. Rows whose order another step has decided are
+sorted along the curve only within windows of that order.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,9 @@ BITS = 10
 # A key's lower bits spread equal points, so that copies can fall into several ranges.
 SPREAD = 22
 RANGE_BYTES = 16 << 20
+# Documents of a window of a given order; the curve sorts within a window only.
+WINDOW_DOCS = 256
+_PLACE = ["place_part", "place_file", "place_window"]
 _HALF = 1 << 15
 
 
@@ -92,12 +97,41 @@ def _ids_of(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False)
 
 
+def _placed(docs: DataFrame) -> DataFrame:
+    """Adds the window of each row: by part file and row if ``docs`` reads Parquet files.
+
+    Other rows count by their partitions. Spark does not read files in the order of their
+    names, so a reread table is ordered by names and row numbers only.
+    """
+    try:
+        rows = docs.select(
+            *docs.columns,
+            F.coalesce(
+                F.expr("try_cast(regexp_extract(_metadata.file_name, '^part-([0-9]+)', 1) AS LONG)"),
+                F.lit(-1),
+            ).alias("place_part"),
+            F.col("_metadata.file_name").alias("place_file"),
+            F.col("_metadata.row_index").alias("place_row"),
+        )
+        # Names are resolved here, so a table without files fails now.
+        rows.schema  # noqa: B018
+    except AnalysisException:
+        rows = docs.withColumn("place_row", F.monotonically_increasing_id()).select(
+            *docs.columns,
+            F.shiftright("place_row", 33).alias("place_part"),
+            F.lit("").alias("place_file"),
+            F.expr("place_row & 8589934591").alias("place_row"),
+        )
+    return rows.withColumn("place_window", F.expr(f"place_row DIV {WINDOW_DOCS}"))
+
+
 def pack(
     docs: DataFrame,
     path: str | None = None,
     length: int = LENGTH,
     end_id: int = END_ID,
     with_ids: bool = True,
+    ordered: bool = False,
 ) -> DataFrame:
     """Pieces of documents in sequences of at most ``length`` ids.
 
@@ -106,9 +140,16 @@ def pack(
     text is the end id alone, a long one goes on in the next sequence. Rows that repeat are
     packed as often as they come; a null doc_id stays null; other columns are not read. An
     empty table has no pieces.
+
+    With ``ordered`` the rows' own order holds: sequences are numbered along it, and only the
+    documents of a window of ``WINDOW_DOCS`` change places. Else the curve orders all.
     """
     path = path or vocabulary_path()
-    source = texts_of(docs)
+    place = _PLACE if ordered else []
+    kinds = "doc_id long, key long, width int, ids binary" + (
+        ", place_part long, place_file string, place_window long" if ordered else ""
+    )
+    source = texts_of(_placed(docs.select("doc_id", "text")), *place) if ordered else texts_of(docs)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
@@ -127,14 +168,13 @@ def pack(
                         [raw[s * size : e * size] for s, e in zip(at[:-1], at[1:], strict=True)],
                         pa.binary(),
                     ),
+                    *(batch.column(c) for c in place),
                 ],
-                ["doc_id", "key", "width", "ids"],
+                ["doc_id", "key", "width", "ids", *place],
             )
 
     # Encoded once: the sampling of the ranges and the sort both read the stored ids.
-    rows = stored(
-        source.mapInArrow(keyed, "doc_id long, key long, width int, ids binary"), "packing"
-    )
+    rows = stored(source.mapInArrow(keyed, kinds), "packing")
     size = rows.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,8 +191,8 @@ def pack(
 
     # Equal keys are copies with equal hash bits: their order is that of doc_id.
     return (
-        rows.repartitionByRange(int(size // RANGE_BYTES) + 1, "key")
-        .sortWithinPartitions("key", "doc_id", "ids")
+        rows.repartitionByRange(int(size // RANGE_BYTES) + 1, *(place or ["key"]))
+        .sortWithinPartitions(*place, "key", "doc_id", "ids")
         .mapInArrow(cut, _Packer.SCHEMA)
     )
 
