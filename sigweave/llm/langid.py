@@ -30,6 +30,8 @@ RATE = 0.5
 TRAIN_ROWS = 600
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
+# The same characters for Java.
+_LETTER_JAVA = r"[\p{L}\p{Nl}\p{No}]"
 _BLANKS = bytes(32 if b < 128 and not chr(b).isalpha() else b for b in range(256))
 
 
@@ -87,8 +89,13 @@ def predict(text: str | None, model: LanguageModel) -> tuple[str, float, bool]:
     return model.languages[best], float(p[best]), bool(low)
 
 
+def last_place(rows: int, n: int) -> int:
+    """Greatest of the 64-bit hashes (signed) that draws about ``rows`` of ``n`` texts."""
+    return min((1 << 64) * rows // n, 1 << 64) - 1 - (1 << 63)
+
+
 def fit(docs: DataFrame, rows: int = TRAIN_ROWS, seed: int = 7) -> LanguageModel:
-    """Model from ``docs`` (text, lang): about ``rows`` texts per language.
+    """Model from ``docs`` (text, lang): about ``rows`` different texts per language.
 
     Rows with a null text or language or without a letter teach nothing. The draw goes by a
     hash of the text, so it is the same in every run and copies of a text are drawn together;
@@ -98,16 +105,20 @@ def fit(docs: DataFrame, rows: int = TRAIN_ROWS, seed: int = 7) -> LanguageModel
     usable = docs.select(F.col("text").cast("string"), F.col("lang").cast("string")).filter(
         "text IS NOT NULL AND lang IS NOT NULL"
     )
-    sizes = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    # Copies count once and texts without a letter not at all, as in the draw.
+    place = F.xxhash64("text", F.lit(5))
+    counted = (
+        usable.filter(F.col("text").rlike(_LETTER_JAVA))
+        .groupBy("lang")
+        .agg(F.count_distinct(place).alias("n"))
+    )
+    sizes = {r.lang: r.n for r in counted.collect()}
     if not sizes:
         return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), np.zeros(BUCKETS))
-    limit = F.coalesce(
-        *[
-            F.when(F.col("lang") == lang, F.lit(int(min(1.0, rows / n) * 1_000_000)))
-            for lang, n in sizes.items()
-        ]
+    last = F.coalesce(
+        *[F.when(F.col("lang") == lang, F.lit(last_place(rows, n))) for lang, n in sizes.items()]
     )
-    drawn = usable.filter(F.expr("pmod(xxhash64(text, 5), 1000000)") < limit)
+    drawn = usable.filter(place <= last)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
