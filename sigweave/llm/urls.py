@@ -31,6 +31,8 @@ DEPTH = 3
 BINS = 32
 RATE = 0.2
 SMOOTHING = 5.0
+# Hosts are dealt into so many parts; a training row's suffix_rate leaves out its own part.
+FOLDS = 5
 
 
 def _lower(text: Column) -> Column:
@@ -63,24 +65,41 @@ def ruled(rows: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFra
     return rows.withColumns({"rule": name, "rule_verdict": verdict})
 
 
-def with_suffix_rate(rows: DataFrame, labelled: DataFrame) -> DataFrame:
-    """Adds suffix_rate, the smoothed share of blocked among all labelled URLs of a suffix.
+def with_suffix_rate(rows: DataFrame, labelled: DataFrame, held_out: bool = False) -> DataFrame:
+    """Adds suffix_rate, the smoothed share of blocked among the labelled URLs of a suffix.
 
-    ``labelled`` has host and blocked (0 or 1). A suffix is what follows a host's last dot; an
-    unseen one has the share of all.
+    ``labelled`` has host, blocked (0 or 1) and rule. A suffix is what follows a host's last
+    dot. An unseen one has the share of all, and so has one that a single rule labels: its
+    share would only repeat that rule. With ``held_out`` a row's share is that of the hosts in
+    other folds, so its own label is no feature of it.
     """
     suffix = F.substring_index("host", ".", -1)
+    fold = F.pmod(F.xxhash64("host"), F.lit(FOLDS))
     # A suffix without a single URL is the total: hot suffixes are combined before the shuffle.
-    stats = labelled.groupBy(suffix.alias("suffix")).agg(
-        F.sum("blocked").alias("bad"), F.count("*").alias("all")
+    folds = labelled.groupBy(suffix.alias("suffix"), fold.alias("fold")).agg(
+        F.sum("blocked").alias("bad"),
+        F.count("*").alias("all"),
+        F.min("rule").alias("low"),
+        F.max("rule").alias("high"),
+    )
+    stats = folds.groupBy("suffix").agg(
+        F.sum("bad").alias("bad"),
+        F.sum("all").alias("all"),
+        F.coalesce(F.min("low") == F.max("high"), F.lit(False)).alias("alone"),
     )
     totals = labelled.agg(F.coalesce(F.avg("blocked"), F.lit(0.5))).first()[0]
-    rate = (F.col("bad") + SMOOTHING * totals) / (F.col("all") + SMOOTHING)
-    return (
-        rows.withColumn("suffix", suffix)
-        .join(stats.select("suffix", rate.alias("suffix_rate")), "suffix", "left")
-        .withColumn("suffix_rate", F.coalesce("suffix_rate", F.lit(totals)))
-        .drop("suffix")
+    joined = rows.withColumns({"suffix": suffix, "fold": fold}).join(stats, "suffix", "left")
+    bad, every = F.col("bad"), F.col("all")
+    if held_out:
+        own = folds.select(
+            "suffix", "fold", F.col("bad").alias("own_bad"), F.col("all").alias("own_all")
+        )
+        joined = joined.join(own, ["suffix", "fold"], "left")
+        bad = bad - F.coalesce("own_bad", F.lit(0))
+        every = every - F.coalesce("own_all", F.lit(0))
+    rate = F.when(~F.col("alone"), (bad + SMOOTHING * totals) / (every + SMOOTHING))
+    return joined.withColumn("suffix_rate", F.coalesce(rate, F.lit(totals))).drop(
+        "suffix", "fold", "bad", "all", "alone", "own_bad", "own_all"
     )
 
 
@@ -95,12 +114,16 @@ def _digits(text: str) -> float:
 
 def features(url: str | None, host: str, path: str, suffix_rate: float) -> list[float]:
     url = url or ""
+    # The suffix speaks through suffix_rate only: its letters would spell the rules' verdicts.
+    name = host.rpartition(".")[0]
+    scheme, mark, rest = url.partition("://")
+    line = scheme + mark + name + rest[len(host) :]
     query = url.partition("#")[0].partition("?")[2]
-    parts = host.split(".") + path.split("/")
+    parts = name.split(".") + path.split("/")
     return [
-        len(url), len(host), len(path), path.count("/"), host.count("."), _digits(url),
-        _digits(host), _entropy(url), _entropy(host), query.count("=") or int(bool(query)),
-        host.count("-") + path.count("-"), max(map(len, parts)), suffix_rate,
+        len(line), len(name), len(path), path.count("/"), host.count("."), _digits(line),
+        _digits(name), _entropy(line), _entropy(name), query.count("=") or int(bool(query)),
+        name.count("-") + path.count("-"), max(map(len, parts)), suffix_rate,
     ]
 
 
@@ -214,8 +237,8 @@ def judge(
     else:
         known = parsed(labelled.withColumn("page_id", F.col("blocked").cast("int"))).withColumn(
             "blocked", F.col("page_id")
-        ).filter("blocked IN (0, 1)")
-    model = fit(with_suffix_rate(known, known))
+        ).filter("blocked IN (0, 1)").withColumn("rule", F.lit(None).cast("string"))
+    model = fit(with_suffix_rate(known, known, held_out=True))
     names = "page_id, host, path, rule, rule_verdict"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
