@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigweave.llm import edits, forest, langid, mixing, packing, shards, simhash, topk, toxicity, urls
+from sigweave.llm import (
+    conversations,
+    edits,
+    forest,
+    langid,
+    mixing,
+    packing,
+    shards,
+    simhash,
+    topk,
+    toxicity,
+    urls,
+)
 from sigweave.session import run_dir
 
 
@@ -97,6 +109,31 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edits.recount(docs).drop("leaf_chars", "leaf_tokens")
 
 
+def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations with faults put in by a checksum of conversation and turn."""
+
+    def known(name: str) -> F.Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    fault = F.crc32(F.concat_ws(":", known("conv_id"), known("turn"))) % 20
+    copies = F.when(fault == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return _table(spark, sf_dir, "conversations").select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(known("role")).alias("role"),
+        F.when(fault == 1, "")
+        .when(fault == 2, F.translate(known("text"), ".!?", ""))
+        .otherwise(known("text"))
+        .alias("text"),
+        (fault == 0).alias("dropped"),
+        F.explode(copies).alias("copy"),
+    )
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(_damaged(spark, sf_dir), absent=F.col("dropped"))
+
+
 QUERIES = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_mix_sources": op2_mix_sources,
@@ -108,6 +145,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 # Queries that SQL can express; the others are tested against brute force.
@@ -132,4 +170,86 @@ CHECKS = {
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
     """,
+    "op13_conversation_repair": r"""
+        WITH RECURSIVE hashed AS (
+            SELECT *, xor(4294967295, list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(
+                    string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                    lambda c: ascii(c)::BIGINT)),
+                lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda x, i:
+                    CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) % 20 AS fault
+            FROM conversations
+        ),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+                CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g')
+                    ELSE coalesce(text, ' ') END AS text,
+                unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy
+            FROM hashed WHERE fault <> 0
+        ),
+        placed AS (
+            SELECT *, left(role, 1) AS initial, regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS body,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+                row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+                lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS before
+            FROM damaged
+        ),
+        faults AS (
+            SELECT *, body = '' AS blank, body <> '' AND seen > 1 AS again,
+                body <> '' AND seen = 1 AND right(body, 1) NOT IN ('.', '!', '?') AS cut
+            FROM placed
+        ),
+        walk AS (
+            SELECT DISTINCT conv_id, 0::BIGINT AS i,
+                [{'s': 0, 'cost': 0, 'audit': '', 'lines': ''}] AS cells
+            FROM conversations
+            UNION ALL
+            SELECT w.conv_id, f.i, list_filter(list_transform([0, 1, 2, 3], lambda s: list_sort(list_filter(
+                flatten(list_transform(list_concat(
+                    w.cells,
+                    list_transform(list_filter(w.cells, lambda c: c.s <> 2), lambda c: {'s': 2,
+                        'cost': c.cost + 3, 'audit': c.audit || 'I', 'lines': c.lines || chr(10) || 'user:'}),
+                    list_transform(list_filter(w.cells, lambda c: c.s = 2), lambda c: {'s': 3,
+                        'cost': c.cost + 3, 'audit': c.audit || 'I', 'lines': c.lines || chr(10) || 'assistant:'}),
+                    list_transform(list_filter(w.cells, lambda c: c.s < 2), lambda c: {'s': 3,
+                        'cost': c.cost + 6, 'audit': c.audit || 'II',
+                        'lines': c.lines || chr(10) || 'user:' || chr(10) || 'assistant:'})
+                ), lambda c: [
+                    {'s': c.s, 'cost': c.cost + 4, 'audit': c.audit || 'D', 'lines': c.lines},
+                    CASE WHEN NOT (f.blank OR f.again) AND (f.initial = 's' AND c.s = 0
+                            OR f.initial = 'u' AND c.s <> 2 OR f.initial = 'a' AND c.s = 2)
+                        THEN {'s': CASE f.initial WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END,
+                            'cost': c.cost + CASE WHEN f.cut THEN 3 ELSE 0 END, 'audit': c.audit || 'K',
+                            'lines': c.lines || chr(10) || f.role || ':' || f.text} END,
+                    CASE WHEN NOT (f.blank OR f.again)
+                        THEN {'s': CASE c.s WHEN 2 THEN 3 ELSE 2 END,
+                            'cost': c.cost + CASE WHEN f.cut THEN 6 ELSE 3 END, 'audit': c.audit || 'R',
+                            'lines': c.lines || chr(10) || CASE c.s WHEN 2 THEN 'assistant' ELSE 'user' END
+                                || ':' || f.text} END
+                ])), lambda x: x IS NOT NULL AND x.s = s))[1]), lambda x: x IS NOT NULL)
+            FROM walk w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+        ),
+        ends AS (
+            SELECT conv_id, list_sort(flatten(list_transform(arg_max(cells, i), lambda c: [
+                CASE WHEN c.s IN (0, 3) THEN {'cost': c.cost, 'audit': c.audit, 'lines': c.lines} END,
+                CASE WHEN c.s = 2 THEN {'cost': c.cost + 3, 'audit': c.audit || 'I',
+                    'lines': c.lines || chr(10) || 'assistant:'} END,
+                CASE WHEN c.s = 1 THEN {'cost': c.cost + 6, 'audit': c.audit || 'II',
+                    'lines': c.lines || chr(10) || 'user:' || chr(10) || 'assistant:'} END
+            ])), 'ASC', 'NULLS LAST')[1] AS best
+            FROM walk GROUP BY conv_id
+        ),
+        counts AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                count(*) FILTER (blank) AS blank, count(*) FILTER (again) AS duplicate,
+                count(*) FILTER (cut) AS truncated,
+                count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM faults GROUP BY conv_id
+        )
+        SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+            coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+            coalesce(illegal, 0)::BIGINT AS illegal, best.cost::BIGINT AS cost, best.audit AS audit,
+            sha256(substr(best.lines, 2)) AS repaired_sha256
+        FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+    """,
 }
