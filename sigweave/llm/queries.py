@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigweave.llm import (
+    audit,
     conversations,
     edits,
     forest,
@@ -109,6 +110,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edits.recount(docs).drop("leaf_chars", "leaf_tokens")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations with faults put in by a checksum of conversation and turn."""
 
@@ -145,6 +150,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
+    "op11_filter_audit": op11_filter_audit,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
@@ -170,6 +176,61 @@ CHECKS = {
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
     """,
+    "op11_filter_audit": r"""
+        WITH marks AS (
+            SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+        ),
+        texts AS (
+            SELECT d.doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                coalesce(good, false) AS good, coalesce(m.toxic, false) AS toxic,
+                list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                    lambda w: w <> '') AS words
+            FROM documents d LEFT JOIN marks m ON m.doc_id = d.doc_id
+        ),
+        cells AS (
+            SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good,
+                count(*) FILTER (toxic) AS toxic
+            FROM (
+                SELECT part, good, toxic, list_filter([
+                    CASE WHEN len(words) < 50 THEN 'A' END,
+                    CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' END,
+                    CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' END,
+                    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+                    CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' END
+                ], lambda f: f IS NOT NULL) AS fails
+                FROM texts
+            )
+            GROUP BY part, fails
+        ),
+        letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+        orders AS (
+            SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+            FROM letters a JOIN letters b ON b.f <> a.f JOIN letters c ON c.f NOT IN (a.f, b.f)
+            JOIN letters d ON d.f NOT IN (a.f, b.f, c.f) JOIN letters e ON e.f NOT IN (a.f, b.f, c.f, d.f)
+        ),
+        steps AS (
+            SELECT filter_order, step, filter_order[step] AS f,
+                string_split(left(filter_order, step - 1), '') AS earlier
+            FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+        ),
+        sums AS (
+            SELECT part, filter_order, step::INTEGER AS step, any_value(s.f) AS f,
+                sum(CASE WHEN gone OR now THEN 0 ELSE n END)::BIGINT AS kept,
+                sum(CASE WHEN now AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed,
+                sum(CASE WHEN now AND gone THEN n ELSE 0 END)::BIGINT AS redundant,
+                sum(CASE WHEN fails = [f] THEN n ELSE 0 END)::BIGINT AS unique_fails,
+                sum(CASE WHEN now AND NOT gone THEN good ELSE 0 END)::BIGINT AS good_lost,
+                sum(CASE WHEN now AND NOT gone THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+            FROM (
+                SELECT c.*, s.*, list_has_any(fails, earlier) AS gone, list_contains(fails, s.f) AS now
+                FROM cells c, steps s
+            ) s
+            GROUP BY part, filter_order, step
+        )
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+            (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+        FROM sums
+    """,
     "op13_conversation_repair": r"""
         WITH RECURSIVE hashed AS (
             SELECT *, xor(4294967295, list_reduce(
