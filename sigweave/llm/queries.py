@@ -13,6 +13,7 @@ from sigweave.llm import (
     langid,
     mixing,
     packing,
+    quality,
     shards,
     simhash,
     topk,
@@ -114,6 +115,19 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    # A withheld label leaves its document out: it is neither positive nor unlabelled.
+    shown = F.when(_fold(3) != 1, F.col("quality"))
+    model = quality.fit(docs, labels.select("doc_id", shown.alias("quality")))
+    return quality.score(docs, model).select(
+        "doc_id",
+        F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations with faults put in by a checksum of conversation and turn."""
 
@@ -151,6 +165,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_token_counts": op10_token_counts,
     "op11_filter_audit": op11_filter_audit,
+    "op12_quality": op12_quality,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
