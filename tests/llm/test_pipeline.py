@@ -3,8 +3,9 @@
 import pytest
 
 import corpus_pipeline
-from sigweave.llm import langid, queries, simhash, toxicity
+from sigweave.llm import langid, queries, toxicity
 from tests.conftest import rows_of
+from tests.llm.test_nearcopies import brute_roots
 
 
 def test_sql_of_registered_queries(spark, duck, sf_dir):
@@ -29,14 +30,8 @@ def test_stages_keep_what_their_operators_keep(spark, sf_dir):
             model = langid.fit(spark.createDataFrame([kept[i] for i in expected], docs.schema))
             expected = {i for i in expected if not langid.predict(kept[i].text, model)[2]}
         if name == "near_copies":
-            prints = sorted((i, simhash.fingerprint(kept[i].text)) for i in expected)
-            part = dict(prints) and {i: i for i, _ in prints}
-            for a, f in prints:
-                for b, g in prints:
-                    if a < b and (f ^ g).bit_count() <= 4 and part[a] != part[b]:
-                        low, high = sorted((part[a], part[b]))
-                        part = {k: low if v == high else v for k, v in part.items()}
-            expected = {i for i in expected if part[i] == i}
+            smallest = brute_roots([(i, kept[i].text) for i in sorted(expected)])
+            expected = {i for i in expected if smallest[i] == i}
         assert docs.columns == list(kept[0].asDict())
         assert {r.doc_id for r in rows} == expected
         assert sorted(rows) == sorted(kept[i] for i in expected)
