@@ -12,8 +12,8 @@ from sigweave.session import run_dir
 
 # A task handles its texts in slices of about this many bytes, however long a batch is.
 SLICE_BYTES = 4 << 20
-# Rows of a batch that goes to Python; texts are long, so fewer than Spark's default.
-BATCH_ROWS = 1000
+# Larger ones where the work goes by different words, as larger slices repeat more.
+WORD_SLICE_BYTES = 16 << 20
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -28,18 +28,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, *more: Column) -> DataFrame:
-    """doc_id, text and ``more`` of ``docs``, handed to Python in batches of bounded memory."""
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """doc_id, text and ``more`` of ``docs``; Spark bounds the bytes of a batch for Python."""
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *more)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut so that ``column`` holds at most about ``SLICE_BYTES`` in each."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str, size: int | None = None
+) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut so that ``column`` holds at most about ``size`` bytes in each."""
+    size = size or SLICE_BYTES
     for batch in batches:
         if not batch.num_rows:
             continue
         mean = max(1, batch.column(column).nbytes // batch.num_rows)
-        step = max(1, SLICE_BYTES // mean)
+        step = max(1, size // mean)
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
 

@@ -20,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigweave.llm.common import slices, stored, texts_of
+from sigweave.llm.common import WORD_SLICE_BYTES, slices, stored, texts_of
 from sigweave.llm.tokens import encoder, split_words, vocabulary_path
 
 LENGTH = 2048
@@ -29,7 +29,9 @@ DIMS = 4
 BITS = 10
 # A key's lower bits spread equal points, so that copies can fall into several ranges.
 SPREAD = 22
+# Bytes of ids of a range; beyond so many ranges they grow with the table instead.
 RANGE_BYTES = 16 << 20
+MOST_RANGES = 50_000
 # Documents of a window of a given order; the curve sorts within a window only.
 WINDOW_DOCS = 256
 _PLACE = ["place_part", "place_file", "place_window"]
@@ -153,7 +155,7 @@ def pack(
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", WORD_SLICE_BYTES):
             words = split_words(batch.column("text"))
             key = _key(_ids_of(batch), curve_keys(*words))
             ids, at = encode.encode_words(*words, end_id)
@@ -191,7 +193,7 @@ def pack(
 
     # Equal keys are copies with equal hash bits: their order is that of doc_id.
     return (
-        rows.repartitionByRange(int(size // RANGE_BYTES) + 1, *(place or ["key"]))
+        rows.repartitionByRange(min(int(size // RANGE_BYTES) + 1, MOST_RANGES), *(place or ["key"]))
         .sortWithinPartitions(*place, "key", "doc_id", "ids")
         .mapInArrow(cut, _Packer.SCHEMA)
     )

@@ -7,6 +7,7 @@ of words it has met and asks the library only for new ones.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -21,6 +22,9 @@ MOST_IDS = 4_000_000
 # New words that the library gets at once; its own records of a text are large.
 ENCODE_WORDS = 8192
 MARK = "|"
+# Words of these characters keep their number of parts when they are normalised.
+_STEADY = r"^[!-~\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{17F}]+$"
+LINE_WORDS = 64
 _SPACES = re.compile(r"[ \t\n\r\x0b\x0c]+")
 _ENCODERS: dict[str, WordEncoder] = {}
 
@@ -55,6 +59,7 @@ class WordEncoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self._tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self._pattern, self._closing = self._word_ends()
         # A mark that is one token by itself parts words that are encoded together.
         alone = self._tokenizer.encode(MARK, add_special_tokens=False).ids
         self._mark = alone[0] if len(alone) == 1 else None
@@ -62,6 +67,20 @@ class WordEncoder:
         self._lengths = self._firsts = self._met = self._pool = np.zeros(0, dtype=np.int64)
         self._forget()
 
+    def _word_ends(self) -> tuple[str | None, np.ndarray | None]:
+        """Pattern of the parts of a word, and which ids end a part, where the file says so."""
+        spec = json.loads(self._tokenizer.to_str())
+        suffix = spec["model"].get("end_of_word_suffix")
+        before = spec.get("pre_tokenizer") or {}
+        first = (before.get("pretokenizers") or [before])[0]
+        pattern = first.get("pattern", {}).get("Regex")
+        if not suffix or not pattern or not first.get("invert") or first["behavior"] != "Removed":
+            return None, None
+        closing = np.zeros(self._tokenizer.get_vocab_size(), dtype=bool)
+        for token, i in self._tokenizer.get_vocab().items():
+            closing[i] = token.endswith(suffix)
+        return pattern, closing
+
     def _forget(self) -> None:
         """Drop the words that were met once only, or all if most were met again."""
         met = np.flatnonzero(self._met[: len(self._slot)]) if self._slot else []
@@ -105,18 +124,46 @@ class WordEncoder:
         if missing:
             new = list(dict.fromkeys(distinct[i] for i in missing))
             for start in range(0, len(new), ENCODE_WORDS):
-                part = new[start : start + ENCODE_WORDS]
-                plain = [w for w in part if MARK not in w] if self._mark is not None else []
-                odd = [w for w in part if MARK in w] if plain else part
-                for words, (lengths, ids) in (
-                    (plain, self._together(plain)),
-                    (odd, self._apart(odd)),
-                ):
+                for words, (lengths, ids) in self._encoded(new[start : start + ENCODE_WORDS]):
                     slot.update(zip(words, range(len(slot), len(slot) + len(words)), strict=True))
                     self._add(lengths, ids)
             found[missing] = [slot[distinct[i]] for i in missing]
         return found
 
+    def _encoded(self, words: list[str]) -> list[tuple[list[str], tuple[np.ndarray, np.ndarray]]]:
+        """The words, in some order, with their lengths and ids."""
+        if self._closing is not None:
+            steady = pc.match_substring_regex(pa.array(words, pa.string()), _STEADY).to_pylist()
+            plain = [w for w, good in zip(words, steady, strict=True) if good]
+            odd = [w for w, good in zip(words, steady, strict=True) if not good]
+            return [(plain, self._in_lines(plain)), (odd, self._apart(odd))]
+        plain = [w for w in words if MARK not in w] if self._mark is not None else []
+        odd = [w for w in words if MARK in w] if plain else words
+        return [(plain, self._together(plain)), (odd, self._apart(odd))]
+
+    def _in_lines(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and ids of words that are encoded many to a line.
+
+        A word has as many parts as the pattern finds in it, and the ids tell where a part
+        ends. A line whose number of parts is not that of its words sends all to ``_apart``.
+        """
+        if not words:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint32)
+        lower = pc.utf8_lower(pa.array(words, pa.string()))
+        parts = pc.count_substring_regex(lower, self._pattern).to_numpy(zero_copy_only=False)
+        starts = range(0, len(words), LINE_WORDS)
+        lines = [" ".join(words[i : i + LINE_WORDS]) for i in starts]
+        found = [
+            np.array(e.ids, dtype=np.uint32)
+            for e in self._tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        ]
+        counted = np.array([self._closing[ids].sum() for ids in found])
+        if not parts.all() or (counted != np.add.reduceat(parts, list(starts))).any():
+            return self._apart(words)
+        ids = np.concatenate(found)
+        last = np.flatnonzero(self._closing[ids])[np.cumsum(parts) - 1]
+        return np.diff(np.concatenate([[-1], last])), ids
+
     def _apart(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Lengths and ids of words, each encoded by itself."""
         found = [e.ids for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
