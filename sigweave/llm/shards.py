@@ -18,11 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sigweave.llm.common import slices, texts_of
+from sigweave.llm.common import WORD_SLICE_BYTES, slices, stored, texts_of
 from sigweave.llm.tokens import encoder, vocabulary_path
 
 END_ID = 2
 SHARD_IDS = 1 << 21
+# Bytes of ids of a part; beyond so many parts they grow with the table instead.
+PART_BYTES = 32 << 20
+MOST_PARTS = 50_000
 GAMMA = 2.0
 NULL_KEY = 0x6E756C6C
 SCHEMA = (
@@ -146,12 +149,33 @@ def write(docs: DataFrame, out: str, path: str | None = None, end_id: int = END_
     """
     path = path or vocabulary_path()
 
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(path)
+        width = 2 if encode.width == 2 and end_id < 1 << 16 else 4
+        for batch in slices(batches, "text", WORD_SLICE_BYTES):
+            flat, at = encode.encode(batch.column("text"), end_id)
+            raw = flat.astype(f"<u{width}").tobytes()
+            ids = [raw[s * width : e * width] for s, e in zip(at[:-1], at[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    batch.column("h"),
+                    pa.array([width] * batch.num_rows, pa.int32()),
+                    pa.array(ids, pa.binary()),
+                ],
+                ["doc_id", "h", "width", "ids"],
+            )
+
+    # Encoded once: the sampling of the ranges and the sort both read the stored ids.
+    source = texts_of(docs, F.xxhash64("text").alias("h"))
+    rows = stored(source.mapInArrow(encoded, "doc_id long, h long, width int, ids binary"), "ids")
+    size = rows.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, encode = TaskContext.get().partitionId(), encoder(path)
-        width = 2 if encode.width == 2 and end_id < 1 << 16 else 4
-        number, docs, ids, held = 0, [], [], 0
+        part = TaskContext.get().partitionId()
+        number, docs, ids, held, width = 0, [], [], 0, 2
 
         def emit() -> pa.RecordBatch:
             row = _shard(part, number, docs, ids, width)
@@ -159,25 +183,21 @@ def write(docs: DataFrame, out: str, path: str | None = None, end_id: int = END_
                 [pa.array([v], t) for v, t in zip(row, _TYPES, strict=True)], _NAMES
             )
 
-        for batch in slices(batches, "text"):
-            flat, at = encode.encode(batch.column("text"), end_id)
-            for doc, s, e in zip(batch.column("doc_id").to_pylist(), at[:-1], at[1:], strict=True):
+        for batch in slices(batches, "ids"):
+            columns = [batch.column(c).to_pylist() for c in ("doc_id", "width", "ids")]
+            for doc, width, raw in zip(*columns, strict=True):
                 docs.append(doc)
-                ids.append(flat[s:e])
-                held += e - s
+                ids.append(np.frombuffer(raw, dtype=f"<u{width}"))
+                held += len(ids[-1])
                 if held >= SHARD_IDS:
                     yield emit()
                     number, docs, ids, held = number + 1, [], [], 0
         if docs:
             yield emit()
 
-    source = texts_of(docs).withColumn(
-        "h", F.xxhash64("text")
-    )
     (
-        source.repartitionByRange("doc_id", "h")
-        .sortWithinPartitions("doc_id", "h")
-        .select("doc_id", "text")
+        rows.repartitionByRange(min(int(size // PART_BYTES) + 1, MOST_PARTS), "doc_id", "h")
+        .sortWithinPartitions("doc_id", "h", "ids")
         .mapInArrow(run, SCHEMA)
         .write.parquet(out)
     )
