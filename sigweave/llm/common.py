@@ -13,7 +13,7 @@ from sigweave.session import run_dir
 # A task handles its texts in slices of about this many bytes, however long a batch is.
 SLICE_BYTES = 4 << 20
 # Larger ones where the work goes by different words, as larger slices repeat more.
-WORD_SLICE_BYTES = 16 << 20
+WORD_SLICE_BYTES = 8 << 20
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -28,24 +28,46 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, *more: Column) -> DataFrame:
-    """doc_id, text and ``more`` of ``docs``; Spark bounds the bytes of a batch for Python."""
+    """doc_id, text and ``more`` of ``docs``; ``session.prepare`` bounds a batch for Python."""
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *more)
 
 
 def slices(
     batches: Iterator[pa.RecordBatch], column: str, size: int | None = None
 ) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut so that ``column`` holds at most about ``size`` bytes in each."""
-    size = size or SLICE_BYTES
-    for batch in batches:
+    """Arrow batches cut so that ``column`` holds at most about ``size`` bytes in each.
+
+    With a ``size`` given, small batches are first put together up to it.
+    """
+    for batch in batches if size is None else _together(batches, column, size):
         if not batch.num_rows:
             continue
         mean = max(1, batch.column(column).nbytes // batch.num_rows)
-        step = max(1, size // mean)
+        step = max(1, (size or SLICE_BYTES) // mean)
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
 
 
+def _together(
+    batches: Iterator[pa.RecordBatch], column: str, size: int
+) -> Iterator[pa.RecordBatch]:
+    held, total = [], 0
+    for batch in batches:
+        more = batch.column(column).nbytes
+        if held and total + more > size:
+            yield pa.concat_batches(held)
+            held, total = [], 0
+        held.append(batch)
+        total += more
+    if held:
+        yield pa.concat_batches(held)
+
+
+def last_place(rows: int, n: int) -> int:
+    """Greatest of the 64-bit hashes (signed) that draws about ``rows`` of ``n`` different ones."""
+    return min((1 << 64) * rows // n, 1 << 64) - 1 - (1 << 63)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Root (smallest node) of every node that has an edge: columns node, root.
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigweave.llm.common import slices, texts_of
+from sigweave.llm.common import last_place, slices, texts_of
 
 BUCKETS = 1 << 15
 DIM = 16
@@ -89,11 +89,6 @@ def predict(text: str | None, model: LanguageModel) -> tuple[str, float, bool]:
     return model.languages[best], float(p[best]), bool(low)
 
 
-def last_place(rows: int, n: int) -> int:
-    """Greatest of the 64-bit hashes (signed) that draws about ``rows`` of ``n`` texts."""
-    return min((1 << 64) * rows // n, 1 << 64) - 1 - (1 << 63)
-
-
 def fit(docs: DataFrame, rows: int = TRAIN_ROWS, seed: int = 7) -> LanguageModel:
     """Model from ``docs`` (text, lang): about ``rows`` different texts per language.
 

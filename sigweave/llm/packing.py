@@ -1,8 +1,8 @@
 """Packing in the order of a space-filling curve.
 
-A document is a hashed word-count vector of length one, projected to a few dimensions by
-random weights that a word's hash gives. The Hilbert key of the quantised point orders the
-documents, so neighbours on the curve use the same words. The ids are sorted by ranges of
+A document is the vector of its ids' counts, of length one, projected to a few dimensions by
+random weights that an id's hash gives. The Hilbert key of the quantised point orders the
+documents, so neighbours on the curve use the same ids. The ids are sorted by ranges of
 that order; each range is one stream of ids cut every ``length`` ids, and its rest is
 cut at powers of two, which need no padding. Rows whose order another step has decided are
 sorted along the curve only within windows of that order.
@@ -15,13 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sigweave.llm.common import WORD_SLICE_BYTES, slices, stored, texts_of
-from sigweave.llm.tokens import encoder, split_words, vocabulary_path
+from sigweave.llm.tokens import encoder, vocabulary_path, with_end
 
 LENGTH = 2048
 END_ID = 1
@@ -36,6 +35,7 @@ MOST_RANGES = 50_000
 WINDOW_DOCS = 256
 _PLACE = ["place_part", "place_file", "place_window"]
 _HALF = 1 << 15
+_AXES: dict[int, np.ndarray] = {}
 
 
 def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
@@ -66,29 +66,33 @@ def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
-def curve_keys(codes: np.ndarray, distinct: list[str], starts: np.ndarray) -> np.ndarray:
-    """Hilbert key of every text given by word codes; a text without words is the origin."""
+def curve_keys(ids: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """Hilbert key of every text given by its ids (below ``size``); one without any is the origin."""
     texts = len(starts) - 1
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter(
-        (digest(w.encode("utf-8", "surrogatepass"), 42) for w in distinct),
-        dtype=np.uint64,
-        count=len(distinct),
-    )
-    axes = hashes.view(np.uint16).reshape(-1, DIMS).astype(np.float64)
-    axes = (axes - (_HALF - 0.5)) / _HALF * 3**0.5
     owner = np.repeat(np.arange(texts), np.diff(starts))
-    pair, count = np.unique(owner * max(1, len(distinct)) + codes, return_counts=True)
-    owner, code = np.divmod(pair, max(1, len(distinct)))
+    pair, count = np.unique(owner * size + ids, return_counts=True)
+    owner, code = np.divmod(pair, size)
     norm = np.sqrt(np.bincount(owner, weights=count.astype(float) ** 2, minlength=texts))
+    axes = _axes(size)
     point = np.stack(
-        [np.bincount(owner, weights=axes[code, d] * count, minlength=texts) for d in range(DIMS)],
+        [np.bincount(owner, weights=axes[d, code] * count, minlength=texts) for d in range(DIMS)],
         axis=1,
     ) / np.maximum(norm, 1.0)[:, None]
     level = np.clip((point + 4) / 8 * (1 << BITS), 0, (1 << BITS) - 1)
     return hilbert(level, BITS)
 
 
+def _axes(size: int) -> np.ndarray:
+    """Weights of every id on each dimension, from a hash of the id; variance one."""
+    if size not in _AXES:
+        z = np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        parts = (z ^ (z >> np.uint64(31))).view(np.uint16).reshape(-1, DIMS).astype(np.float64)
+        _AXES[size] = ((parts - (_HALF - 0.5)) / _HALF * 3**0.5).T.copy()
+    return _AXES[size]
+
+
 def _key(docs: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """The curve key with bits of a hash of doc_id below it."""
     mixed = docs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -156,9 +160,9 @@ def pack(
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
         for batch in slices(batches, "text", WORD_SLICE_BYTES):
-            words = split_words(batch.column("text"))
-            key = _key(_ids_of(batch), curve_keys(*words))
-            ids, at = encode.encode_words(*words, end_id)
+            plain, at = encode.encode(batch.column("text"))
+            key = _key(_ids_of(batch), curve_keys(plain, at, encode.size))
+            ids, at = with_end(plain, at, end_id)
             size = 2 if encode.width == 2 and end_id < 1 << 16 else 4
             raw = ids.astype(f"<u{size}").tobytes()
             yield pa.RecordBatch.from_arrays(

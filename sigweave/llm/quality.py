@@ -22,8 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigweave.llm.common import slices, texts_of
-from sigweave.llm.langid import last_place
+from sigweave.llm.common import last_place, slices, texts_of
 from sigweave.llm.tokens import split_words
 
 BUCKETS = 1 << 12

@@ -20,10 +20,11 @@ from sigweave.llm import (
     toxicity,
     urls,
 )
-from sigweave.session import run_dir
+from sigweave.session import prepare, run_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

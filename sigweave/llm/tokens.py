@@ -52,13 +52,20 @@ def split_words(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
     return codes, coded.dictionary.to_pylist(), starts.astype(np.int64)
 
 
+def with_end(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of texts that start at ``bounds``, with ``end_id`` after each text."""
+    return np.insert(ids, bounds[1:], end_id), bounds + np.arange(len(bounds))
+
+
 class WordEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self.width = 2 if self._tokenizer.get_vocab_size() <= 1 << 16 else 4
+        # Ids are below it, also if a vocabulary leaves some out.
+        self.size = max(self._tokenizer.get_vocab().values()) + 1
+        self.width = 2 if self.size <= 1 << 16 else 4
         self._pattern, self._closing = self._word_ends()
         # A mark that is one token by itself parts words that are encoded together.
         alone = self._tokenizer.encode(MARK, add_special_tokens=False).ids
@@ -76,7 +83,7 @@ class WordEncoder:
         pattern = first.get("pattern", {}).get("Regex")
         if not suffix or not pattern or not first.get("invert") or first["behavior"] != "Removed":
             return None, None
-        closing = np.zeros(self._tokenizer.get_vocab_size(), dtype=bool)
+        closing = np.zeros(self.size, dtype=bool)
         for token, i in self._tokenizer.get_vocab().items():
             closing[i] = token.endswith(suffix)
         return pattern, closing
@@ -204,10 +211,7 @@ class WordEncoder:
         total = int(lengths.sum())
         ids = self._pool[np.repeat(self._firsts[slots] - before, lengths) + np.arange(total)]
         bounds = np.concatenate([before, [total]])[starts]
-        if end_id is not None:
-            ids = np.insert(ids, bounds[1:], end_id)
-            bounds = bounds + np.arange(len(bounds))
-        return ids, bounds
+        return (ids, bounds) if end_id is None else with_end(ids, bounds, end_id)
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         return self.encode_words(*split_words(texts), end_id)

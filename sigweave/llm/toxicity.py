@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigweave.llm.common import slices, stored, texts_of
+from sigweave.llm.common import last_place, slices, stored, texts_of
 
 SLOTS = 1 << 18
 STEM = 4
@@ -32,6 +32,7 @@ DRIFT = 0.2
 # Documented bound of the labelled rows that a model is fitted on.
 TRAIN_ROWS = 50_000
 E_VALUE = 0.01
+_HELD_TYPES = [pa.int64(), pa.float64(), pa.float64(), pa.float64()]
 
 
 @dataclass
@@ -123,8 +124,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Tox
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    share = min(1.0, train_rows / max(1, marked.count()))
-    chosen = marked.filter(f"pmod(xxhash64(doc_id, 9), 1000000) < {share * 1_000_000:.0f}")
+    last = last_place(train_rows, max(1, marked.count()))
+    chosen = marked.filter(F.xxhash64("doc_id", F.lit(9)) <= last)
     # At most about train_rows rows of two numbers, since each doc_id is there once.
     texts = stored(
         texts_of(docs)
@@ -200,32 +201,45 @@ def _log_odds(toxic: np.ndarray, clean: np.ndarray) -> np.ndarray:
 
 
 def _calibrated(held: DataFrame, model: ToxicityModel) -> ToxicityModel:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model with the law of chance and then the weights fitted on held-back texts.
+
+    Two passes: the law needs the best segment of each clean text, and only with it is known
+    which segments count as significant. The weights see the features that are scored.
+    """
+
+    def features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            rows = [(n, [s for _, _, s in found]) for n, found in _scored(batch.column("text"), model)]
+            rows = []
+            for n, found in _scored(batch.column("text"), model):
+                best = max((s for _, _, s in found), default=0.0)
+                rows.append((n, best, *_features(n, found, model)))
+            columns = zip(*rows, strict=True) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("toxic"),
-                    pa.array([n for n, _ in rows], pa.int64()),
-                    # The strongest twenty are enough to fit two weights.
-                    pa.array([sorted(s, reverse=True)[:20] for _, s in rows], pa.list_(pa.float64())),
+                    *(pa.array(c, t) for c, t in zip(columns, _HELD_TYPES, strict=True)),
                 ],
-                ["toxic", "n", "scores"],
+                ["toxic", "n", "best", "significance", "many"],
             )
 
-    rows = held.select("toxic", "text").mapInArrow(run, "toxic int, n long, scores array<double>")
-    seen = [(r.toxic, r.n, [(0, 0, s) for s in r.scores]) for r in rows.collect()]
-    if len({t for t, _, _ in seen}) < 2:
+    def seen() -> list:
+        schema = "toxic int, n long, best double, significance double, many double"
+        rows = held.select("toxic", "text").mapInArrow(features_of, schema)
+        return sorted(map(tuple, rows.collect()))
+
+    first = seen()
+    if len({r[0] for r in first}) < 2:
         return model
-    clean = np.array([max((s for *_, s in f), default=0.0) for t, _, f in seen if not t])
-    length = np.array([math.log(max(n, 1)) for t, n, _ in seen if not t])
+    clean = np.array([r[2] for r in first if not r[0]])
+    length = np.array([math.log(max(r[1], 1)) for r in first if not r[0]])
     # Method of moments for the Gumbel law of S - log(m) / rate, the rate by fixed point.
     for _ in range(20):
         rest = clean - length / model.rate
         model.rate = min(3.0, max(0.3, math.pi / (math.sqrt(6) * max(rest.std(), 0.3))))
     model.log_k = float(model.rate * (clean - length / model.rate).mean() - np.euler_gamma)
-    x = np.array([(*_features(n, f, model), 1.0) for _, n, f in seen])
-    y = np.array([t for t, _, _ in seen], dtype=float)
+    second = seen()
+    x = np.array([(r[3], r[4], 1.0) for r in second])
+    y = np.array([r[0] for r in second], dtype=float)
     w = np.array([0.1, 0.1, -1.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))

@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sigweave.llm.common import last_place
+
 # Fixed production rules: (host and its subdomains, start of the path, verdict).
 RULES = [
     ("net", "/", "block"),
@@ -147,7 +149,8 @@ class Trees:
 def grow(x: np.ndarray, y: np.ndarray) -> Trees:
     """Trees from features and labels; with one kind of label only, that label always."""
     if not len(y) or y.min() == y.max():
-        return Trees(base=0.0 if not len(y) else (4.0 if y[0] else -4.0))
+        # Nothing known is allowed.
+        return Trees(base=4.0 if len(y) and y[0] else -4.0)
     share = y.mean()
     model = Trees(base=float(math.log(share / (1 - share))))
     cuts = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
@@ -201,17 +204,22 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
 def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Trees:
     """Trees from ``labelled`` (url, host, path, suffix_rate, blocked), about ``train_rows`` rows.
 
-    The rows are drawn by a hash of the URL, so repeated URLs are drawn together.
+    The rows are drawn by a hash of the URL; a URL counts once with each label, however often
+    rows repeat it.
     """
-    share = min(1.0, train_rows / max(1, labelled.count()))
-    drawn = labelled.filter(F.expr("pmod(xxhash64(url, 13), 1000000)") < int(share * 1_000_000))
+    place = F.xxhash64("url", F.lit(13))
+    urls = labelled.agg(F.count_distinct(place)).first()[0]
+    drawn = labelled.filter(place <= last_place(train_rows, max(1, urls)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = pa.array(list(_matrix(batch)), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([x, batch.column("blocked")], ["x", "blocked"])
 
-    chosen = drawn.select("url", "host", "path", "suffix_rate", F.col("blocked").cast("int"))
+    # Merged before the driver sees them, since copies of a URL have no bound.
+    chosen = drawn.select(
+        "url", "host", "path", "suffix_rate", F.col("blocked").cast("int")
+    ).distinct()
     rows = sorted(map(tuple, chosen.mapInArrow(run, "x array<double>, blocked int").collect()))
     x = np.array([r[0] for r in rows], dtype=float).reshape(-1, len(FEATURES))
     return grow(x, np.array([r[1] for r in rows], dtype=float))
