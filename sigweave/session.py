@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 
 # Clock text and epoch conversions are defined in UTC everywhere in the package.
 TIME_ZONE = "UTC"
+# Rows of a batch for Python; texts are long, so fewer than Spark's default.
+BATCH_ROWS = 1000
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
@@ -25,6 +27,7 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS),
         **conf,
     }
     for key, value in settings.items():
@@ -36,6 +39,7 @@ def prepare(spark: SparkSession) -> None:
     """Put a session somebody else made into the state the engine expects."""
     spark.conf.set("spark.sql.session.timeZone", TIME_ZONE)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def shared_dir(spark: SparkSession) -> str:
