@@ -5,26 +5,26 @@ third of the data into one task, so such keys are cut into consecutive slices of
 order that are worked on in parallel; a small summary per slice then carries the state from
 slice to slice. Where a key is cut never changes a result, only the balance of the work.
 
-A key is hot if it holds more than ``rows_per_slice`` rows and more than 1/``MAX_SLICES``
-of all rows, so the number of hot keys and of cuts have a fixed bound whatever the size of
-the data. Hot keys and cuts come from thin samples of the key and order columns, since
-counting all keys would shuffle about as much as the rule itself. Most inputs have no hot
-key and keep the plain window plan.
+A key is hot if it holds more than ``rows_per_slice`` rows. Slices keep that size however large
+the data is, so there are more of them in larger data; the table of cuts is written below the
+shared folder and joined like any other table, broadcast only if it is measured to be small.
+Hot keys and cuts come from thin samples of the key and order columns, since counting all keys
+would shuffle about as much as the rule itself. Most inputs have no hot key and keep the plain
+window plan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from sigweave.session import run_dir
+
 ROWS_PER_SLICE = 4_000_000
-MAX_SLICES = 65_536
 # Expected sample rows of a key that just reaches the size of a slice: to find hot keys,
 # and to place the cuts.
 SAMPLES_PER_SLICE = 1000
@@ -51,7 +51,7 @@ class SlicePlan:
         """Adds the slice number; null for keys that are not cut."""
         if self.table is None:
             return df.withColumn(SLICE, F.lit(None).cast("int"))
-        joined = join_small(df, self.table, self.keys, bounded=True)
+        joined = join_small(df, self.table, self.keys)
         place = slice_of(F.struct(*self.order))
         return joined.select(*df.columns, place.alias(SLICE))
 
@@ -64,14 +64,8 @@ class SlicePlan:
         )
 
 
-def join_small(
-    df: DataFrame, small: DataFrame, cols: Sequence[str], *, bounded: bool = False
-) -> DataFrame:
-    """Left join on ``cols`` where nulls match.
-
-    ``bounded`` says that ``MAX_SLICES`` bounds the table, so that it may be broadcast. Other
-    tables may grow with further keys; adaptive execution broadcasts them if they are small.
-    """
+def join_small(df: DataFrame, small: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Left join on ``cols`` where nulls match; Spark broadcasts ``small`` if it is small."""
     renamed = small.select(
         *[F.col(c).alias(f"_j_{c}") if c in cols else F.col(c) for c in small.columns]
     )
@@ -79,9 +73,7 @@ def join_small(
     for c in cols:
         equal = df[c].eqNullSafe(renamed[f"_j_{c}"])
         condition = equal if condition is None else condition & equal
-    return df.join(F.broadcast(renamed) if bounded else renamed, condition, "left").drop(
-        *[f"_j_{c}" for c in cols]
-    )
+    return df.join(renamed, condition, "left").drop(*[f"_j_{c}" for c in cols])
 
 
 def slice_of(place: Column) -> Column:
@@ -107,7 +99,6 @@ def plan_slices(
     order: Sequence[str],
     *,
     rows_per_slice: int = ROWS_PER_SLICE,
-    max_slices: int = MAX_SLICES,
     sampled: Callable[[Callable[[DataFrame], DataFrame]], DataFrame] | None = None,
 ) -> SlicePlan:
     """Finds hot keys and cuts them into slices of about equal row counts.
@@ -117,7 +108,6 @@ def plan_slices(
     earlier sample saves work, such as parsing.
     """
     keys, order = tuple(keys), tuple(order)
-    spark = df.sparkSession
 
     def sample(fraction: float) -> DataFrame:
         def thin(rows: DataFrame) -> DataFrame:
@@ -130,41 +120,39 @@ def plan_slices(
 
     fraction = min(1.0, SAMPLES_PER_SLICE / rows_per_slice)
     seen = sample(fraction).groupBy(*keys).agg(F.count(F.lit(1)).alias("_seen"))
-    total, largest = seen.agg(F.sum("_seen"), F.max("_seen")).first()
-    limit = max(rows_per_slice, ceil((total or 0) / fraction / max_slices))
-    if largest is None or largest <= limit * fraction:
+    limit = rows_per_slice * fraction
+    largest = seen.agg(F.max("_seen")).first()[0]
+    if largest is None or largest <= limit:
         return SlicePlan(keys, order)
-    # At most max_slices keys can reach this.
-    hot = seen.filter(F.col("_seen") > limit * fraction)
-    hot = spark.createDataFrame(hot.collect(), hot.schema)
-
-    # Every so many sample rows of a hot key there is a cut: at most max_slices in total.
-    fraction = min(1.0, POINTS_PER_SLICE / limit)
-    every = max(1, round(limit * fraction))
-    points = join_small(sample(fraction), hot, keys, bounded=True).filter(F.col("_seen").isNotNull())
+    hot = _written(seen.filter(F.col("_seen") > limit), "hot-keys")
+
+    # Every so many sample rows of a hot key there is a cut.
+    fraction = min(1.0, POINTS_PER_SLICE / rows_per_slice)
+    every = max(1, round(rows_per_slice * fraction))
+    points = join_small(sample(fraction), hot, keys).filter(F.col("_seen").isNotNull())
     number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    # In order of place, as an array sorts by its first field.
     cuts = (
         points.withColumn("_number", number)
         .filter(F.col("_number") % every == 0)
-        .select(F.struct(*keys).alias("_key"), F.struct(*order).alias("_cut"), "_number")
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_list(F.struct("_number", F.struct(*order).alias("cut")))).alias("c"))
+        .select(*keys, F.col("c.cut").alias("_cuts"))
     )
-    places: dict[tuple, list] = {}
-    for row in sorted(cuts.collect(), key=lambda r: r["_number"]):
-        places.setdefault(tuple(row["_key"]), []).append(row["_cut"])
-    if not places:
-        return SlicePlan(keys, order)
-    rows = [
-        (*key, found, [1 << i for i in reversed(range(len(found).bit_length()))])
-        for key, found in places.items()
-    ]
-    schema = T.StructType(
-        [
-            *cuts.schema["_key"].dataType.fields,
-            T.StructField("_cuts", T.ArrayType(cuts.schema["_cut"].dataType)),
-            T.StructField("_powers", T.ArrayType(T.IntegerType())),
-        ]
+    # The falling powers of two up to the number of cuts.
+    size = F.length(F.bin(F.size("_cuts").cast("long")))
+    powers = F.transform(
+        F.sequence(size - 1, F.lit(0)), lambda i: F.call_function("shiftleft", F.lit(1), i)
     )
-    return SlicePlan(keys, order, spark.createDataFrame(rows, schema))
+    table = _written(cuts.withColumn("_powers", powers), "cuts")
+    return SlicePlan(keys, order, table if table.take(1) else None)
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table below the shared folder, whose size Spark knows when it plans."""
+    path = run_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def resolve(

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -37,10 +37,33 @@ def location_stay(
     A row is in area A if ``area_A = 'true'``. A stay starts on the first row in the area
     and again after more than ``timeout_ms`` without one. ``limits`` are in ms.
     """
-    time = F.col(order[0])
-    plan = resolve(slices, df, keys, order)
     here = {a: F.col(f"area_{a}") == "true" for a in areas}
     names = {a: str(i) for i, a in enumerate(areas)}
+    rows = _marked(df, keys, order, here, names, timeout_ms, slices)
+    time = F.col(order[0])
+    labels = []
+    for a in areas:
+        n = names[a]
+        last, start = F.col(f"_pt{n}"), F.col(f"_st{n}")
+        continued = here[a] & (start <= last) & (time > last)
+        value = crossed_limit(
+            last - start,
+            time - start,
+            limits,
+            match_max=match_max,
+            output_threshold=output_threshold,
+            strict=strict,
+        )
+        labels.append((f"stay_{a}", F.when(continued, value).otherwise("0")))
+    return add_labels(rows, df, labels)
+
+
+def _marked(df, keys, order, here, names, timeout_ms, slices) -> DataFrame:
+    """Rows with ``_pt``, the last time in an area before the row, and ``_st``, the newest start
+    of a stay there up to the row, for each area of ``here`` and its number in ``names``."""
+    areas = list(here)
+    time = F.col(order[0])
+    plan = resolve(slices, df, keys, order)
     base = plan.tag(df) if plan.hot else df
     parts = [*keys, SLICE] if plan.hot else list(keys)
     so_far = Window.partitionBy(*parts).orderBy(*order).rowsBetween(
@@ -79,22 +102,39 @@ def location_stay(
     )
     if plan.hot:
         rows = _with_carry(rows, keys, areas, names, here, time, timeout_ms)
+    return rows
 
-    labels = []
+
+def stay_state(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    areas: Sequence[str],
+    *,
+    timeout_ms: int = DEFAULT_TIMEOUT_MS,
+    slices: SlicePlan | str | None = None,
+) -> tuple[DataFrame, list[Column]]:
+    """Rows, and aggregates by key over them that give the state after all rows of a table.
+
+    They are ``stay_first_<A>`` and ``stay_last_<A>``: start and last time of the area's stay,
+    null if it has none or if the key was in no area at all for longer than the timeout since.
+    """
+    here = {a: F.coalesce(F.col(f"area_{a}") == "true", F.lit(False)) for a in areas}
+    anywhere = F.lit(False)
+    for flag in here.values():
+        anywhere = anywhere | flag
+    # All areas together are one more area, whose stays tell when everything was forgotten.
+    marks = {**here, None: anywhere}
+    names = {a: str(i) for i, a in enumerate(marks)}
+    rows = _marked(df, keys, order, marks, names, timeout_ms, slices)
+    time = F.col(order[0])
+    kept = F.max(f"_st{names[None]}")
+    aggregates = []
     for a in areas:
-        n = names[a]
-        last, start = F.col(f"_pt{n}"), F.col(f"_st{n}")
-        continued = here[a] & (start <= last) & (time > last)
-        value = crossed_limit(
-            last - start,
-            time - start,
-            limits,
-            match_max=match_max,
-            output_threshold=output_threshold,
-            strict=strict,
-        )
-        labels.append((f"stay_{a}", F.when(continued, value).otherwise("0")))
-    return add_labels(rows, df, labels)
+        first, last = F.max(f"_st{names[a]}"), F.max(F.when(here[a], time))
+        for end, value in (("first", first), ("last", last)):
+            aggregates.append(F.when(last >= kept, value).alias(f"stay_{end}_{a}"))
+    return rows, aggregates
 
 
 def _with_carry(rows, keys, areas, names, here, time, timeout_ms) -> DataFrame:

@@ -224,7 +224,7 @@ def _successors(
         F.lit(0).alias("_probe"),
     )
     due_times = join_small(
-        exits.select(*keys, _DUE).distinct(), plan.table, plan.keys, bounded=True
+        exits.select(*keys, _DUE).distinct(), plan.table, plan.keys
     )
     # A probe stands before all rows of its time.
     place = F.struct(

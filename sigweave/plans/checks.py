@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from sigweave.plans import tables as t
 from sigweave.plans.queries import (
+    CHANGES,
     DAY_S,
     FLOW_FIELDS,
     NOW,
+    PAIR_DELAY_MS,
+    PAIR_MS,
     STAY_LIMITS,
     STAY_TIMEOUT,
+    WINDOW_DELAY_MS,
+    WINDOW_MS,
 )
 
 _S = t.SIGNALS_SQL
@@ -431,6 +436,79 @@ LATEST_KEPT = _with(
     body="SELECT imsi, event_id, time, ts_ms FROM sales WHERE n = 1",
 )
 
+SITE_AS_OF = _with(
+    _S,
+    t.SITE_MOVES_SQL,
+    # Of the moves of one moment the last order's holds.
+    "moves AS (SELECT lac, valid_from, max_by(o_orderkey, o_orderkey) AS o_orderkey,"
+    " max_by(geo_longitude, o_orderkey) AS geo_longitude,"
+    " max_by(geo_latitude, o_orderkey) AS geo_latitude FROM site_moves GROUP BY lac, valid_from)",
+    body="SELECT s.event_id, s.lac, m.o_orderkey, m.geo_longitude, m.geo_latitude"
+    " FROM signals s ASOF LEFT JOIN moves m ON s.lac = m.lac AND s.ts_ms >= m.valid_from",
+)
+
+EVENTS_IN_PERIODS = _with(
+    _S,
+    t.PERIODS_SQL,
+    body="SELECT event_id, o_orderkey FROM signals JOIN periods"
+    " ON start_ms <= ts_ms AND ts_ms < end_ms",
+)
+
+CHANGING_DIMENSION = _with(
+    _S,
+    t.SITES_SQL,
+    f"arrived AS (SELECT event_id, lac, event_id % {CHANGES} AS version FROM signals)",
+    # Each part meets the sites as they were when it arrived.
+    "placed AS (SELECT a.event_id, a.lac, site_name || '/' || version AS name,"
+    " list_transform(string_split(areas, ','), lambda x: trim(x)) AS members FROM arrived a"
+    " LEFT JOIN sites s ON s.lac = a.lac AND CAST(s.lac AS INT) % 5 <> version)",
+    body=f"SELECT event_id, lac, {_areas(['R1', 'R2'])}, coalesce(name, '') AS areainfo_site_name"
+    " FROM placed",
+)
+
+CONFIGURED = _with(
+    _S,
+    t.SITES_SQL,
+    "lines AS (SELECT *, CAST(event_id AS VARCHAR) AS id, CASE WHEN event_id % 89 = 0 THEN ''"
+    " ELSE event_type END AS kind FROM signals WHERE event_id % 97 <> 0 OR event_id % 89 = 0)",
+    "kept AS (SELECT l.*, lag(imei, 1, '') OVER (PARTITION BY imsi ORDER BY ts_ms, id) AS last_imei"
+    " FROM lines l WHERE kind <> '')",
+    "placed AS (SELECT k.*, site_name, list_transform(string_split(areas, ','), lambda x: trim(x))"
+    " AS members FROM kept k LEFT JOIN sites s ON s.lac = k.lac AND k.ci IN ('0', '1', '2'))",
+    body=f"""SELECT imsi AS key, concat_ws('#', id, lpad(upper(to_hex(CAST(lac AS INT))), 4, '0') || ':'
+    || lpad(upper(to_hex(CAST(ci AS INT))), 4, '0'), last_imei, coalesce(site_name, ''), '1',
+    {_STAMP}) AS value, 'moves' AS topic
+FROM placed WHERE list_contains(members, 'R1') AND last_imei <> '' AND last_imei <> imei""",
+)
+
+# The watermark of a part is what the parts before it have reached.
+WINDOWS = _with(
+    _S,
+    f"rows AS (SELECT lac, ts_ms, k, {t.LATE_PART} AS part,"
+    f" ts_ms // {WINDOW_MS} * {WINDOW_MS} AS start_ms FROM signals)",
+    f"passed AS (SELECT p, (SELECT max(ts_ms) FROM rows WHERE part < p) - {WINDOW_DELAY_MS} AS mark"
+    " FROM (SELECT unnest([0, 1, 2, 3]) AS p))",
+    f"judged AS (SELECT r.*, start_ms + {WINDOW_MS} AS end_ms,"
+    f" coalesce(start_ms + {WINDOW_MS} <= mark, false) AS late FROM rows r JOIN passed ON p = part)",
+    body="""SELECT CASE WHEN late THEN 'late' ELSE 'window' END AS kind, lac, start_ms, end_ms,
+  count(*) AS n, CAST(sum(k) AS DOUBLE) AS k
+FROM judged WHERE late OR end_ms <= (SELECT mark FROM passed WHERE p = 3)
+GROUP BY late, lac, start_ms, end_ms""",
+)
+
+PAIRS = _with(
+    _S,
+    "clicks AS (SELECT imsi, event_id AS click_id, ts_ms // 60000 * 60000 + 15000 AS click_ms"
+    " FROM signals WHERE event_type = 'click')",
+    "sales AS (SELECT imsi, event_id AS sale_id, ts_ms // 60000 * 60000 + 30000 AS sale_ms"
+    " FROM signals WHERE event_type = 'purchase')",
+    "mark AS (SELECT least((SELECT max(click_ms) FROM clicks), (SELECT max(sale_ms) FROM sales))"
+    f" - {PAIR_DELAY_MS} AS at)",
+    body=f"""SELECT c.imsi, click_id, click_ms, sale_id, sale_ms FROM clicks c LEFT JOIN sales s
+  ON s.imsi = c.imsi AND sale_ms BETWEEN click_ms AND click_ms + {PAIR_MS}
+WHERE sale_id IS NOT NULL OR click_ms + {PAIR_MS} < (SELECT at FROM mark)""",
+)
+
 CHECKS = {
     "parse_delimited": PARSE,
     "parse_counts": PARSE_COUNTS,
@@ -452,6 +530,9 @@ CHECKS = {
     "area_flags": AREA_FLAGS,
     "area_attributes": AREA_ATTRIBUTES,
     "site_position": SITE_POSITION,
+    "site_as_of": SITE_AS_OF,
+    "events_in_periods": EVENTS_IN_PERIODS,
+    "changing_dimension_stream": CHANGING_DIMENSION,
     "party_info": PARTY,
     "terminal_info": TERMINAL,
     "previous_value": PREVIOUS,
@@ -463,6 +544,8 @@ CHECKS = {
     "latest_event_row": LATEST_EVENT,
     "state_snapshot": SNAPSHOT,
     "greatest_payload": GREATEST,
+    "windows_stream": WINDOWS,
+    "pair_stream": PAIRS,
     "keyed_message": MESSAGE,
     "whole_row_message": WHOLE_ROW,
     "fan_out_sinks": FAN_OUT,
@@ -470,8 +553,10 @@ CHECKS = {
     "text_stream_ingest": PARSE,
     "rule_chain": CHAIN,
     "rule_chain_stream": CHAIN,
+    "rule_chain_resumed": CHAIN,
     "enriched_events": FLOW,
     "enriched_events_stream": FLOW,
+    "configured_pipeline": CONFIGURED,
     "bad_time_stream": BAD_TIME,
     "latest_without_sink": LATEST_KEPT,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -11,7 +12,10 @@ from pyspark.sql import functions as F
 from sigweave import functions as sf
 from sigweave.functions.sql import register_functions
 from sigweave.operators import keyed, latest, lookup, parse, project, stay
+from sigweave.operators.asof import as_of
+from sigweave.operators.intervals import overlapping
 from sigweave.operators.throttle import throttle
+from sigweave.plans import config
 from sigweave.plans import tables as t
 from sigweave.plans.pipeline import EVENT, Pipeline
 from sigweave.plans.rules import (
@@ -21,10 +25,12 @@ from sigweave.plans.rules import (
     StayRule,
     TrackRule,
     attach_rules,
+    rules_state,
 )
 from sigweave.session import prepare, run_dir
 from sigweave.sinks import all_columns_message, key_partition, keyed_message
-from sigweave.sources import read_dimension, read_lines
+from sigweave.sinks.writers import event_frame
+from sigweave.sources import VersionedDimension, read_dimension, read_lines
 from sigweave.specs import EventSpec, InterfaceSpec, SinkSpec, SourceSpec
 from sigweave.streaming.keyed import (
     STATE_RULES,
@@ -32,8 +38,10 @@ from sigweave.streaming.keyed import (
     read_state,
     throttle_stream,
 )
+from sigweave.streaming.joins import within
 from sigweave.streaming.run import run_to_table
 from sigweave.streaming.steps import PreviousStep
+from sigweave.streaming.windows import WindowSpec, windowed
 
 NOW = 1_717_200_000_123
 HOUR_MS = 3_600_000
@@ -314,6 +322,73 @@ def terminal_info(spark: SparkSession, sf_dir: str) -> Query:
     return lookup.terminal_labels(rows, t.terminals(spark, sf_dir), ["p_brand", "p_type"])
 
 
+def site_as_of(spark: SparkSession, sf_dir: str) -> Query:
+    """Where the row's site was at the row's time."""
+    rows = t.signals(spark, sf_dir).select("event_id", "ts_ms", "lac")
+    moves = t.site_moves(spark, sf_dir)
+    found = as_of(
+        rows,
+        moves,
+        SITE_KEY,
+        "ts_ms",
+        "valid_from",
+        ["o_orderkey", "geo_longitude", "geo_latitude"],
+        ties=["o_orderkey"],
+    )
+    return found.select("event_id", "lac", "_entry.*")
+
+
+def events_in_periods(spark: SparkSession, sf_dir: str) -> Query:
+    """All pairs of an event and a period that holds its time."""
+    rows = t.signals(spark, sf_dir).select("event_id", "ts_ms")
+    pairs = overlapping(
+        rows, t.periods(spark, sf_dir), ("ts_ms", None), ("start_ms", "end_ms")
+    )
+    return pairs.select("left.event_id", "right.o_orderkey")
+
+
+CHANGES = 3
+
+
+def _changed_sites(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
+    """Sites as they are while a part of the events arrives: some closed, others renamed."""
+    sites = t.sites(spark, sf_dir).filter(F.col("lac").cast("int") % 5 != version)
+    return sites.withColumn("site_name", F.concat("site_name", F.lit(f"/{version}")))
+
+
+def changing_dimension_stream(spark: SparkSession, sf_dir: str) -> Query:
+    """Area labels of a stream whose sites change while it runs, and after a restart."""
+    prepare(spark)
+    folder, checkpoint, out, place = (
+        run_dir(spark, n) for n in ("arrivals", "checkpoint", "rows", "sites")
+    )
+    events = t.table(spark, sf_dir, "events")
+    sites = VersionedDimension.open(spark, place, t.sites(spark, sf_dir).schema)
+    rule = AreaRule("area", "sites", SITE_KEY, areas=["R1", "R2"], attributes=["site_name"])
+    query = None
+    for version in range(CHANGES):
+        sites.wait(sites.publish(_changed_sites(spark, sf_dir, version)))
+        arrived = events.filter(F.col("event_id") % CHANGES == version)
+        arrived.write.mode("append").parquet(folder)
+        if query is None:
+            stream = t.as_signals(spark.readStream.schema(events.schema).parquet(folder))
+            rows = attach_rules(
+                stream.select("event_id", "lac"), [rule], {"sites": sites.latest()}, KEYS, ORDER
+            )
+            query = (
+                rows.writeStream.format("parquet")
+                .option("checkpointLocation", checkpoint)
+                .option("path", out)
+                .start()
+            )
+        query.processAllAvailable()
+        # The first two parts meet one running stream, the last one another after a restart.
+        if version != 0:
+            query.stop()
+            query = None
+    return spark.read.schema(rows.schema).parquet(out)
+
+
 # Keyed rules
 
 
@@ -349,7 +424,10 @@ def event_throttle(spark: SparkSession, sf_dir: str) -> Query:
 
 
 def _on_signals(
-    spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], DataFrame]
+    spark: SparkSession,
+    sf_dir: str,
+    build: Callable[[DataFrame], DataFrame],
+    arrived: list[DataFrame] | None = None,
 ) -> tuple[DataFrame, str]:
     """Rows and checkpoint of ``build`` on a stream of signals.
 
@@ -357,7 +435,7 @@ def _on_signals(
     goes on from its checkpoint, so its state has to outlive both.
     """
     folder, checkpoint, out = (run_dir(spark, n) for n in ("arrivals", "checkpoint", "rows"))
-    for part in t.arrivals(spark, sf_dir):
+    for part in arrived or t.arrivals(spark, sf_dir):
         part.write.mode("append").parquet(folder)
         stream = spark.readStream.schema(part.schema).parquet(folder)
         found = run_to_table(build(t.as_signals(stream)), checkpoint, out)
@@ -418,6 +496,67 @@ def greatest_payload(spark: SparkSession, sf_dir: str) -> Query:
     return latest.greatest_payload(rows, KEYS)
 
 
+# Windows and joins of streams
+
+
+def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signals with the part that they arrive with; some come one part late."""
+    return t.signals(spark, sf_dir).withColumn("part", F.expr(t.LATE_PART))
+
+
+WINDOW_MS, WINDOW_DELAY_MS = 6 * HOUR_MS, 2 * HOUR_MS
+
+
+def windows_stream(spark: SparkSession, sf_dir: str) -> Query:
+    """Closed windows of six hours per area, and the rows that came too late for theirs."""
+    rows = _parts(spark, sf_dir).select("lac", "ts_ms", "k", "part")
+    folder, checkpoint, out = (run_dir(spark, n) for n in ("arrivals", "checkpoint", "windows"))
+    for part in range(3):
+        rows.filter(F.col("part") == part).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(rows.schema).parquet(folder)
+        found = windowed(
+            stream, ["lac"], "ts_ms", WindowSpec(WINDOW_MS), ["k"], delay_ms=WINDOW_DELAY_MS
+        )
+        table = run_to_table(found, checkpoint, out)
+    return table.groupBy("kind", "lac", "start_ms", "end_ms").agg(
+        F.sum("n").alias("n"), F.sum("k").alias("k")
+    )
+
+
+PAIR_MS, PAIR_DELAY_MS = 6 * HOUR_MS, 607_000
+
+
+def _pair_sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Clicks and sales of users, with times of their own."""
+    minute = F.expr("ts_ms DIV 60000 * 60000")
+    clicks = rows.filter("event_type = 'click'").select(
+        "imsi", F.col("event_id").alias("click_id"), (minute + 15_000).alias("click_ms"), "part"
+    )
+    sales = rows.filter("event_type = 'purchase'").select(
+        "imsi", F.col("event_id").alias("sale_id"), (minute + 30_000).alias("sale_ms"), "part"
+    )
+    return clicks, sales
+
+
+def pair_stream(spark: SparkSession, sf_dir: str) -> Query:
+    """Sales up to six hours after a click of the same user; clicks without one once none can come."""
+    rows = t.signals(spark, sf_dir).withColumn("part", F.expr(t.PART))
+    sides = _pair_sides(rows)
+    folders = [run_dir(spark, n) for n in ("clicks", "sales")]
+    checkpoint, out = run_dir(spark, "checkpoint"), run_dir(spark, "pairs")
+    for part in range(3):
+        streams = []
+        for side, folder in zip(sides, folders, strict=True):
+            side.filter(F.col("part") == part).drop("part").write.mode("append").parquet(folder)
+            streams.append(spark.readStream.schema(side.drop("part").schema).parquet(folder))
+        found = within(
+            *streams, ["imsi"], "click_ms", "sale_ms",
+            after_ms=PAIR_MS, delay_ms=PAIR_DELAY_MS, how="left_outer",
+        )
+        table = run_to_table(found, checkpoint, out)
+    return table
+
+
 # Output
 
 
@@ -533,6 +672,23 @@ def rule_chain_stream(spark: SparkSession, sf_dir: str) -> Query:
     return _on_signals(spark, sf_dir, build)[0]
 
 
+def rule_chain_resumed(spark: SparkSession, sf_dir: str) -> Query:
+    """The chain on a table of the first part, then on a stream of the rest from its state."""
+    dims = {"sites": t.sites(spark, sf_dir)}
+    arrived = t.arrivals(spark, sf_dir)
+    first = _chain_input(t.as_signals(arrived[0]))
+    done = attach_rules(first, CHAIN, dims, KEYS, ORDER).select(*CHAIN_OUTPUT)
+    state = rules_state(first, CHAIN, dims, KEYS, ORDER)
+
+    def build(rows: DataFrame) -> DataFrame:
+        chosen = _chain_input(rows)
+        return attach_rules(chosen, CHAIN, dims, KEYS, ORDER, initial=state).select(*CHAIN_OUTPUT)
+
+    if not arrived[1:]:
+        return done
+    return done.unionByName(_on_signals(spark, sf_dir, build, arrived[1:])[0])
+
+
 FLOW_FIELDS = [
     {"pname": "event_id", "ptype": "long"},
     {"pname": "time", "ptype": "string"},
@@ -608,6 +764,76 @@ def enriched_events_stream(spark: SparkSession, sf_dir: str) -> Query:
     return _on_lines(spark, sf_dir, _flow_lines, run)
 
 
+def _named(**values: str) -> list[dict[str, str]]:
+    return [{"pname": k, "pvalue": v} for k, v in values.items()]
+
+
+# A pipeline as configuration records describe it.
+CONFIG_FIELDS = ["event_id", "time", "lac", "ci", "imsi", "imei", "event_type"]
+CONFIG_STORE = {
+    "type": "kafka",
+    "properties": json.dumps(_named(**{"metadata.broker.list": "host:9092"})),
+}
+CONFIG_INTERFACE = {
+    "properties": json.dumps(
+        {
+            "props": _named(uniqKeys="imsi", delim="[|]", filter_expr="event_type <> ''"),
+            "fields": [{"pname": n, "ptype": "String", "pvalue": ""} for n in CONFIG_FIELDS],
+            "userFields": _named(lac_code="Conv(lac)", ci_code="convertHex(ci)"),
+        }
+    )
+}
+CONFIG_LABELS = [
+    {
+        "id": "11",
+        "class_name": "labels.ExtLastimeiRule",
+        "p_label_id": "10",
+        "properties": json.dumps({"props": [], "labelItems": []}),
+    },
+    {
+        "id": "10",
+        "class_name": "labels.SiteRule",
+        "p_label_id": "",
+        "properties": json.dumps(
+            {
+                "props": [],
+                "labelItems": [{"pname": "x", "pvalue": v} for v in ("area_R1", "areainfo_site_name")],
+            }
+        ),
+    },
+]
+CONFIG_EVENT = {
+    "id": "moved",
+    "select_expr": "event_id, concat(lac_code, ':', ci_code) as site, last_imei, areainfo_site_name",
+    "filter_expr": "area_R1 = 'true' and last_imei <> '' and last_imei <> imei",
+    "properties": json.dumps(
+        {
+            "props": _named(ext_fields="'1' as kind"),
+            "output_dis": [{"diid": "9", "interval": "0", "delim": "#"}],
+        }
+    ),
+}
+CONFIG_OUTPUT = {"properties": json.dumps({"props": _named(topic="moves")})}
+
+
+def configured_pipeline(spark: SparkSession, sf_dir: str) -> Query:
+    """Messages of a pipeline that is made from configuration records."""
+    interface = config.interface_spec(CONFIG_INTERFACE)
+    event = config.event_spec(CONFIG_EVENT, {"9": (CONFIG_STORE, CONFIG_OUTPUT)})
+    cells = t.sites(spark, sf_dir).withColumn("ci", F.explode(F.array(*[F.lit(str(i)) for i in range(3)])))
+    flow = Pipeline(
+        # The records name no order within a time.
+        replace(interface, order=["event_id"]),
+        config.rule_chain(CONFIG_LABELS),
+        [event],
+        {"sites": cells},
+    )
+    rows = t.signals(spark, sf_dir)
+    timed = rows.withColumn("time", sf.ms_to_text("ts_ms", sf.MESSAGE_TIME_FORMAT))
+    detected = flow.run(t.lines_of(timed, CONFIG_FIELDS, "|"))
+    return event_frame(detected, event, event.sinks[0], flow.interface.keys, now=NOW)
+
+
 def bad_time_stream(spark: SparkSession, sf_dir: str) -> Query:
     """Stay labels of a stream in which some records have a time that cannot be read."""
     base = _flow(spark, sf_dir)
@@ -662,6 +888,9 @@ QUERIES = {
     "area_flags": area_flags,
     "area_attributes": area_attributes,
     "site_position": site_position,
+    "site_as_of": site_as_of,
+    "events_in_periods": events_in_periods,
+    "changing_dimension_stream": changing_dimension_stream,
     "party_info": party_info,
     "terminal_info": terminal_info,
     "previous_value": previous_value,
@@ -673,6 +902,8 @@ QUERIES = {
     "latest_event_row": latest_event_row,
     "state_snapshot": state_snapshot,
     "greatest_payload": greatest_payload,
+    "windows_stream": windows_stream,
+    "pair_stream": pair_stream,
     "keyed_message": keyed_message_query,
     "whole_row_message": whole_row_message,
     "fan_out_sinks": fan_out_sinks,
@@ -680,8 +911,10 @@ QUERIES = {
     "text_stream_ingest": text_stream_ingest,
     "rule_chain": rule_chain,
     "rule_chain_stream": rule_chain_stream,
+    "rule_chain_resumed": rule_chain_resumed,
     "enriched_events": enriched_events,
     "enriched_events_stream": enriched_events_stream,
+    "configured_pipeline": configured_pipeline,
     "bad_time_stream": bad_time_stream,
     "latest_without_sink": latest_without_sink,
 }

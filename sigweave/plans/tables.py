@@ -67,6 +67,29 @@ _TERM = [
     ("p_brand", "p_brand"),
     ("p_type", "p_type"),
 ]
+# Times of the derived tables lie in the thirty days of the events.
+_MINUTE = "1704067200000 + (o_orderkey * {} % 43200) * 60000"
+# Where a site was from a time on: each order moves one.
+_SITE_MOVE = [
+    ("lac", "lpad(CAST(o_custkey % 26 AS STRING), 4, '0')"),
+    ("valid_from", _MINUTE.format(7919)),
+    ("o_orderkey", "o_orderkey"),
+    ("geo_longitude", "CAST(o_custkey % 26 * 0.5 + o_orderkey % 10 * 0.01 + 115.0 AS DOUBLE)"),
+    ("geo_latitude", "CAST(o_custkey % 26 * 0.25 + o_orderkey % 7 * 0.01 + 34.0 AS DOUBLE)"),
+]
+# A span of time for each order, some of them empty, some long.
+_PERIOD = [
+    ("o_orderkey", "o_orderkey"),
+    ("start_ms", _MINUTE.format(104729)),
+    (
+        "end_ms",
+        _MINUTE.format(104729) + " + CASE WHEN o_orderkey % 1000 = 0 THEN 172800000"
+        " ELSE o_custkey % 30 * 60000 END",
+    ),
+]
+# The part of the events that a row arrives with: thirds of the thirty days, and some rows late.
+PART = "least(2, CAST(floor((ts_ms - 1704067200000) / 864000000) AS INT))"
+LATE_PART = f"CASE WHEN event_id % 37 = 0 THEN least(2, {PART} + 1) ELSE {PART} END"
 _LINE = [
     "event_id",
     "lac",
@@ -128,7 +151,15 @@ def terminals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").selectExpr(*_exprs(_TERM))
 
 
-def lines_of(rows: DataFrame, columns=_LINE) -> DataFrame:
+def site_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").selectExpr(*_exprs(_SITE_MOVE))
+
+
+def periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").selectExpr(*_exprs(_PERIOD))
+
+
+def lines_of(rows: DataFrame, columns=_LINE, delim: str = ",") -> DataFrame:
     """Raw lines; some lack the last field, some have it empty."""
     last = (
         F.when(F.col("event_id") % 89 == 0, F.lit(""))
@@ -137,7 +168,7 @@ def lines_of(rows: DataFrame, columns=_LINE) -> DataFrame:
     )
     # concat_ws leaves out a null, which cuts the field off.
     return rows.select(
-        F.concat_ws(",", *[F.col(c).cast("string") for c in columns[:-1]], last).alias("value")
+        F.concat_ws(delim, *[F.col(c).cast("string") for c in columns[:-1]], last).alias("value")
     )
 
 
@@ -154,6 +185,9 @@ SITES_SQL = f"sites AS (SELECT {_select(_SITE)} FROM nation)"
 USERS_SQL = f"users AS (SELECT {_select(_USER)} FROM customer)"
 TERMINALS_SQL = f"terminals AS (SELECT {_select(_TERM)} FROM part)"
 
+SITE_MOVES_SQL = f"site_moves AS (SELECT {_select(_SITE_MOVE)} FROM orders)"
+PERIODS_SQL = f"periods AS (SELECT {_select(_PERIOD)} FROM orders)"
+
 
 def lines_sql(columns=_LINE) -> str:
     head = ", ".join(f"CAST({c} AS STRING)" for c in columns[:-1])

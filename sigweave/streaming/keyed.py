@@ -62,6 +62,9 @@ class KeyedRules(StatefulProcessor):
         schema = ", ".join(f"`{f}` {t}" for step in self.steps for f, t in step.state)
         self.state = handle.getValueState(STATE_RULES, schema, self.ttl_ms)
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.state.update(tuple(initialState[f] for f in self.fields))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         stored = self.state.get() if self.state.exists() else [None] * len(self.fields)
         state = dict(zip(self.fields, stored))
@@ -87,10 +90,13 @@ def keyed_rules(
     steps: Sequence[Step],
     *,
     ttl_ms: int | None = None,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """Adds the labels of ``steps`` to a stream keyed by ``keys``.
 
-    ``ttl_ms`` forgets a key that has had no row for that long.
+    ``ttl_ms`` forgets a key that has had no row for that long. ``initial`` is the state that a
+    new checkpoint starts from: one row per key with the fields of the steps' states, as
+    ``rules_state`` or ``read_state`` give it. A checkpoint that has state keeps its own.
     """
     present = set(df.columns)
     schema = T.StructType(list(df.schema.fields))
@@ -108,9 +114,14 @@ def keyed_rules(
         schema,
         "append",
         "ProcessingTime" if ttl_ms else "None",
+        _grouped(initial, keys, [f for step in steps for f, _ in step.state]),
     )
 
 
+def _grouped(initial: DataFrame | None, keys: Sequence[str], fields: Sequence[str]):
+    return None if initial is None else initial.select(*keys, *fields).groupBy(*keys)
+
+
 class Throttle(StatefulProcessor):
     """Keeps a key's last emission time and lets due rows through.
 
@@ -134,6 +145,9 @@ class Throttle(StatefulProcessor):
         if self.keep:
             self.newest = handle.getValueState(STATE_LATEST, self.schema, self.ttl_ms)
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.sent.update((initialState["last"],))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         last = self.sent.get()[0] if self.sent.exists() else None
         before = last
@@ -167,13 +181,15 @@ def throttle_stream(
     clock: str = "event",
     keep_latest: Column | None = None,
     ttl_ms: int | None = None,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """Stream form of the throttle.
 
     ``clock="event"`` measures the interval on the rows' own time, which gives the batch
     result for rows arriving in time order; ``"processing"`` measures it on the time of
     the micro-batch. Where ``keep_latest`` is true, the state keeps the latest row of the
-    key; ``read_state`` shows it as ``STATE_LATEST``.
+    key; ``read_state`` shows it as ``STATE_LATEST``. ``initial`` has the keys and the last
+    emission (``last``, epoch ms) that a new checkpoint starts from.
     """
     if isinstance(interval_s, int) and interval_s == 0 and keep_latest is None:
         return df
@@ -193,6 +209,7 @@ def throttle_stream(
         timed.schema,
         "append",
         "ProcessingTime" if ttl_ms else "None",
+        _grouped(initial, keys, ["last"]),
     )
     return emitted.select(*df.columns)
 

@@ -12,9 +12,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any, Protocol
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
 from sigweave.functions.geo import EARTH_RADIUS_KM
 from sigweave.functions.thresholds import NO_LIMIT
-from sigweave.operators.stay import DEFAULT_TIMEOUT_MS
+from sigweave.operators.slices import SlicePlan
+from sigweave.operators.stay import DEFAULT_TIMEOUT_MS, stay_state
 
 
 class Step(Protocol):
@@ -25,6 +29,12 @@ class Step(Protocol):
 
     def apply(self, row: Mapping[str, Any], state: dict[str, Any]) -> tuple: ...
 
+    def final(
+        self, df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: SlicePlan | str
+    ) -> tuple[DataFrame, list[Column]]:
+        """Rows of a table, and aggregates by key over them that give the state after all."""
+        ...
+
 
 @dataclass(frozen=True)
 class PreviousStep:
@@ -45,6 +55,10 @@ class PreviousStep:
         state[field] = None if row[self.column] is None else str(row[self.column])
         return ("" if before is None else before,)
 
+    def final(self, df, keys, order, slices):
+        last = F.max_by(F.col(self.column).cast("string"), F.struct(*order))
+        return df, [last.alias(f"{self.name}_seen")]
+
 
 @dataclass(frozen=True)
 class TrackStep:
@@ -79,6 +93,19 @@ class TrackStep:
         )
         return distance, speed, "" if before is None else before
 
+    def final(self, df, keys, order, slices):
+        place = F.when(F.col(self.time).isNotNull(), F.struct(*order))
+        fields = [
+            F.col(self.latitude).cast("double"),
+            F.col(self.longitude).cast("double"),
+            F.col(self.time).cast("long"),
+            F.concat(*self.site),
+        ]
+        return df, [
+            F.max_by(value, place).alias(name)
+            for (name, _), value in zip(self.state, fields, strict=True)
+        ]
+
 
 def _whole_km(lat1, lon1, lat2, lon2) -> float | None:
     if None in (lat1, lon1, lat2, lon2):
@@ -145,6 +172,13 @@ class StayStep:
                     label[a] = self._visit(a, t, state)
         return tuple(label[a] for a in self.areas)
 
+    def final(self, df, keys, order, slices):
+        # A row without a time changes nothing.
+        timed = df.filter(F.col(order[0]).isNotNull())
+        return stay_state(
+            timed, keys, order, self.areas, timeout_ms=self.timeout_ms, slices=slices
+        )
+
     def _visit(self, area: str, t: int, state) -> str:
         first_key, last_key = f"stay_first_{area}", f"stay_last_{area}"
         first, last = state[first_key], state[last_key]

@@ -98,9 +98,13 @@ def test_no_hot_key_keeps_the_plain_plan(rows):
     assert not plan_slices(rows.limit(0), KEYS, ORDER, rows_per_slice=1).hot
 
 
-def test_hot_keys_are_bounded_by_the_number_of_slices(rows):
-    plan = plan_slices(rows, KEYS, ORDER, rows_per_slice=1, max_slices=10)
-    assert plan.table.count() <= 10
+def test_slices_keep_their_size_in_larger_data(spark):
+    """Ten times the rows of a key make ten times the slices."""
+    for n in (2_000, 20_000):
+        df = spark.range(n).select(F.lit("hot").alias("who"), (F.col("id") * 3).alias("t"), "id")
+        plan = plan_slices(df, KEYS, ORDER, rows_per_slice=100)
+        sizes = [r["count"] for r in plan.tag(df).groupBy(SLICE).count().collect()]
+        assert len(sizes) >= n // 100 and max(sizes) <= 100
 
 
 def test_plan_for_other_keys_is_refused(rows, plan):
