@@ -77,8 +77,9 @@ class _Windows(StatefulProcessor):
             # Sessions that the watermark has passed are closed to the rows of this batch.
             yield from self._closed(key, passed)
         for part in rows:
-            at = part[_AT].to_numpy(dtype=np.int64)
-            values = part[self.values].to_numpy(dtype=float)
+            # By place: Spark renames columns whose names are no names in Python.
+            at = part.iloc[:, len(self.keys)].to_numpy(dtype=np.int64)
+            values = part.iloc[:, len(self.keys) + 1 :].to_numpy(dtype=float)
             if self.spec.gap_ms:
                 late = self._sessions(at, values, passed)
             else:
