@@ -503,10 +503,10 @@ PAIRS = _with(
     "sales AS (SELECT imsi, event_id AS sale_id, ts_ms // 60000 * 60000 + 30000 AS sale_ms"
     " FROM signals WHERE event_type = 'purchase')",
     "mark AS (SELECT least((SELECT max(click_ms) FROM clicks), (SELECT max(sale_ms) FROM sales))"
-    f" - {PAIR_DELAY_MS} AS at)",
+    f" - {PAIR_DELAY_MS} AS reached)",
     body=f"""SELECT c.imsi, click_id, click_ms, sale_id, sale_ms FROM clicks c LEFT JOIN sales s
   ON s.imsi = c.imsi AND sale_ms BETWEEN click_ms AND click_ms + {PAIR_MS}
-WHERE sale_id IS NOT NULL OR click_ms + {PAIR_MS} < (SELECT at FROM mark)""",
+WHERE sale_id IS NOT NULL OR click_ms + {PAIR_MS} < (SELECT reached FROM mark)""",
 )
 
 CHECKS = {
