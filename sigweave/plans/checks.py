@@ -496,6 +496,47 @@ FROM judged WHERE late OR end_ms <= (SELECT mark FROM passed WHERE p = 3)
 GROUP BY late, lac, start_ms, end_ms""",
 )
 
+def _passed_limit(old: str, new: str) -> str:
+    return (
+        f"coalesce(CAST(list_max(list_filter({STAY_LIMITS}, lambda l: {old} <= l AND l <= {new}))"
+        " AS VARCHAR), '0')"
+    )
+
+
+# One row after another in order of arrival; with one area its last time is the key's.
+LATE_STAY = _with(
+    _S,
+    t.SITES_SQL,
+    f"rows AS (SELECT event_id, imsi, ts_ms, {t.LATE_PART} AS part, coalesce(list_contains("
+    "list_transform(string_split(areas, ','), lambda x: trim(x)), 'R1'), false) AS here"
+    " FROM signals LEFT JOIN sites USING (lac))",
+    "inside AS (SELECT *, row_number() OVER (PARTITION BY imsi ORDER BY part, ts_ms, event_id) AS n"
+    " FROM rows WHERE here)",
+    f"""walk AS (
+  SELECT imsi, n, event_id, ts_ms AS first, ts_ms AS last, '0' AS stay_R1 FROM inside WHERE n = 1
+  UNION ALL
+  SELECT i.imsi, i.n, i.event_id,
+    CASE WHEN i.ts_ms - w.last > {STAY_TIMEOUT} THEN i.ts_ms WHEN w.last - i.ts_ms > {STAY_TIMEOUT}
+      THEN w.first ELSE least(w.first, i.ts_ms) END,
+    CASE WHEN w.last - i.ts_ms > {STAY_TIMEOUT} THEN w.last ELSE greatest(w.last, i.ts_ms) END,
+    CASE WHEN abs(i.ts_ms - w.last) > {STAY_TIMEOUT} THEN '0'
+      WHEN i.ts_ms < w.first THEN {_passed_limit("w.last - w.first", "w.last - i.ts_ms")}
+      WHEN i.ts_ms <= w.last THEN '0'
+      ELSE {_passed_limit("w.last - w.first", "i.ts_ms - w.first")} END
+  FROM walk w JOIN inside i ON i.imsi = w.imsi AND i.n = w.n + 1)""",
+    body="SELECT event_id, stay_R1 FROM walk"
+    " UNION ALL SELECT event_id, '0' FROM rows WHERE NOT here",
+    recursive=True,
+)
+
+ROLLED_UP = _with(
+    _S,
+    "rows AS (SELECT lac, event_type, ts_ms // 3600000 % 24 AS hour, k FROM signals)",
+    body="""SELECT lac, event_type, hour, GROUPING_ID(lac, event_type, hour) AS grouping,
+  count(*) AS n, CAST(sum(k) AS BIGINT) AS sum_k, true AS users_close FROM rows
+GROUP BY GROUPING SETS ((lac, event_type, hour), (lac, event_type), (hour), ())""",
+)
+
 PAIRS = _with(
     _S,
     "clicks AS (SELECT imsi, event_id AS click_id, ts_ms // 60000 * 60000 + 15000 AS click_ms"
@@ -546,6 +587,9 @@ CHECKS = {
     "greatest_payload": GREATEST,
     "windows_stream": WINDOWS,
     "pair_stream": PAIRS,
+    "late_stay": LATE_STAY,
+    "late_stay_stream": LATE_STAY,
+    "rollup_stream": ROLLED_UP,
     "keyed_message": MESSAGE,
     "whole_row_message": WHOLE_ROW,
     "fan_out_sinks": FAN_OUT,
@@ -559,4 +603,5 @@ CHECKS = {
     "configured_pipeline": CONFIGURED,
     "bad_time_stream": BAD_TIME,
     "latest_without_sink": LATEST_KEPT,
+    "latest_table_stream": LATEST_KEPT,
 }

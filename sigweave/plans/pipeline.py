@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,15 +18,18 @@ from sigweave.operators.parse import (
     filter_rows,
     parse_delimited,
 )
+from sigweave.operators.project import output_columns
 from sigweave.operators.slices import NO_SLICES, SlicePlan, plan_slices
 from sigweave.operators.throttle import throttle
 from sigweave.plans.rules import Rule, RuleContext, attach_rules
+from sigweave.sinks.latest_table import LatestTable
 from sigweave.sinks.writers import Writer, fan_out, write_sink
 from sigweave.specs import EventSpec, InterfaceSpec
 from sigweave.streaming.keyed import STATE_LATEST, read_state, throttle_stream
 from sigweave.streaming.run import start_batches
 
 EVENT = "_event"
+_DUE = "_due"
 
 
 @dataclass(frozen=True)
@@ -72,10 +76,17 @@ class Pipeline:
             ttl_ms=self.ttl_ms,
         )
 
-    def detect(self, enriched: DataFrame, slices: SlicePlan | str | None = None) -> DataFrame:
+    def detect(
+        self,
+        enriched: DataFrame,
+        slices: SlicePlan | str | None = None,
+        newest: str | None = None,
+    ) -> DataFrame:
         """Rows of all events, marked by ``_event``, after each event's throttle.
 
-        All events are decided in one pass over the enriched rows and share one throttle.
+        All events are decided in one pass over the enriched rows and share one throttle. In a
+        stream, ``newest`` names a column that tells these rows from the newest rows of events
+        with ``keep_latest``, which are given as well.
         """
         hits = F.array_compact(
             F.array(
@@ -97,6 +108,7 @@ class Pipeline:
                 clock=self.clock,
                 keep_latest=F.col(EVENT).isin(kept) if kept else None,
                 ttl_ms=self.ttl_ms,
+                newest=newest,
             )
         if self.clock == "processing":
             # All rows of a table are handled at one time: the first of a key passes.
@@ -120,6 +132,35 @@ class Pipeline:
         rows = self._counted(self.parse(lines), "rows")
         if rows.isStreaming:
             return self._counted(self.detect(self.enrich(rows)), "events")
+        slices = self._slices(lines)
+        return self._counted(self.detect(self.enrich(rows, slices), slices), "events")
+
+    def process(
+        self, lines: DataFrame, *, now: int | None = None, write: Writer = write_sink
+    ) -> None:
+        """What ``start`` does for a stream, for a table: latest-row tables and sinks."""
+        register_functions(lines.sparkSession)
+        slices = self._slices(lines)
+        enriched = self.enrich(self._counted(self.parse(lines), "rows"), slices)
+        for event in self._with_table():
+            self._table(event).upsert(self._latest_rows(filter_rows(enriched, event.condition), event))
+        detected = self._counted(self.detect(enriched, slices), "events")
+        self.send(detected, now=now, write=write)
+
+    def _with_table(self) -> list[EventSpec]:
+        return [e for e in self.events if e.keep_latest and e.latest_path]
+
+    def _table(self, event: EventSpec) -> LatestTable:
+        return LatestTable(event.latest_path, self.interface.keys, self.order)
+
+    def _latest_rows(self, rows: DataFrame, event: EventSpec) -> DataFrame:
+        """What the latest-row table of an event holds: its output columns, keys and order."""
+        columns = output_columns(event.select, self.interface.keys, event.ext)
+        names = {name for _, name in columns}
+        columns += [(c, c) for c in self.order if c not in names]
+        return rows.select(*[F.expr(e).alias(name) for e, name in columns])
+
+    def _slices(self, lines: DataFrame) -> SlicePlan | str:
         slices = NO_SLICES
         if self._stateful():
             slices = plan_slices(
@@ -128,7 +169,7 @@ class Pipeline:
                 self.order,
                 sampled=lambda thin: self._parse(thin(lines)),
             )
-        return self._counted(self.detect(self.enrich(rows, slices), slices), "events")
+        return slices
 
     def _counted(self, df: DataFrame, stage: str) -> DataFrame:
         if not self.observe:
@@ -187,4 +228,20 @@ class Pipeline:
         def handle(batch: DataFrame, batch_id: int) -> None:
             self.send(batch, now=now, write=write, batch_id=batch_id)
 
-        return start_batches(self.run(lines), checkpoint, handle, interval_s)
+        def handle_all(batch: DataFrame, batch_id: int) -> None:
+            # A second pass would run the stateful operators again.
+            batch.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                for event in self._with_table():
+                    rows = batch.filter(F.col(EVENT) == event.id)
+                    self._table(event).upsert(self._latest_rows(rows, event), batch_id)
+                handle(batch.filter(_DUE).drop(_DUE), batch_id)
+            finally:
+                batch.unpersist()
+
+        if not self._with_table():
+            return start_batches(self.run(lines), checkpoint, handle, interval_s)
+        register_functions(lines.sparkSession)
+        rows = self.enrich(self._counted(self.parse(lines), "rows"))
+        detected = self.detect(rows, newest=_DUE)
+        return start_batches(detected, checkpoint, handle_all, interval_s)

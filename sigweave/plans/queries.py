@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sigweave import functions as sf
 from sigweave.functions.sql import register_functions
 from sigweave.operators import keyed, latest, lookup, parse, project, stay
+from sigweave.operators.arrival import by_arrival
 from sigweave.operators.asof import as_of
 from sigweave.operators.intervals import overlapping
 from sigweave.operators.throttle import throttle
@@ -29,6 +30,7 @@ from sigweave.plans.rules import (
 )
 from sigweave.session import prepare, run_dir
 from sigweave.sinks import all_columns_message, key_partition, keyed_message
+from sigweave.sinks.latest_table import LatestTable
 from sigweave.sinks.writers import event_frame
 from sigweave.sources import VersionedDimension, read_dimension, read_lines
 from sigweave.specs import EventSpec, InterfaceSpec, SinkSpec, SourceSpec
@@ -39,8 +41,9 @@ from sigweave.streaming.keyed import (
     throttle_stream,
 )
 from sigweave.streaming.joins import within
+from sigweave.streaming.rollups import RollupSpec, partials, start_rollup
 from sigweave.streaming.run import run_to_table
-from sigweave.streaming.steps import PreviousStep
+from sigweave.streaming.steps import PreviousStep, StayStep
 from sigweave.streaming.windows import WindowSpec, windowed
 
 NOW = 1_717_200_000_123
@@ -523,6 +526,62 @@ def windows_stream(spark: SparkSession, sf_dir: str) -> Query:
     )
 
 
+def _late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _parts(spark, sf_dir).select("event_id", "ts_ms", "imsi", "lac", "part")
+    return lookup.area_labels(rows, t.sites(spark, sf_dir), SITE_KEY, areas=["R1"])
+
+
+LATE_STEP = StayStep("ts_ms", ["R1"], STAY_LIMITS, timeout_ms=STAY_TIMEOUT)
+
+
+def late_stay(spark: SparkSession, sf_dir: str) -> Query:
+    """Stay labels of a table some rows of which arrived late."""
+    found = by_arrival(_late_rows(spark, sf_dir), KEYS, "part", ORDER, [LATE_STEP])
+    return found.select("event_id", "stay_R1")
+
+
+def late_stay_stream(spark: SparkSession, sf_dir: str) -> Query:
+    """The same rows as they arrive in a stream."""
+    rows = _late_rows(spark, sf_dir)
+    folder, checkpoint, out = (run_dir(spark, n) for n in ("arrivals", "checkpoint", "stays"))
+    for part in range(3):
+        rows.filter(F.col("part") == part).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(rows.schema).parquet(folder)
+        labelled = keyed_rules(stream, KEYS, ORDER, [LATE_STEP])
+        found = run_to_table(labelled.select("event_id", "stay_R1"), checkpoint, out)
+    return found
+
+
+ROLLUP = RollupSpec(["lac", "event_type", "hour"], ["k"], ["user_id"], ["k"])
+ROLLUP_SETS = [["lac", "event_type", "hour"], ["lac", "event_type"], ["hour"], []]
+
+
+def rollup_stream(spark: SparkSession, sf_dir: str) -> Query:
+    """Counts and sums in four sets of groups, merged from three micro-batches, and whether the
+    sketched number of users is within five percent of the true one."""
+    rows = _parts(spark, sf_dir).select(
+        "lac", "event_type", F.expr("ts_ms DIV 3600000 % 24").alias("hour"), "k", "user_id", "part"
+    )
+    folder, checkpoint, out = (run_dir(spark, n) for n in ("arrivals", "checkpoint", "partials"))
+    for part in range(3):
+        rows.filter(F.col("part") == part).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(rows.schema).parquet(folder)
+        start_rollup(stream, ROLLUP, checkpoint, out).awaitTermination()
+    found = ROLLUP.read(ROLLUP.merged(partials(spark, out), ROLLUP_SETS))
+    sets = [[F.col(c) for c in s] for s in ROLLUP_SETS]
+    exact = rows.groupingSets(sets, *[F.col(c) for c in ROLLUP.groups]).agg(
+        F.grouping_id().alias("grouping"), F.count_distinct("user_id").alias("users")
+    )
+    place = [*ROLLUP.groups, "grouping"]
+    same = F.lit(True)
+    for c in place:
+        same = same & found[c].eqNullSafe(exact[c])
+    close = F.abs(found["distinct_user_id"] - exact["users"]) <= 0.05 * exact["users"]
+    return found.join(exact, same).select(
+        *[found[c] for c in place], "n", "sum_k", close.alias("users_close")
+    )
+
+
 PAIR_MS, PAIR_DELAY_MS = 6 * HOUR_MS, 607_000
 
 
@@ -867,6 +926,24 @@ def latest_without_sink(spark: SparkSession, sf_dir: str) -> Query:
     return _on_lines(spark, sf_dir, _flow_lines, run)
 
 
+def latest_table_stream(spark: SparkSession, sf_dir: str) -> Query:
+    """Table of the latest sale of each user, kept by a stream that sends one sale a day."""
+    folder = run_dir(spark, "latest")
+    event = EventSpec(
+        "sale", "event_type = 'purchase'", ["event_id", "time"],
+        interval_s=DAY_S, keep_latest=True, latest_path=folder,
+    )
+    flow = replace(_flow(spark, sf_dir), rules=(), events=[event])
+    checkpoint = run_dir(spark, "checkpoint")
+
+    def run(lines: DataFrame) -> Query:
+        flow.start(lines, checkpoint).awaitTermination()
+        table = LatestTable(folder, KEYS, flow.order).read(spark)
+        return table.select("imsi", "event_id", "time", "ts_ms")
+
+    return _on_lines(spark, sf_dir, _flow_lines, run)
+
+
 QUERIES = {
     "parse_delimited": parse_delimited,
     "parse_counts": parse_counts,
@@ -904,6 +981,9 @@ QUERIES = {
     "greatest_payload": greatest_payload,
     "windows_stream": windows_stream,
     "pair_stream": pair_stream,
+    "late_stay": late_stay,
+    "late_stay_stream": late_stay_stream,
+    "rollup_stream": rollup_stream,
     "keyed_message": keyed_message_query,
     "whole_row_message": whole_row_message,
     "fan_out_sinks": fan_out_sinks,
@@ -917,4 +997,5 @@ QUERIES = {
     "configured_pipeline": configured_pipeline,
     "bad_time_stream": bad_time_stream,
     "latest_without_sink": latest_without_sink,
+    "latest_table_stream": latest_table_stream,
 }

@@ -51,7 +51,11 @@ class SinkSpec:
 
 @dataclass(frozen=True)
 class EventSpec:
-    """A filter, a projection and a throttle over enriched rows."""
+    """A filter, a projection and a throttle over enriched rows.
+
+    With ``keep_latest`` the latest row of each key is kept, sent or not: in a stream's state,
+    and in a table below ``latest_path`` if that is given.
+    """
 
     id: str
     condition: str
@@ -59,6 +63,7 @@ class EventSpec:
     ext: Sequence[tuple[str, str]] = ()
     interval_s: int = 0
     keep_latest: bool = False
+    latest_path: str | None = None
     sinks: Sequence[SinkSpec] = ()
 
 

@@ -125,7 +125,9 @@ def _grouped(initial: DataFrame | None, keys: Sequence[str], fields: Sequence[st
 class Throttle(StatefulProcessor):
     """Keeps a key's last emission time and lets due rows through.
 
-    Where the ``keep`` column is true it also keeps the key's latest row, due or not.
+    Where the ``keep`` column is true it also keeps the key's latest row, due or not. With
+    ``newest`` the newest such row of a key and micro-batch is given too if it is not due,
+    with false in that column.
     """
 
     def __init__(
@@ -136,9 +138,10 @@ class Throttle(StatefulProcessor):
         keep: str | None,
         schema: T.StructType,
         ttl_ms: int | None,
+        newest: str | None = None,
     ):
         self.order, self.clock, self.gap, self.keep = order, clock, gap, keep
-        self.schema, self.ttl_ms = schema, ttl_ms
+        self.schema, self.ttl_ms, self.shown = schema, ttl_ms, newest
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.sent = handle.getValueState(STATE_LAST_EMIT, "last long", self.ttl_ms)
@@ -151,14 +154,15 @@ class Throttle(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         last = self.sent.get()[0] if self.sent.exists() else None
         before = last
-        row = None
+        row, due = None, False
         for row in _in_order(rows, self.order):
             t, gap = row[self.clock], row[self.gap]
-            if gap <= 0:
-                yield row
-            elif t is not None and (last is None or t >= last + gap):
-                last = t
+            due = gap <= 0 or t is not None and (last is None or t >= last + gap)
+            if due:
+                last = last if gap <= 0 else t
                 yield row
+        if self.shown and row is not None and row[self.keep] and not due:
+            yield Row(**{**row.asDict(), self.shown: False})
         if last != before:
             self.sent.update((last,))
         if self.keep and row is not None and row[self.keep]:
@@ -182,6 +186,7 @@ def throttle_stream(
     keep_latest: Column | None = None,
     ttl_ms: int | None = None,
     initial: DataFrame | None = None,
+    newest: str | None = None,
 ) -> DataFrame:
     """Stream form of the throttle.
 
@@ -189,7 +194,8 @@ def throttle_stream(
     result for rows arriving in time order; ``"processing"`` measures it on the time of
     the micro-batch. Where ``keep_latest`` is true, the state keeps the latest row of the
     key; ``read_state`` shows it as ``STATE_LATEST``. ``initial`` has the keys and the last
-    emission (``last``, epoch ms) that a new checkpoint starts from.
+    emission (``last``, epoch ms) that a new checkpoint starts from. ``newest`` names a column
+    to add: true for the rows let through, false for a key's newest kept row that is not.
     """
     if isinstance(interval_s, int) and interval_s == 0 and keep_latest is None:
         return df
@@ -204,14 +210,16 @@ def throttle_stream(
     if keep_latest is not None:
         keep = "_keep"
         timed = timed.withColumn(keep, keep_latest)
+    if newest is not None:
+        timed = timed.withColumn(newest, F.lit(True))
     emitted = timed.groupBy(*keys).transformWithState(
-        Throttle(list(order), measured, "_gap", keep, df.schema, ttl_ms),
+        Throttle(list(order), measured, "_gap", keep, df.schema, ttl_ms, newest),
         timed.schema,
         "append",
         "ProcessingTime" if ttl_ms else "None",
         _grouped(initial, keys, ["last"]),
     )
-    return emitted.select(*df.columns)
+    return emitted.select(*df.columns, *([newest] if newest else []))
 
 
 def read_state(
