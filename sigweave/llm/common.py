@@ -13,7 +13,8 @@ from sigweave.session import run_dir
 # A task handles its texts in slices of about this many bytes, however long a batch is.
 SLICE_BYTES = 4 << 20
 # Larger ones where the work goes by different words, as larger slices repeat more.
-WORD_SLICE_BYTES = 8 << 20
+WORD_SLICE_BYTES = 6 << 20
+ROW_GROUP_BYTES = 32 << 20
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -23,7 +24,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     that they use.
     """
     path = run_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    # A task buffers a row group: small ones, as texts and ids fill them up.
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
