@@ -259,3 +259,39 @@ def test_margin_of_trees_equals_growing():
     x = rng.normal(size=(300, len(urls.FEATURES)))
     y = (x[:, 3] + x[:, 5] > 0).astype(float)
     assert (((urls.grow(x, y).margin(x) > 0) == y).mean()) > 0.95
+
+
+def test_without_labels_all_is_allowed(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/x"), (2, None), (3, "http://b.net/")], "page_id long, url string")
+    none = spark.createDataFrame([], "url string, blocked int")
+    found = {r.page_id: r.verdict for r in urls.judge(pages, none).collect()}
+    assert found == {1: "allow", 2: "allow", 3: "block"}
+
+
+def test_copies_of_a_url_are_one_drawn_row(spark, monkeypatch):
+    rows = [(f"http://h{i}.info/{'9' * (i % 7)}", i % 2) for i in range(300)]
+    rows += [("http://h1.info/9", 1)] * 5000
+    seen, plain = [], urls.grow
+    monkeypatch.setattr(urls, "grow", lambda x, y: seen.append(len(y)) or plain(x, y))
+    labelled = spark.createDataFrame(rows, "url string, blocked int")
+    urls.judge(spark.createDataFrame([(1, "http://a.com/")], "page_id long, url string"), labelled).collect()
+    assert seen == [300]
+
+
+def test_many_toxic_words_in_a_text(spark):
+    rng = random.Random(12)
+    clean = [f"c{rng.randrange(200)}" for _ in range(200)]
+
+    def text(toxic):
+        words = rng.choices(clean, k=400)
+        if toxic:
+            for at in range(0, 400, 10):
+                words[at : at + 2] = ["vile", "scum"]
+        return "".join(chr(97 + int(c)) if c.isdigit() else c for c in " ".join(words))
+
+    rows = [(i, text(i % 4 == 0), "en") for i in range(240)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(240)], "doc_id long, toxic int")
+    model = toxicity.fit(_docs(spark, rows), labels)
+    scored = {r.doc_id: r for r in toxicity.score(_docs(spark, rows), model).collect()}
+    assert all((scored[i].score >= 0.5) == (i % 4 == 0) for i in range(240))
+    assert all(bool(scored[i].passages) == (i % 4 == 0) for i in range(240))
