@@ -22,9 +22,9 @@ from sigweave.llm.common import WORD_SLICE_BYTES, slices, stored, texts_of
 from sigweave.llm.tokens import encoder, vocabulary_path
 
 END_ID = 2
-SHARD_IDS = 1 << 21
+SHARD_IDS = 1 << 19
 # Bytes of ids of a part; beyond so many parts they grow with the table instead.
-PART_BYTES = 32 << 20
+PART_BYTES = 16 << 20
 MOST_PARTS = 50_000
 GAMMA = 2.0
 NULL_KEY = 0x6E756C6C
