@@ -139,6 +139,9 @@ class WordEncoder:
 
     def _encoded(self, words: list[str]) -> list[tuple[list[str], tuple[np.ndarray, np.ndarray]]]:
         """The words, in some order, with their lengths and ids."""
+        if len(words) < LINE_WORDS:
+            # Making the patterns ready costs more than a few words save.
+            return [(words, self._apart(words))]
         if self._closing is not None:
             steady = pc.match_substring_regex(pa.array(words, pa.string()), _STEADY).to_pylist()
             plain = [w for w, good in zip(words, steady, strict=True) if good]
