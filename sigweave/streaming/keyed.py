@@ -3,12 +3,16 @@
 All keyed rules of a chain share one state entry per key, so a chain needs one shuffle and
 one state read and write per key and micro-batch. The rate limit of the source bounds a
 micro-batch; the rows of a key are sorted in memory, or on disk if there are many.
+
+Spark hands over the rows of a group, with calls and an Arrow batch for each. As most keys have
+few rows, a group is a bucket of keys, and its state a map from key to entry. Only entries of
+keys that have rows are read and written.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
-from itertools import chain, islice
+from itertools import chain, groupby, islice
 
 from pyspark.serializers import CPickleSerializer
 from pyspark.shuffle import ExternalSorter
@@ -19,7 +23,10 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sigweave.streaming.steps import Step
 
-# Rows of one key and micro-batch that are sorted without the disk, and the memory allowed
+# Groups that Spark sees. A checkpoint keeps the number that it began with.
+BUCKETS = 1 << 12
+_BUCKET = "_bucket"
+# Rows of one bucket and micro-batch that are sorted without the disk, and the memory allowed
 # to the sort beyond that.
 SORT_IN_MEMORY = 50_000
 SORT_MEMORY_MB = 256
@@ -31,56 +38,85 @@ STATE_LATEST = "latest"
 
 def _in_order(rows: Iterable[Row], order: Sequence[str]) -> Iterator[Row]:
     """Rows in ascending order, nulls first, holding a limited number in memory."""
+    rows = iter(rows)
+    head = list(islice(rows, SORT_IN_MEMORY))
+    if not head:
+        return iter(head)
+    at = [head[0].__fields__.index(c) for c in order]
 
     def place(row: Row) -> tuple:
-        return tuple((row[c] is not None, row[c]) for c in order)
+        plain = tuple(row)
+        return tuple([(plain[i] is not None, plain[i]) for i in at])
 
-    rows = iter(rows)
-    head = list(islice(rows, SORT_IN_MEMORY))
     if len(head) < SORT_IN_MEMORY:
         return iter(sorted(head, key=place))
     sorter = ExternalSorter(SORT_MEMORY_MB, CPickleSerializer())
     return sorter.sorted(chain(head, rows), key=place)
 
 
+def _by_key(
+    rows: Iterable[Row], keys: Sequence[str], order: Sequence[str]
+) -> Iterator[tuple[tuple, Iterator[Row]]]:
+    """The keys of a bucket, each with its rows in ascending order."""
+    return groupby(_in_order(rows, [*keys, *order]), key=lambda row: tuple([row[k] for k in keys]))
+
+
+def _bucketed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with the bucket of each row's key as its last column."""
+    return df.withColumn(_BUCKET, F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int"))
+
+
+def _fields(schema: T.StructType, names: Sequence[str]) -> T.StructType:
+    return T.StructType([schema[n] for n in names])
+
+
 class KeyedRules(StatefulProcessor):
-    """Runs the steps of a rule chain over the rows of a key."""
+    """Runs the steps of a rule chain over the rows of the keys of a bucket."""
 
     def __init__(
         self,
+        keys: T.StructType,
         steps: Sequence[Step],
         order: Sequence[str],
         shown: Sequence[Sequence[bool]],
+        given: Sequence[str],
         columns: Sequence[str],
         ttl_ms: int | None,
     ):
-        self.steps, self.order, self.shown, self.ttl_ms = steps, order, shown, ttl_ms
-        self.columns = columns
+        self.keys, self.steps, self.order, self.shown, self.ttl_ms = keys, steps, order, shown, ttl_ms
+        self.given, self.columns = given, columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.fields = [f for step in self.steps for f, _ in step.state]
         schema = ", ".join(f"`{f}` {t}" for step in self.steps for f, t in step.state)
-        self.state = handle.getValueState(STATE_RULES, schema, self.ttl_ms)
+        self.state = handle.getMapState(STATE_RULES, self.keys, schema, self.ttl_ms)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.state.update(tuple(initialState[f] for f in self.fields))
+        place = tuple(initialState[k] for k in self.keys.names)
+        self.state.updateValue(place, tuple(initialState[f] for f in self.fields))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        stored = self.state.get() if self.state.exists() else [None] * len(self.fields)
-        state = dict(zip(self.fields, stored))
-        labelled = Row(*self.columns)
-        for row in _in_order(rows, self.order):
-            seen = row.asDict()
+        known = self.state.exists()
+        for place, own in _by_key(rows, self.keys.names, self.order):
+            stored = self.state.getValue(place) if known else None
+            state = dict(zip(self.fields, stored or [None] * len(self.fields)))
+            yield from self._labelled(own, state)
+            self.state.updateValue(place, tuple(state[f] for f in self.fields))
+
+    def _labelled(self, rows: Iterator[Row], state: dict) -> Iterator[Row]:
+        labelled, width = Row(*self.columns), len(self.given)
+        for row in rows:
+            values = row[:width]
+            seen = dict(zip(self.given, values))
             labels: list = []
             for step, shown in zip(self.steps, self.shown):
-                values = step.apply(seen, state)
+                found = step.apply(seen, state)
                 # A name the row already has keeps the row's value.
-                for (name, _), value, show in zip(step.labels, values, shown):
+                for (name, _), value, show in zip(step.labels, found, shown):
                     if show:
                         seen[name] = value
                         labels.append(value)
-            yield labelled(*row, *labels)
-        self.state.update(tuple(state[f] for f in self.fields))
+            yield labelled(*values, *labels)
 
 
 def keyed_rules(
@@ -109,17 +145,22 @@ def keyed_rules(
                 present.add(name)
                 schema = schema.add(name, kind)
         shown.append(flags)
-    return df.groupBy(*keys).transformWithState(
-        KeyedRules(steps, order, shown, schema.names, ttl_ms),
+    kinds = _fields(df.schema, keys)
+    return _bucketed(df, keys).groupBy(_BUCKET).transformWithState(
+        KeyedRules(kinds, steps, order, shown, df.columns, schema.names, ttl_ms),
         schema,
         "append",
         "ProcessingTime" if ttl_ms else "None",
-        _grouped(initial, keys, [f for step in steps for f, _ in step.state]),
+        _grouped(initial, kinds, [f for step in steps for f, _ in step.state]),
     )
 
 
-def _grouped(initial: DataFrame | None, keys: Sequence[str], fields: Sequence[str]):
-    return None if initial is None else initial.select(*keys, *fields).groupBy(*keys)
+def _grouped(initial: DataFrame | None, keys: T.StructType, fields: Sequence[str]):
+    if initial is None:
+        return None
+    # A key's bucket goes by its type as well.
+    typed = initial.select(*[F.col(k.name).cast(k.dataType).alias(k.name) for k in keys], *fields)
+    return _bucketed(typed, keys.names).groupBy(_BUCKET)
 
 
 class Throttle(StatefulProcessor):
@@ -132,48 +173,62 @@ class Throttle(StatefulProcessor):
 
     def __init__(
         self,
+        keys: T.StructType,
         order: Sequence[str],
         clock: str,
         gap: str,
         keep: str | None,
         schema: T.StructType,
+        given: Sequence[str],
         ttl_ms: int | None,
         newest: str | None = None,
     ):
-        self.order, self.clock, self.gap, self.keep = order, clock, gap, keep
-        self.schema, self.ttl_ms, self.shown = schema, ttl_ms, newest
+        self.keys, self.order, self.clock, self.gap, self.keep = keys, order, clock, gap, keep
+        self.schema, self.given, self.ttl_ms, self.shown = schema, given, ttl_ms, newest
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.sent = handle.getValueState(STATE_LAST_EMIT, "last long", self.ttl_ms)
+        self.sent = handle.getMapState(STATE_LAST_EMIT, self.keys, "last long", self.ttl_ms)
         if self.keep:
-            self.newest = handle.getValueState(STATE_LATEST, self.schema, self.ttl_ms)
+            self.newest = handle.getMapState(STATE_LATEST, self.keys, self.schema, self.ttl_ms)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.sent.update((initialState["last"],))
+        place = tuple(initialState[k] for k in self.keys.names)
+        self.sent.updateValue(place, (initialState["last"],))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        last = self.sent.get()[0] if self.sent.exists() else None
+        sent = self.sent.exists()
+        kept = bool(self.keep) and self.newest.exists()
+        for place, own in _by_key(rows, self.keys.names, self.order):
+            yield from self._due(place, own, sent, kept)
+
+    def _due(self, place: tuple, rows: Iterator[Row], sent: bool, kept: bool) -> Iterator[Row]:
+        given, width = Row(*self.given), len(self.given)
+        stored = self.sent.getValue(place) if sent else None
+        last = stored[0] if stored else None
         before = last
         row, due = None, False
-        for row in _in_order(rows, self.order):
+        for row in rows:
             t, gap = row[self.clock], row[self.gap]
             due = gap <= 0 or t is not None and (last is None or t >= last + gap)
             if due:
                 last = last if gap <= 0 else t
-                yield row
-        if self.shown and row is not None and row[self.keep] and not due:
-            yield Row(**{**row.asDict(), self.shown: False})
+                yield given(*row[:width])
+        keep = self.keep and row[self.keep]
+        if self.shown and keep and not due:
+            yield Row(**{**given(*row[:width]).asDict(), self.shown: False})
         if last != before:
-            self.sent.update((last,))
-        if self.keep and row is not None and row[self.keep]:
-            self._keep_newest(row)
-
-    def _keep_newest(self, row: Row) -> None:
-        if self.newest.exists():
-            stored = Row(*self.schema.names)(*self.newest.get())
-            if list(_in_order([stored, row], self.order))[-1] is stored:
+            self.sent.updateValue(place, (last,))
+        if keep:
+            self._keep_newest(place, row, kept)
+
+    def _keep_newest(self, place: tuple, row: Row, kept: bool) -> None:
+        held = self.newest.getValue(place) if kept else None
+        if held:
+            stored = Row(*self.schema.names)(*held)
+            shown = Row(*self.schema.names)(*[row[c] for c in self.schema.names])
+            if list(_in_order([stored, shown], self.order))[-1] is stored:
                 return
-        self.newest.update(tuple(row[c] for c in self.schema.names))
+        self.newest.updateValue(place, tuple(row[c] for c in self.schema.names))
 
 
 def throttle_stream(
@@ -212,12 +267,15 @@ def throttle_stream(
         timed = timed.withColumn(keep, keep_latest)
     if newest is not None:
         timed = timed.withColumn(newest, F.lit(True))
-    emitted = timed.groupBy(*keys).transformWithState(
-        Throttle(list(order), measured, "_gap", keep, df.schema, ttl_ms, newest),
+    kinds = _fields(df.schema, keys)
+    emitted = _bucketed(timed, keys).groupBy(_BUCKET).transformWithState(
+        Throttle(
+            kinds, list(order), measured, "_gap", keep, df.schema, timed.columns, ttl_ms, newest
+        ),
         timed.schema,
         "append",
         "ProcessingTime" if ttl_ms else "None",
-        _grouped(initial, keys, ["last"]),
+        _grouped(initial, kinds, ["last"]),
     )
     return emitted.select(*df.columns, *([newest] if newest else []))
 
@@ -235,6 +293,6 @@ def read_state(
         .option("stateVarName", variable)
         .load(checkpoint)
     )
-    value = raw.schema["value"].dataType.names
-    keys = [k for k in raw.schema["key"].dataType.names if k not in value]
-    return raw.select(*[f"key.{k}" for k in keys], "value.*")
+    value = raw.schema["user_map_value"].dataType.names
+    keys = [k for k in raw.schema["user_map_key"].dataType.names if k not in value]
+    return raw.select(*[f"user_map_key.{k}" for k in keys], "user_map_value.*")

@@ -76,6 +76,7 @@ class _Windows(StatefulProcessor):
         if self.spec.gap_ms:
             # Sessions that the watermark has passed are closed to the rows of this batch.
             yield from self._closed(key, passed)
+        sums: dict[int, tuple[int, np.ndarray]] = {}
         for part in rows:
             # By place: Spark renames columns whose names are no names in Python.
             at = part.iloc[:, len(self.keys)].to_numpy(dtype=np.int64)
@@ -83,16 +84,22 @@ class _Windows(StatefulProcessor):
             if self.spec.gap_ms:
                 late = self._sessions(at, values, passed)
             else:
-                late = self._windows(at, values, passed)
+                late = self._windows(at, values, passed, sums)
             if late:
                 yield self._rows(key, LATE, late)
+        for start, (n, total) in sums.items():
+            self._add(start, start + self.spec.size_ms, n, total)
 
-    def _windows(self, at: np.ndarray, values: np.ndarray, passed: int) -> list[tuple]:
+    def _windows(
+        self, at: np.ndarray, values: np.ndarray, passed: int, sums: dict
+    ) -> list[tuple]:
+        """Late rows; adds the others to ``sums``, so that the state is touched once per window."""
         row, start = self.spec.places(at)
         closed = start + self.spec.size_ms <= passed
         for first in np.unique(start[~closed]).tolist():
             mine = row[~closed & (start == first)]
-            self._add(first, first + self.spec.size_ms, len(mine), values[mine].sum(axis=0))
+            n, total = sums.get(first, (0, 0.0))
+            sums[first] = n + len(mine), total + values[mine].sum(axis=0)
         return [
             (s, s + self.spec.size_ms, int(at[r]), 1, *values[r])
             for r, s in zip(row[closed].tolist(), start[closed].tolist(), strict=True)
