@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,8 @@ SEED = 42
 # Counters of the sketch: the table that orders shingles has one size whatever the corpus.
 SLOT_BITS = 18
 _SHIFT = np.uint64(64 - SLOT_BITS)
+# Words of 64 bits that tell keys of several nodes from most others.
+WORD_BITS = 20
 
 
 def _mix(z: np.ndarray) -> np.ndarray:
@@ -135,9 +138,9 @@ def roots(docs: DataFrame) -> DataFrame:
         texts.mapInArrow(mark, "node long, n long, keys array<long>").dropDuplicates(["node"]),
         "marks",
     )
-    keyed = marks.select("node", "n", F.posexplode("keys").alias("place", "key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("in_key")).filter("in_key > 1")
-    found = stored(keyed.join(shared, "key"), "members")
+    counted = marks.select(F.explode("keys").alias("key")).groupBy("key")
+    shared = stored(counted.agg(F.count("*").alias("in_key")).filter("in_key > 1"), "shared")
+    found = stored(_keyed(marks, _bits(shared)).join(shared, "key"), "members")
     # A node in many full buckets is near the middle of its group.
     weights = found.groupBy("node").agg(F.sum("in_key").alias("weight"))
     members = stored(found.join(weights, "node").drop("in_key"), "members")
@@ -154,6 +157,44 @@ def roots(docs: DataFrame) -> DataFrame:
     return linked
 
 
+def _bits(shared: DataFrame) -> np.ndarray:
+    """A bit for the leading bits of each key: a table of fixed size whatever the corpus."""
+    word = F.shiftrightunsigned("key", 64 - WORD_BITS).alias("word")
+    bit = F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(key, {58 - WORD_BITS}) & 63 AS INT))")
+    # At most as many rows as words.
+    rows = shared.groupBy(word).agg(F.bit_or(bit).alias("bits")).toPandas()
+    bits = np.zeros(1 << WORD_BITS, dtype=np.uint64)
+    bits[rows["word"].to_numpy(dtype=np.int64)] = rows["bits"].to_numpy(dtype=np.int64).view(np.uint64)
+    return bits
+
+
+def _keyed(marks: DataFrame, bits: np.ndarray) -> DataFrame:
+    """node, n, place and key of every key whose bit is set; most keys are one node's only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "keys"):
+            lists = batch.column("keys")
+            counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            keys = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(len(counts)), counts)
+            place = np.arange(len(keys)) - np.repeat(np.cumsum(counts) - counts, counts)
+            top = keys.view(np.uint64) >> np.uint64(58 - WORD_BITS)
+            marked = bits[(top >> np.uint64(6)).astype(np.int64)] >> (top & np.uint64(63))
+            met = np.flatnonzero(marked & np.uint64(1))
+            own = pa.array(row[met])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("node").take(own),
+                    batch.column("n").take(own),
+                    pa.array(place[met].astype(np.int32)),
+                    pa.array(keys[met]),
+                ],
+                ["node", "n", "place", "key"],
+            )
+
+    return marks.mapInArrow(run, "node long, n long, place int, key long")
+
+
 def _with_sets(sets: DataFrame | None, texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """``sets`` and those of nodes of ``pairs`` that it lacks; most texts are in no pair."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -190,7 +231,8 @@ def _pairs(members: DataFrame, linked: DataFrame | None, turn: int) -> DataFrame
     else:
         rows = members.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
         apart = rows.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-        rows = rows.join(apart.filter("x <> y").select("key"), "key")
+        # Few keys are left: as a table of known size they go to the rows, not the rows to them.
+        rows = rows.join(stored(apart.filter("x <> y").select("key"), "apart"), "key")
     mates = rows.select("key", *[F.col(c).alias(f"mate_{c}") for c in ("node", "n", "place", "root")])
     if turn < len(CENTRES):
         # The same centres in all buckets of a group, so that few different pairs arise.
@@ -249,7 +291,10 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 ["a", "b", "near"],
             )
 
+    # Only the sets of this turn's pairs are exchanged.
+    wanted = stored(pairs.select("b").distinct(), "wanted")
     left, right = (sets.toDF(*names) for names in (("a", "left"), ("b", "right")))
+    right = right.join(wanted, "b", "left_semi")
     whole = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
     return whole.mapInArrow(run, "a long, b long, near boolean")
 
