@@ -1,8 +1,13 @@
-"""Near copies by shared word shingles: an exact prefix filter names candidates, whole sets decide.
+"""Near copies by shared word shingles: SimHash and an exact prefix filter name candidates, whole
+sets decide.
 
 A text is the set of its shingles (``WORDS`` words, A-Z in lower case). Texts with the same words
 are one node. Two nodes link if their sets have a Jaccard similarity of ``SIMILARITY`` or more.
 
+SimHash comes first, as in ``simhash``: fingerprints of the shingles meet in buckets, pivot
+distance tables discard pairs, and those at ``BITS`` or fewer differing bits are compared. That
+finds some of the links; the prefix filter finds the rest and is what no link escapes.
+
 All shingles have one order, rare ones first (by a sketch of how often each occurs; ties by
 hash). If n - ceil(0.8 n) + 1 shingles of each set are taken in that order, two sets that are
 similar have one of them in common; so only nodes that share such a key are compared, and none
@@ -28,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sigweave.llm.common import components, slices, stored, texts_of
+from sigweave.llm.simhash import fingerprint_of, links
 from sigweave.llm.tokens import split_words
 
 WORDS = 5
@@ -36,6 +42,8 @@ PERCENT = round(SIMILARITY * 100)
 # Turns in which the nodes of a bucket are compared with a few of them, and with how many.
 CENTRES = (1, 4)
 SEED = 42
+# Differing bits of fingerprints whose texts are compared.
+BITS = 4
 # Counters of the sketch: the table that orders shingles has one size whatever the corpus.
 SLOT_BITS = 18
 _SHIFT = np.uint64(64 - SLOT_BITS)
@@ -124,18 +132,20 @@ def roots(docs: DataFrame) -> DataFrame:
                 node = node_of(words)
                 if node not in rows:
                     found = shingles(words)
-                    rows[node] = (len(found), prefix(found, levels).view(np.int64))
+                    print_ = fingerprint_of(found)
+                    rows[node] = (len(found), prefix(found, levels).view(np.int64), print_)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(list(rows), pa.int64()),
-                    pa.array([n for n, _ in rows.values()], pa.int64()),
-                    pa.array([k for _, k in rows.values()], pa.list_(pa.int64())),
+                    pa.array([n for n, _, _ in rows.values()], pa.int64()),
+                    pa.array([k for _, k, _ in rows.values()], pa.list_(pa.int64())),
+                    pa.array(np.array([p for _, _, p in rows.values()], np.uint64).view(np.int64)),
                 ],
-                ["node", "n", "keys"],
+                ["node", "n", "keys", "fp"],
             )
 
     marks = stored(
-        texts.mapInArrow(mark, "node long, n long, keys array<long>").dropDuplicates(["node"]),
+        texts.mapInArrow(mark, "node long, n long, keys array<long>, fp long").dropDuplicates(["node"]),
         "marks",
     )
     counted = marks.select(F.explode("keys").alias("key")).groupBy("key")
@@ -144,19 +154,37 @@ def roots(docs: DataFrame) -> DataFrame:
     # A node in many full buckets is near the middle of its group.
     weights = found.groupBy("node").agg(F.sum("in_key").alias("weight"))
     members = stored(found.join(weights, "node").drop("in_key"), "members")
-    sets, tested, linked = None, None, None
+    pairs = stored(_by_fingerprint(marks), "candidates")
+    sets = _with_sets(None, texts, pairs)
+    tested = stored(_compared(pairs, sets), "pairs")
+    linked = components(tested.filter("near").select("a", "b"))
     for turn in range(len(CENTRES) + 1):
-        pairs = _pairs(members, linked, turn)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = _pairs(members, linked, turn).join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "candidates")
         sets = _with_sets(sets, texts, pairs)
         now = stored(_compared(pairs, sets), "pairs")
-        tested = now if tested is None else tested.union(now)
+        tested = tested.union(now)
         linked = components(tested.filter("near").select("a", "b"))
     return linked
 
 
+def _by_fingerprint(marks: DataFrame) -> DataFrame:
+    """Pairs (a < b) that SimHash names: a node and the first of its fingerprint, and the first
+    ones of two linked fingerprints; sizes alone rule out some."""
+    place = F.struct("node", "n")
+    firsts = stored(marks.groupBy("fp").agg(F.min(place).alias("first")), "prints")
+    same = marks.join(firsts, "fp").select(place.alias("x"), F.col("first").alias("y"))
+    ends = [firsts.toDF(*names) for names in (("a", "x"), ("b", "y"))]
+    near = links(firsts, BITS).join(ends[0], "a").join(ends[1], "b").select("x", "y")
+    return (
+        same.union(near)
+        .filter("x.node <> y.node")
+        .filter(100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n"))
+        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+        .distinct()
+    )
+
+
 def _bits(shared: DataFrame) -> np.ndarray:
     """A bit for the leading bits of each key: a table of fixed size whatever the corpus."""
     word = F.shiftrightunsigned("key", 64 - WORD_BITS).alias("word")
@@ -224,15 +252,12 @@ def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return stored(once.dropDuplicates(["node"]), "grams")
 
 
-def _pairs(members: DataFrame, linked: DataFrame | None, turn: int) -> DataFrame:
+def _pairs(members: DataFrame, linked: DataFrame, turn: int) -> DataFrame:
     """Pairs (a < b) of a bucket that no component joins yet and that could be similar."""
-    if linked is None:
-        rows = members.withColumn("root", F.col("node"))
-    else:
-        rows = members.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        apart = rows.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-        # Few keys are left: as a table of known size they go to the rows, not the rows to them.
-        rows = rows.join(stored(apart.filter("x <> y").select("key"), "apart"), "key")
+    rows = members.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    apart = rows.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+    # Few keys are left: as a table of known size they go to the rows, not the rows to them.
+    rows = rows.join(stored(apart.filter("x <> y").select("key"), "apart"), "key")
     mates = rows.select("key", *[F.col(c).alias(f"mate_{c}") for c in ("node", "n", "place", "root")])
     if turn < len(CENTRES):
         # The same centres in all buckets of a group, so that few different pairs arise.

@@ -50,7 +50,12 @@ def fingerprint(text: str | None, words: int = 4) -> int:
         line, digest = b" ".join(joined), xxhash.xxh64_intdigest
         last = (ends - 1).tolist()[words - 1 :]
         hashes = [digest(line[s:e], SEED) for s, e in zip(starts, last, strict=False)]
-    lanes = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8)
+    return fingerprint_of(np.array(hashes, dtype="<u8"))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """Majority bits of unsigned 64-bit hashes; zero if there are none."""
+    lanes = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)
     counts = np.bincount((lanes + _LANES).ravel(), minlength=2048).reshape(8, 256) @ _BIT
     bits = (counts * 2 > len(hashes)).astype(np.uint8)
     return int(np.packbits(bits.ravel(), bitorder="little").view("<u8")[0])

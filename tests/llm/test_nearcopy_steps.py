@@ -22,3 +22,17 @@ def test_keys_of_one_node_do_not_meet_the_join(spark):
     wanted = {(i, n, p, k) for i, n, keys in rows for p, k in enumerate(keys) if k in {both, *ends}}
     assert wanted <= {tuple(r) for r in found}
     assert len(found) < len(wanted) + 20
+
+
+def test_simhash_names_pairs_before_the_prefix_filter(spark):
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words), " ".join([*words[:-1], "x"]), " ".join(f"v{i}" for i in range(400)), "", None]
+    marks = []
+    for text in texts[:4]:
+        own = next(iter(nearcopies.word_hashes(nearcopies.pa.array([text]))))
+        found = nearcopies.shingles(own)
+        fp = np.array([nearcopies.fingerprint_of(found)], np.uint64).view(np.int64)[0]
+        marks.append((nearcopies.node_of(own), len(found), int(fp)))
+    pairs = nearcopies._by_fingerprint(spark.createDataFrame(marks, "node long, n long, fp long"))
+    near = sorted(m[0] for m in marks[:2])
+    assert [tuple(r) for r in pairs.collect()] == [tuple(near)]
