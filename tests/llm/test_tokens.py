@@ -259,3 +259,23 @@ def test_words_in_lines_have_the_ids_of_words_alone():
     whole = Tokenizer.from_file(tokens.vocabulary_path())
     for n, text in enumerate([*texts, "", ""]):
         assert ids[at[n] : at[n + 1]].tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_words_share_the_ids_of_their_letters():
+    """Parts of words are encoded once, and texts have the ids that the library gives."""
+    path = tokens.vocabulary_path()
+    stems = ["hello", "\u00c9t\u00c9", "\u0178ves", "stra\u00dfe", "\u0130stanbul", "\u017fo", "i\u0307x", "e\u0301t", "\u01c5x", "\u03a3\u03a3", "x1", "it's", "\u0149a", "don"]
+    tails = ["", ".", ",", "!?", "***", ".$$$", "'", "'s", "'S", "<|", "|>", "<|endoftext|>", "_", "-", "\u00bf", "\u2026", "\u0301", "1", "'t'"]
+    words = [w + t for s in stems for w in (s, s.upper(), s.title()) for t in tails]
+    words += [t + s for s in stems[:3] for t in tails] + tails
+    texts = [" ".join(words), *words, "", None, " \t\n"]
+    encode = tokens.WordEncoder(path)
+    ids, at = encode.encode(pa.array(texts, pa.string()))
+    for n, text in enumerate(texts):
+        wanted = encode._tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert ids[at[n] : at[n + 1]].tolist() == wanted, text
+    encode = tokens.WordEncoder(path)
+    cases = [f(s) + t for s in ("hello", "world") for f in (str, str.upper, str.title) for t in tails[:6]]
+    encode.encode(pa.array([" ".join(cases)]))
+    # Two stems and five runs of signs instead of 36 words.
+    assert len(encode._slot) == 7
