@@ -31,6 +31,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sigweave.llm.common import components, slices, stored, texts_of
 from sigweave.llm.simhash import fingerprint_of, links
@@ -47,7 +48,7 @@ BITS = 4
 # Counters of the sketch: the table that orders shingles has one size whatever the corpus.
 SLOT_BITS = 18
 _SHIFT = np.uint64(64 - SLOT_BITS)
-# Words of 64 bits that tell keys of several nodes from most others.
+# Words of 64 bits that tell wanted hashes (keys of several nodes, texts in pairs) from most others.
 WORD_BITS = 20
 
 
@@ -115,53 +116,55 @@ def _levels(texts: DataFrame) -> np.ndarray:
     rows = texts.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     counts = np.zeros(1 << SLOT_BITS)
     # At most as many rows as slots.
-    found = rows.toPandas()
-    counts[found["slot"].to_numpy(dtype=np.int64)] = found["n"]
+    found = rows.toArrow()
+    counts[found["slot"].to_numpy()] = found["n"].to_numpy()
     return np.floor(64 * np.log2(counts + 1)).astype(np.uint16)
 
 
 def roots(docs: DataFrame) -> DataFrame:
     """node and root of every text of ``docs`` that has a near copy; others are not listed."""
-    texts = texts_of(docs).select("text")
-    levels = _levels(texts)
+    texts = texts_of(docs, F.xxhash64("text").alias("h")).select("text", "h")
+    levels = _levels(texts.select("text"))
+
+    kinds = T.StructType.fromDDL("node long, n long, keys array<long>, fp long, h long")
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             rows = {}
-            for words in word_hashes(batch.column("text")):
+            hashes = batch.column("h").to_pylist()
+            for words, h in zip(word_hashes(batch.column("text")), hashes, strict=True):
                 node = node_of(words)
                 if node not in rows:
                     found = shingles(words)
                     print_ = fingerprint_of(found)
-                    rows[node] = (len(found), prefix(found, levels).view(np.int64), print_)
+                    rows[node] = (len(found), prefix(found, levels).view(np.int64), print_, h)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(list(rows), pa.int64()),
-                    pa.array([n for n, _, _ in rows.values()], pa.int64()),
-                    pa.array([k for _, k, _ in rows.values()], pa.list_(pa.int64())),
-                    pa.array(np.array([p for _, _, p in rows.values()], np.uint64).view(np.int64)),
+                    pa.array([r[0] for r in rows.values()], pa.int64()),
+                    pa.array([r[1] for r in rows.values()], pa.list_(pa.int64())),
+                    pa.array(np.array([r[2] for r in rows.values()], np.uint64).view(np.int64)),
+                    pa.array([r[3] for r in rows.values()], pa.int64()),
                 ],
-                ["node", "n", "keys", "fp"],
+                kinds.names,
             )
 
-    marks = stored(
-        texts.mapInArrow(mark, "node long, n long, keys array<long>, fp long").dropDuplicates(["node"]),
-        "marks",
-    )
+    # A text of each node stays named by its hash, to be found again.
+    marks = stored(texts.mapInArrow(mark, kinds).dropDuplicates(["node"]), "marks")
     counted = marks.select(F.explode("keys").alias("key")).groupBy("key")
     shared = stored(counted.agg(F.count("*").alias("in_key")).filter("in_key > 1"), "shared")
-    found = stored(_keyed(marks, _bits(shared)).join(shared, "key"), "members")
+    found = stored(_keyed(marks.select("node", "n", "keys"), _bits(shared)).join(shared, "key"), "members")
     # A node in many full buckets is near the middle of its group.
     weights = found.groupBy("node").agg(F.sum("in_key").alias("weight"))
     members = stored(found.join(weights, "node").drop("in_key"), "members")
     pairs = stored(_by_fingerprint(marks), "candidates")
-    sets = _with_sets(None, texts, pairs)
+    sets = _with_sets(None, texts, marks, pairs)
     tested = stored(_compared(pairs, sets), "pairs")
     linked = components(tested.filter("near").select("a", "b"))
     for turn in range(len(CENTRES) + 1):
         pairs = _pairs(members, linked, turn).join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "candidates")
-        sets = _with_sets(sets, texts, pairs)
+        sets = _with_sets(sets, texts, marks, pairs)
         now = stored(_compared(pairs, sets), "pairs")
         tested = tested.union(now)
         linked = components(tested.filter("near").select("a", "b"))
@@ -190,12 +193,30 @@ def _bits(shared: DataFrame) -> np.ndarray:
     word = F.shiftrightunsigned("key", 64 - WORD_BITS).alias("word")
     bit = F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(key, {58 - WORD_BITS}) & 63 AS INT))")
     # At most as many rows as words.
-    rows = shared.groupBy(word).agg(F.bit_or(bit).alias("bits")).toPandas()
+    rows = shared.groupBy(word).agg(F.bit_or(bit).alias("bits")).toArrow()
     bits = np.zeros(1 << WORD_BITS, dtype=np.uint64)
-    bits[rows["word"].to_numpy(dtype=np.int64)] = rows["bits"].to_numpy(dtype=np.int64).view(np.uint64)
+    bits[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return bits
 
 
+def _marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys have their bit set."""
+    top = keys.view(np.uint64) >> np.uint64(58 - WORD_BITS)
+    return (bits[(top >> np.uint64(6)).astype(np.int64)] >> (top & np.uint64(63)) & np.uint64(1)) > 0
+
+
+def _only(rows: DataFrame, column: str, keys: DataFrame, met: bool = True) -> DataFrame:
+    """Rows whose hash in ``column`` is one of ``keys`` (column key), and few others; without
+    ``met`` the rest. Nothing is exchanged."""
+    bits = _bits(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_marked(bits, batch.column(column).to_numpy()) == met))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def _keyed(marks: DataFrame, bits: np.ndarray) -> DataFrame:
     """node, n, place and key of every key whose bit is set; most keys are one node's only."""
 
@@ -206,9 +227,7 @@ def _keyed(marks: DataFrame, bits: np.ndarray) -> DataFrame:
             keys = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             row = np.repeat(np.arange(len(counts)), counts)
             place = np.arange(len(keys)) - np.repeat(np.cumsum(counts) - counts, counts)
-            top = keys.view(np.uint64) >> np.uint64(58 - WORD_BITS)
-            marked = bits[(top >> np.uint64(6)).astype(np.int64)] >> (top & np.uint64(63))
-            met = np.flatnonzero(marked & np.uint64(1))
+            met = np.flatnonzero(_marked(bits, keys))
             own = pa.array(row[met])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -223,18 +242,21 @@ def _keyed(marks: DataFrame, bits: np.ndarray) -> DataFrame:
     return marks.mapInArrow(run, "node long, n long, place int, key long")
 
 
-def _with_sets(sets: DataFrame | None, texts: DataFrame, pairs: DataFrame) -> DataFrame:
+def _with_sets(
+    sets: DataFrame | None, texts: DataFrame, marks: DataFrame, pairs: DataFrame
+) -> DataFrame:
     """``sets`` and those of nodes of ``pairs`` that it lacks; most texts are in no pair."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    if sets is not None:
+        wanted = wanted.join(sets.select("node"), "node", "left_anti")
+    wanted = stored(marks.select("node", "h").join(wanted, "node", "left_semi"), "wanted")
     if sets is None:
         return _sets(texts, wanted)
-    wanted = stored(wanted.join(sets.select("node"), "node", "left_anti"), "wanted")
     return sets.union(_sets(texts, wanted)) if wanted.take(1) else sets
 
 
 def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node and grams (packed ascending hashes) of the nodes ``wanted``."""
-
+    """node and grams (packed ascending hashes) of the nodes ``wanted`` (node, h)."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             rows = {}
@@ -247,8 +269,11 @@ def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                 ["node", "grams"],
             )
 
-    # Copies are merged map-side, before a hot text's rows could meet in one task.
-    once = texts.mapInArrow(pack, "node long, grams binary").join(wanted, "node", "left_semi")
+    # Other texts are neither cut nor exchanged. Copies are merged map-side, before a hot text's
+    # rows could meet in one task.
+    met = _only(texts, "h", wanted.select(F.col("h").alias("key")))
+    once = met.mapInArrow(pack, "node long, grams binary")
+    once = once.join(wanted.select("node"), "node", "left_semi")
     return stored(once.dropDuplicates(["node"]), "grams")
 
 
@@ -317,9 +342,10 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             )
 
     # Only the sets of this turn's pairs are exchanged.
-    wanted = stored(pairs.select("b").distinct(), "wanted")
-    left, right = (sets.toDF(*names) for names in (("a", "left"), ("b", "right")))
-    right = right.join(wanted, "b", "left_semi")
+    left, right = (
+        _only(sets, "node", pairs.select(F.col(c).alias("key"))).toDF(c, name)
+        for c, name in (("a", "left"), ("b", "right"))
+    )
     whole = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
     return whole.mapInArrow(run, "a long, b long, near boolean")
 
@@ -344,12 +370,9 @@ def without_copies(docs: DataFrame) -> DataFrame:
                 [*batch.columns, pa.array(nodes, pa.int64())], [*batch.schema.names, node]
             )
 
-    schema = type(docs.schema)([*docs.schema.fields]).add(node, "long")
-    rows = (
-        docs.filter("doc_id IS NOT NULL")
-        .mapInArrow(name, schema)
-        .withColumn(row, F.xxhash64(*docs.columns))
-    )
+    hashed = docs.filter("doc_id IS NOT NULL").withColumn(row, F.xxhash64(*docs.columns))
+    schema = type(docs.schema)([*hashed.schema.fields]).add(node, "long")
+    rows = hashed.mapInArrow(name, schema)
     key = ["doc_id", node, row]
     named = (
         stored(rows.select(key), "named")
@@ -366,7 +389,11 @@ def without_copies(docs: DataFrame) -> DataFrame:
         .filter("copies > 1 OR NOT kept"),
         "copies",
     )
-    kept = rows.join(marked.select(key), key, "left_anti").select(docs.columns)
+    # Rows that are alone are told by their hashes, without an exchange.
+    hashes = marked.select(F.col(row).alias("key"))
+    alone = _only(hashed, row, hashes, met=False).select(docs.columns)
+    rows = _only(hashed, row, hashes).mapInArrow(name, schema)
+    kept = alone.union(rows.join(marked.select(key), key, "left_anti").select(docs.columns))
     again = marked.filter("kept").select(key)
     if again.take(1):
         once = rows.join(again, key, "left_semi").dropDuplicates(key)

@@ -36,3 +36,29 @@ def test_simhash_names_pairs_before_the_prefix_filter(spark):
     pairs = nearcopies._by_fingerprint(spark.createDataFrame(marks, "node long, n long, fp long"))
     near = sorted(m[0] for m in marks[:2])
     assert [tuple(r) for r in pairs.collect()] == [tuple(near)]
+
+
+def test_sets_are_made_of_texts_in_pairs_only(spark):
+    texts = [f"a{i} b{i} c{i} d{i} e{i} f{i}" for i in range(300)] + ["", None, " A0  b0 c0 d0 e0 f0", "a7 b7 c7 d7 e7 f7"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").selectExpr("text", "xxhash64(text) h")
+    nodes = [nearcopies.node_of(w) for w in nearcopies.word_hashes(nearcopies.pa.array(texts))]
+    assert nodes[0] == nodes[302] and nodes[300] == nodes[301]
+    hashes = [r.h for r in rows.collect()]
+    wanted = spark.createDataFrame([(nodes[i], hashes[i]) for i in (7, 301, 302)], "node long, h long")
+    # Others are left out before any exchange, also where no join is broadcast.
+    keys = wanted.selectExpr("h AS key")
+    met = [r.text for r in nearcopies._only(rows, "h", keys).collect()]
+    assert len(met) <= 6 and {texts[i] for i in (7, 301, 302)} <= set(met)
+    rest = [r.text for r in nearcopies._only(rows, "h", keys, met=False).collect()]
+    assert sorted(map(str, met + rest)) == sorted(map(str, texts))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sets = nearcopies._sets(rows, wanted).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    found = {r.node: np.frombuffer(r.grams, dtype="<u8") for r in sets}
+    assert len(sets) == 3 and set(found) == {nodes[i] for i in (7, 301, 302)}
+    for i in (7, 301, 302):
+        own = next(iter(nearcopies.word_hashes(nearcopies.pa.array([texts[i]], nearcopies.pa.string()))))
+        assert (found[nodes[i]] == nearcopies.shingles(own)).all()
