@@ -147,6 +147,34 @@ def test_overlaps_equal_brute_force(spark, point, keyed):
         assert found == _pairs(left, right, point, keyed)
 
 
+def _joined(plan):
+    """Rows that the joins of a plan that ran gave."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        plan = plan.executedPlan()
+    while plan.nodeName().endswith("QueryStage"):
+        plan = plan.plan()
+    own = plan.metrics().apply("numOutputRows").value() if "Join" in plan.nodeName() else 0
+    below = plan.children()
+    return own + sum(_joined(below.apply(i)) for i in range(below.size()))
+
+
+@pytest.mark.parametrize("point", [True, False])
+def test_dense_spans_meet_in_blocks(spark, point):
+    """Pairs equal brute force, and rows of bins, not single rows, are joined."""
+    rng = random.Random(7)
+    left = [(i, b := rng.randrange(20_000), b + rng.randrange(1, 90), "x") for i in range(1500)]
+    right = [(i, b := rng.randrange(20_000), b + rng.randrange(1, 3000), "x") for i in range(120)]
+    pairs = overlapping(
+        spark.createDataFrame(left, SPANS).coalesce(1),
+        spark.createDataFrame(right, SPANS),
+        ("begin", None if point else "finish"),
+        ("begin", "finish"),
+    )
+    found = sorted((r.left.id, r.right.id) for r in pairs.collect())
+    assert found == _pairs(left, right, point, False)
+    assert 0 < 2 * _joined(pairs._jdf.queryExecution().executedPlan()) < len(found)
+
+
 def test_one_span_covers_everything(spark):
     """It is one row of a high level, not one for each bin, and no cross join is planned."""
     events = spark.range(5000).selectExpr("id", "id * 1000 AS begin", "id * 1000 + 1 AS finish", "'x' AS k")
