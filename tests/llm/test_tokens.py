@@ -1,6 +1,7 @@
 """Packing, shards, edit-aware counts and mixing."""
 
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -279,3 +280,20 @@ def test_words_share_the_ids_of_their_letters():
     encode.encode(pa.array([" ".join(cases)]))
     # Two stems and five runs of signs instead of 36 words.
     assert len(encode._slot) == 7
+
+
+def test_known_words_cost_no_call_each():
+    words = [f"w{'abcdefghij'[i % 10]}{'xyzuvw'[i % 6] * (i // 60 % 90 + 1)}" for i in range(5400)]
+    assert len(set(words)) > 2000
+    texts = pa.array([" ".join(words), None, "", "é ü"])
+    encode = tokens.WordEncoder(tokens.vocabulary_path())
+    first = encode.encode(texts)
+    calls = []
+    sys.setprofile(lambda frame, event, arg: calls.append(event == "call"))
+    try:
+        again = encode.encode(texts)
+    finally:
+        sys.setprofile(None)
+    assert sum(calls) < 1000
+    assert all((a == b).all() for a, b in zip(first, again, strict=True))
+    assert tokens.split_words(texts)[1] == list(dict.fromkeys([*words, "", "é", "ü"]))
