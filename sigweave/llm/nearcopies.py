@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sigweave.llm.common import components, slices, stored, texts_of
+from sigweave.llm.common import SLICE_BYTES, components, slices, stored, texts_of
 from sigweave.llm.simhash import fingerprint_of, links
 from sigweave.llm.tokens import split_words
 
@@ -209,12 +209,16 @@ def _only(rows: DataFrame, column: str, keys: DataFrame, met: bool = True) -> Da
     """Rows whose hash in ``column`` is one of ``keys`` (column key), and few others; without
     ``met`` the rest. Nothing is exchanged."""
     bits = _bits(keys)
+    return rows.mapInArrow(lambda batches: _filtered(batches, column, bits, met), rows.schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(_marked(bits, batch.column(column).to_numpy()) == met))
 
-    return rows.mapInArrow(run, rows.schema)
+def _filtered(
+    batches: Iterator[pa.RecordBatch], column: str, bits: np.ndarray, met: bool = True
+) -> Iterator[pa.RecordBatch]:
+    """The rows of ``_only`` within a task. Where texts are read next, that is one step with
+    this: Spark keeps a second Python worker for each step of a task, and keeps it to the end."""
+    for batch in batches:
+        yield batch.filter(pa.array(_marked(bits, batch.column(column).to_numpy()) == met))
 
 
 def _keyed(marks: DataFrame, bits: np.ndarray) -> DataFrame:
@@ -257,8 +261,11 @@ def _with_sets(
 
 def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """node and grams (packed ascending hashes) of the nodes ``wanted`` (node, h)."""
+    bits = _bits(wanted.select(F.col("h").alias("key")))
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        # Others are neither cut nor exchanged.
+        for batch in slices(_filtered(batches, "h", bits), "text", SLICE_BYTES):
             rows = {}
             for words in word_hashes(batch.column("text")):
                 node = node_of(words)
@@ -269,10 +276,8 @@ def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                 ["node", "grams"],
             )
 
-    # Other texts are neither cut nor exchanged. Copies are merged map-side, before a hot text's
-    # rows could meet in one task.
-    met = _only(texts, "h", wanted.select(F.col("h").alias("key")))
-    once = met.mapInArrow(pack, "node long, grams binary")
+    # Copies are merged map-side, before a hot text's rows could meet in one task.
+    once = texts.mapInArrow(pack, "node long, grams binary")
     once = once.join(wanted.select("node"), "node", "left_semi")
     return stored(once.dropDuplicates(["node"]), "grams")
 
@@ -363,8 +368,10 @@ def without_copies(docs: DataFrame) -> DataFrame:
     tag = uuid.uuid4().hex
     node, row = f"node_{tag}", f"row_{tag}"
 
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+    def name(
+        batches: Iterator[pa.RecordBatch], size: int | None = None
+    ) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", size):
             nodes = [node_of(w) for w in word_hashes(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(nodes, pa.int64())], [*batch.schema.names, node]
@@ -392,7 +399,8 @@ def without_copies(docs: DataFrame) -> DataFrame:
     # Rows that are alone are told by their hashes, without an exchange.
     hashes = marked.select(F.col(row).alias("key"))
     alone = _only(hashed, row, hashes, met=False).select(docs.columns)
-    rows = _only(hashed, row, hashes).mapInArrow(name, schema)
+    bits = _bits(hashes)
+    rows = hashed.mapInArrow(lambda b: name(_filtered(b, row, bits), SLICE_BYTES), schema)
     kept = alone.union(rows.join(marked.select(key), key, "left_anti").select(docs.columns))
     again = marked.filter("kept").select(key)
     if again.take(1):

@@ -62,3 +62,22 @@ def test_sets_are_made_of_texts_in_pairs_only(spark):
     for i in (7, 301, 302):
         own = next(iter(nearcopies.word_hashes(nearcopies.pa.array([texts[i]], nearcopies.pa.string()))))
         assert (found[nodes[i]] == nearcopies.shingles(own)).all()
+
+
+def test_a_task_cuts_texts_with_one_python_worker(spark, monkeypatch):
+    """The filter by hashes and the step that reads the texts it lets through are one."""
+    plans, keep = [], nearcopies.stored
+
+    def stored(df, name):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return keep(df, name)
+
+    monkeypatch.setattr(nearcopies, "stored", stored)
+    texts = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(4)]
+    rows = [(i, t) for i, t in enumerate([*texts, texts[0] + " z", texts[1], None])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = nearcopies.without_copies(docs)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 3, 6]
+    assert {p.count("MapInArrow") for name, p in plans if name == "grams"} == {1}
+    # Rows that are alone, and those that are not.
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 2
