@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -41,6 +43,10 @@ def slices(
 
     With a ``size`` given, small batches are first put together up to it.
     """
+    # Code travels with the tasks and refers to itself, so what the task before held (words of an
+    # encoder, tables of bits) stays until it is looked for.
+    gc.collect()
+    _give_back()
     for batch in batches if size is None else _together(batches, column, size):
         if not batch.num_rows:
             continue
@@ -48,6 +54,15 @@ def slices(
         step = max(1, (size or SLICE_BYTES) // mean)
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
+    _give_back()
+
+
+def _give_back() -> None:
+    """Free memory goes back to the machine: a worker waits for its next task for a long time."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def _together(

@@ -1,6 +1,8 @@
 """Steps of the search for near copies."""
 
+import gc
 import random
+import weakref
 
 import numpy as np
 
@@ -81,3 +83,19 @@ def test_a_task_cuts_texts_with_one_python_worker(spark, monkeypatch):
     assert {p.count("MapInArrow") for name, p in plans if name == "grams"} == {1}
     # Rows that are alone, and those that are not.
     assert kept._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 2
+
+
+def test_a_task_drops_what_the_one_before_held():
+    class Held:
+        pass
+
+    gc.disable()
+    try:
+        held = Held()
+        held.own, seen = held, weakref.ref(held)
+        del held
+        batch = nearcopies.pa.RecordBatch.from_arrays([nearcopies.pa.array(["a", "b"])], ["text"])
+        assert [b.num_rows for b in nearcopies.slices(iter([batch]), "text")] == [2]
+        assert seen() is None
+    finally:
+        gc.enable()
