@@ -7,7 +7,7 @@ import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sigweave.session import run_dir
@@ -46,7 +46,7 @@ def slices(
     # Code travels with the tasks and refers to itself, so what the task before held (words of an
     # encoder, tables of bits) stays until it is looked for.
     gc.collect()
-    _give_back()
+    give_back()
     for batch in batches if size is None else _together(batches, column, size):
         if not batch.num_rows:
             continue
@@ -54,11 +54,12 @@ def slices(
         step = max(1, (size or SLICE_BYTES) // mean)
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
-    _give_back()
+    give_back()
 
 
-def _give_back() -> None:
-    """Free memory goes back to the machine: a worker waits for its next task for a long time."""
+def give_back() -> None:
+    """Free memory goes back to the machine: a worker waits for its next task for a long time, and
+    the driver for its next step."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
@@ -93,30 +94,29 @@ def components(edges: DataFrame) -> DataFrame:
     joins and grouped minima, so a node with a third of all edges is combined map-side and
     its join is split by adaptive execution.
     """
-    edges = stored(
+    edges, before = _stored_edges(
         edges.filter("a <> b").select(
             F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-        ).distinct(),
-        "edges",
+        ).distinct()
     )
-    before = _digest(edges)
-    while before[0]:
-        edges = stored(_small_star(_large_star(edges)), "edges")
-        after = _digest(edges)
+    while before["n"]:
+        edges, after = _stored_edges(_small_star(_large_star(edges)))
         if after == before:
             break
         before = after
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def _digest(edges: DataFrame) -> tuple:
-    return tuple(
-        edges.agg(
-            F.count("*"),
-            F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")),
-            F.bit_xor(F.xxhash64("b", "a")),
-        ).first()
+def _stored_edges(edges: DataFrame) -> tuple[DataFrame, dict]:
+    """``edges`` stored, and a digest of them that the same query gathers as it writes."""
+    digest = Observation()
+    seen = edges.observe(
+        digest,
+        F.count("*").alias("n"),
+        F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("total"),
+        F.bit_xor(F.xxhash64("b", "a")).alias("mixed"),
     )
+    return stored(seen, "edges"), digest.get
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

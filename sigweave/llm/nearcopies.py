@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sigweave.llm.common import SLICE_BYTES, components, slices, stored, texts_of
+from sigweave.llm.common import SLICE_BYTES, components, give_back, slices, stored, texts_of
 from sigweave.llm.simhash import fingerprint_of, links
 from sigweave.llm.tokens import split_words
 
@@ -118,6 +119,8 @@ def _levels(texts: DataFrame) -> np.ndarray:
     # At most as many rows as slots.
     found = rows.toArrow()
     counts[found["slot"].to_numpy()] = found["n"].to_numpy()
+    del found
+    give_back()
     return np.floor(64 * np.log2(counts + 1)).astype(np.uint16)
 
 
@@ -164,10 +167,14 @@ def roots(docs: DataFrame) -> DataFrame:
     for turn in range(len(CENTRES) + 1):
         pairs = _pairs(members, linked, turn).join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "candidates")
+        if pairs.isEmpty():
+            continue
         sets = _with_sets(sets, texts, marks, pairs)
         now = stored(_compared(pairs, sets), "pairs")
         tested = tested.union(now)
-        linked = components(tested.filter("near").select("a", "b"))
+        # Node and root stand for all links found before: fewer edges, nearer to the end.
+        stars = linked.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        linked = components(stars.union(now.filter("near").select("a", "b")))
     return linked
 
 
@@ -188,15 +195,24 @@ def _by_fingerprint(marks: DataFrame) -> DataFrame:
     )
 
 
-def _bits(shared: DataFrame) -> np.ndarray:
+def _bits(keys: DataFrame) -> np.ndarray:
     """A bit for the leading bits of each key: a table of fixed size whatever the corpus."""
+    return _tables([keys])[0]
+
+
+def _tables(keys: list[DataFrame]) -> list[np.ndarray]:
+    """The bits of each of ``keys``, by one query."""
     word = F.shiftrightunsigned("key", 64 - WORD_BITS).alias("word")
     bit = F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(key, {58 - WORD_BITS}) & 63 AS INT))")
-    # At most as many rows as words.
-    rows = shared.groupBy(word).agg(F.bit_or(bit).alias("bits")).toArrow()
-    bits = np.zeros(1 << WORD_BITS, dtype=np.uint64)
-    bits[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
-    return bits
+    parts = [k.select(F.lit(i).alias("of"), "key") for i, k in enumerate(keys)]
+    # At most as many rows as words, for each table.
+    rows = reduce(DataFrame.union, parts).groupBy("of", word).agg(F.bit_or(bit).alias("bits")).toArrow()
+    bits = np.zeros((len(keys), 1 << WORD_BITS), dtype=np.uint64)
+    bits[rows["of"].to_numpy(), rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+    del rows
+    give_back()
+    # Each table alone, as a task is sent the whole of what its table is a part of.
+    return [own.copy() for own in bits]
 
 
 def _marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -208,7 +224,10 @@ def _marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 def _only(rows: DataFrame, column: str, keys: DataFrame, met: bool = True) -> DataFrame:
     """Rows whose hash in ``column`` is one of ``keys`` (column key), and few others; without
     ``met`` the rest. Nothing is exchanged."""
-    bits = _bits(keys)
+    return _by_bits(rows, column, _bits(keys), met)
+
+
+def _by_bits(rows: DataFrame, column: str, bits: np.ndarray, met: bool = True) -> DataFrame:
     return rows.mapInArrow(lambda batches: _filtered(batches, column, bits, met), rows.schema)
 
 
@@ -254,14 +273,16 @@ def _with_sets(
     if sets is not None:
         wanted = wanted.join(sets.select("node"), "node", "left_anti")
     wanted = stored(marks.select("node", "h").join(wanted, "node", "left_semi"), "wanted")
+    bits = _bits(wanted.select(F.col("h").alias("key")))
     if sets is None:
-        return _sets(texts, wanted)
-    return sets.union(_sets(texts, wanted)) if wanted.take(1) else sets
+        return _sets(texts, wanted, bits)
+    return sets.union(_sets(texts, wanted, bits)) if bits.any() else sets
 
 
-def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node and grams (packed ascending hashes) of the nodes ``wanted`` (node, h)."""
-    bits = _bits(wanted.select(F.col("h").alias("key")))
+def _sets(texts: DataFrame, wanted: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
+    """node and grams (packed ascending hashes) of the nodes ``wanted`` (node, h; ``bits``: of h)."""
+    if bits is None:
+        bits = _bits(wanted.select(F.col("h").alias("key")))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Others are neither cut nor exchanged.
@@ -347,9 +368,10 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             )
 
     # Only the sets of this turn's pairs are exchanged.
+    tables = _tables([pairs.select(F.col(c).alias("key")) for c in ("a", "b")])
     left, right = (
-        _only(sets, "node", pairs.select(F.col(c).alias("key"))).toDF(c, name)
-        for c, name in (("a", "left"), ("b", "right"))
+        _by_bits(sets, "node", bits).toDF(c, name)
+        for bits, c, name in zip(tables, ("a", "b"), ("left", "right"), strict=True)
     )
     whole = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
     return whole.mapInArrow(run, "a long, b long, near boolean")
@@ -397,9 +419,8 @@ def without_copies(docs: DataFrame) -> DataFrame:
         "copies",
     )
     # Rows that are alone are told by their hashes, without an exchange.
-    hashes = marked.select(F.col(row).alias("key"))
-    alone = _only(hashed, row, hashes, met=False).select(docs.columns)
-    bits = _bits(hashes)
+    bits = _bits(marked.select(F.col(row).alias("key")))
+    alone = _by_bits(hashed, row, bits, met=False).select(docs.columns)
     rows = hashed.mapInArrow(lambda b: name(_filtered(b, row, bits), SLICE_BYTES), schema)
     kept = alone.union(rows.join(marked.select(key), key, "left_anti").select(docs.columns))
     again = marked.filter("kept").select(key)

@@ -2,11 +2,12 @@
 
 import gc
 import random
+import uuid
 import weakref
 
 import numpy as np
 
-from sigweave.llm import nearcopies
+from sigweave.llm import common, nearcopies
 
 MARKS = "node long, n long, keys array<long>"
 
@@ -99,3 +100,40 @@ def test_a_task_drops_what_the_one_before_held():
         assert seen() is None
     finally:
         gc.enable()
+
+
+def _jobs(spark, run):
+    """Number of Spark's jobs behind ``run``."""
+    context, name, group = spark.sparkContext, "spark.jobGroup.id", uuid.uuid4().hex
+    before = context.getLocalProperty(name)
+    context.setLocalProperty(name, group)
+    try:
+        run()
+    finally:
+        context.setLocalProperty(name, before)
+    return len(context.statusTracker().getJobIdsForGroup(group))
+
+
+def test_each_round_of_components_is_one_query(spark, monkeypatch):
+    """What tells the end is gathered while a round is written, not read again."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
+    writes, keep, found = [], common.stored, []
+
+    def stored(df, name):
+        writes.append(_jobs(spark, lambda: found.append(keep(df, name))))
+        return found[-1]
+
+    monkeypatch.setattr(common, "stored", stored)
+    assert _jobs(spark, lambda: common.components(edges)) == 0 and min(writes) > 0
+    assert sorted(tuple(r) for r in found[-1].collect()) == [(i, 0) for i in range(1, 61)]
+    found.clear()
+    assert common.components(edges.filter("a < 0")).count() == 0 and len(found) == 1
+
+
+def test_a_turn_without_pairs_seeks_no_components(spark, monkeypatch):
+    calls, run = [], nearcopies.components
+    monkeypatch.setattr(nearcopies, "components", lambda edges: calls.append(edges.count()) or run(edges))
+    rows = [(i, " ".join(f"w{i % 6}x{j}" for j in range(60)) + " z" * (i // 6)) for i in range(12)]
+    found = nearcopies.roots(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert found.count() == 6 and found.select("root").distinct().count() == 6
+    assert len(calls) < 4
