@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from sigweave.operators import lookup
+from sigweave.operators import intervals, lookup
 from sigweave.operators.asof import as_of
 from sigweave.operators.intervals import overlapping
 from sigweave.operators.slices import plan_slices
@@ -147,6 +147,34 @@ def test_overlaps_equal_brute_force(spark, point, keyed):
         assert found == _pairs(left, right, point, keyed)
 
 
+@pytest.mark.parametrize("point", [True, False])
+@pytest.mark.parametrize("keyed", [True, False])
+def test_overlaps_of_small_chunks_equal_brute_force(spark, monkeypatch, point, keyed):
+    """Also with levels of bins above the chunks, and a time that fills several chunks."""
+    made, cuts = [], intervals._cuts
+    monkeypatch.setattr(intervals, "_cuts", lambda *a: made.append(cuts(*a)) or made[-1])
+    for name, value in (("LEAST", 3), ("MOST", 3), ("PARTS", 2)):
+        monkeypatch.setattr(intervals, name, value)
+    rng = random.Random(11)
+    left = [*_spans(rng, 120, 600), *[(1000 + i, 77, 90, "x") for i in range(20)]]
+    right = [*_spans(rng, 60, 900), *[(1000 + i, -100, 2000, "y") for i in range(30)]]
+    # Beyond what doubles tell apart.
+    left += [(2000 + i, 2**60 + i, 2**60 + i + 3, "y") for i in range(9)]
+    right += [(2000 + i, 2**60 + 2 * i, 2**60 + 2 * i + 2, "y") for i in range(4)]
+    pairs = overlapping(
+        spark.createDataFrame(left, SPANS),
+        spark.createDataFrame(right, SPANS),
+        ("begin", None if point else "finish"),
+        ("begin", "finish"),
+        on=[("k", "k")] if keyed else [],
+    )
+    rows = pairs.collect()
+    assert sorted((r.left.id, r.right.id) for r in rows) == _pairs(left, right, point, keyed)
+    assert {tuple(r.left) for r in rows} <= set(left) and {tuple(r.right) for r in rows} <= set(right)
+    assert len(made) == 2 - point and len(made[0].levels) > 1 and len(made[0].borders) > 20
+    assert 78 in made[0].borders
+
+
 def _joined(plan):
     """Rows that the joins of a plan that ran gave."""
     if plan.nodeName() == "AdaptiveSparkPlan":
@@ -175,6 +203,29 @@ def test_dense_spans_meet_in_blocks(spark, point):
     assert 0 < 2 * _joined(pairs._jdf.queryExecution().executedPlan()) < len(found)
 
 
+def _exchanged(plan):
+    """Bytes that the exchanges of a plan that ran wrote, before compression."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        plan = plan.executedPlan()
+    while plan.nodeName().endswith("QueryStage"):
+        plan = plan.plan()
+    own = plan.metrics().apply("dataSize").value() if plan.nodeName() == "Exchange" else 0
+    below = plan.children()
+    return own + sum(_exchanged(below.apply(i)) for i in range(below.size()))
+
+
+def test_overlaps_exchange_little_more_than_their_rows(spark):
+    """Some 80 bytes a row: starts are not copied for each level, nor spans for each bin within them."""
+    events = spark.range(10_000).selectExpr("id", "id * 100 AS begin")
+    spans = spark.range(6_000).selectExpr(
+        "id", "id * 160 AS begin", "id * 160 + if(id % 1000 = 0, 200000, id % 30 * 1000 + 1) AS finish"
+    )
+    pairs = overlapping(events, spans, ("begin", None), ("begin", "finish")).select("left.id", "right.id")
+    found = len(pairs.collect())
+    assert found > 500_000
+    assert 0 < _exchanged(pairs._jdf.queryExecution().executedPlan()) < 160 * (10_000 + 6_000)
+
+
 def test_one_span_covers_everything(spark):
     """It is one row of a high level, not one for each bin, and no cross join is planned."""
     events = spark.range(5000).selectExpr("id", "id * 1000 AS begin", "id * 1000 + 1 AS finish", "'x' AS k")
